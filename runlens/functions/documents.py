@@ -1,4 +1,4 @@
-"""One nesting step of a document, and the way back from leaf rows to JSON text."""
+"""From leaf rows of a document back to JSON text."""
 
 from __future__ import annotations
 
@@ -7,16 +7,6 @@ from pyspark.sql import Column, functions as F
 EMPTY_OBJECT = "{}"
 
 
-def as_object(v: Column) -> Column:
-    """Members of a VARIANT object; NULL for anything else. Members are ordered by key."""
-    return F.try_variant_get(v, "$", "map<string,variant>")
-
-
-def as_list(v: Column) -> Column:
-    """Elements of a VARIANT array; NULL for anything else."""
-    return F.try_variant_get(v, "$", "array<variant>")
-
-
 def starts_with(path: Column, prefix: Column) -> Column:
     """Whether ``prefix`` is a proper prefix of ``path`` (both arrays)."""
     return (F.size(path) > F.size(prefix)) & (F.slice(path, F.lit(1), F.size(prefix)) == prefix)

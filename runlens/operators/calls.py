@@ -30,61 +30,77 @@ def workflow_header(docs: DataFrame, doc: str = "doc", mode: str = "FAILFAST") -
     NULLs instead of failing.
     """
     keep = [c for c in docs.columns if c != doc]
-    parsed = docs.select(*keep, F.from_json(doc, DOC_SCHEMA, {"mode": mode}).alias("_d"))
-    return parsed.select(*keep, "_d.*")
+    # a generator: a later filter on a member must not parse the text a second time
+    return docs.select(*keep, F.inline(F.array(F.from_json(doc, DOC_SCHEMA, {"mode": mode}))))
+
+
+def _item(parents: Column, ord_: Column, name: Column, call: Column) -> Column:
+    return F.struct(parents.alias("_parents"), ord_.alias("_ord"), name.alias("_name"), call.alias("_call"))
 
 
 def _items(calls: Column, parents: Column, ord_: Column) -> Column:
-    """Array of ``(parents, ord, name, call)`` for one document's calls."""
+    """Array with an item per call of one document."""
     return F.flatten(
         F.transform(
             F.map_entries(calls),
             lambda entry, i: F.transform(
-                entry["value"],
-                lambda call, j: F.struct(
-                    parents.alias("parents"),
-                    F.concat(ord_, F.array(i, j)).alias("ord"),
-                    entry["key"].alias("name"),
-                    call.alias("call"),
-                ),
+                entry["value"], lambda call, j: _item(parents, F.concat(ord_, F.array(i, j)), entry["key"], call)
             ),
         )
     )
 
 
-def flatten_calls(workflows: DataFrame, keep: tuple[str, ...] = ("id",), levels: int = LEVELS) -> DataFrame:
+def flatten_calls(
+    workflows: DataFrame, keep: tuple[str, ...] = ("id",), levels: int = LEVELS, marker: bool = False
+) -> DataFrame:
     """Leaf calls at any sub-workflow depth, one row each.
 
     A call with an embedded sub-workflow is replaced by that workflow's calls and a
     document without calls gives no row. Each level is a row-local ``explode``: one scan,
     no shuffle. Nesting beyond ``levels`` fails the query instead of losing calls.
+    ``marker`` adds one row per document with NULL ``call_name`` and empty ``ord``.
 
     Columns: ``keep``, ``parent_call_names``, ``call_name``, ``ord`` (document order)
     and the members of the call.
     """
-    item = F.col("_item")
-    root = _items(F.col("calls"), F.array().cast("array<string>"), F.array().cast("array<int>"))
-    rows = workflows.select(*keep, F.explode(root).alias("_item"))
-    sub = item["call"]["subWorkflowMetadata"]
+    no_names, no_ord = F.array().cast("array<string>"), F.array().cast("array<int>")
+    items = _items(F.col("calls"), no_names, no_ord)
+    if marker:
+        none = F.lit(None)
+        document = _item(no_names, no_ord, none.cast("string"), none.cast(f"STRUCT<{CALL_SCHEMA}>"))
+        items = F.concat(F.array(document), F.coalesce(items, F.slice(F.array(document), 1, 0)))
+    # ``inline`` and not ``explode``: the optimizer prunes a chain of exploded structs wrongly,
+    # losing members that only a later step uses
+    rows = workflows.select(*keep, F.inline(items))
+    itself = F.array(_item(F.col("_parents"), F.col("_ord"), F.col("_name"), F.col("_call")))
+    sub = F.col("_call.subWorkflowMetadata")
     for _ in range(levels):
         nested = F.from_json(sub, f"calls {CALLS_TYPE}", {"mode": "FAILFAST"})["calls"]
-        children = _items(nested, F.concat(item["parents"], F.array(item["name"])), item["ord"])
-        step = F.when(sub.isNull(), F.array(item)).otherwise(children)
-        rows = rows.select(*keep, F.explode(step).alias("_item"))
+        children = _items(nested, F.concat("_parents", F.array("_name")), F.col("_ord"))
+        rows = rows.select(*keep, F.inline(F.when(sub.isNull(), itself).otherwise(children)))
+    # deciding it while making the row keeps the check in the plan whatever columns are used later
     message = f"sub-workflows nest deeper than levels={levels}; call again with more levels"
-    name = F.when(sub.isNull(), item["name"]).otherwise(F.raise_error(F.lit(message)).cast("string"))
+    too_deep = F.raise_error(F.lit(message)).cast(
+        f"ARRAY<STRUCT<_parents:ARRAY<STRING>,_ord:ARRAY<INT>,_name:STRING,_call:STRUCT<{CALL_SCHEMA}>>>"
+    )
+    rows = rows.select(*keep, F.inline(F.when(sub.isNull(), itself).otherwise(too_deep)))
     return rows.select(
         *keep,
-        item["parents"].alias("parent_call_names"),
-        name.alias("call_name"),
-        item["ord"].alias("ord"),
-        "_item.call.*",
+        F.col("_parents").alias("parent_call_names"),
+        F.col("_name").alias("call_name"),
+        F.col("_ord").alias("ord"),
+        "_call.*",
     ).drop("subWorkflowMetadata")
 
 
+def _running_event() -> Column:
+    """First execution event whose description starts with ``Running``."""
+    return F.get(F.filter("executionEvents", lambda e: e["description"].startswith("Running")), F.lit(0))
+
+
 def call_details(calls: DataFrame) -> DataFrame:
     """Status, shard, return code, job, log paths and the first ``Running...`` event."""
-    running = F.get(F.filter("executionEvents", lambda e: e["description"].startswith("Running")), F.lit(0))
+    running = _running_event()
     extra = [c for c in calls.columns if c in ("id", "call_name", "parent_call_names", "ord")]
     return calls.select(
         *extra,
@@ -114,13 +130,16 @@ def workflow_root(workflows: DataFrame, levels: int = LEVELS) -> DataFrame:
     only when its last component is the workflow id. The prefix of a set of strings is
     the prefix of its least and greatest member, so a map-side combined min/max does.
     """
-    roots = flatten_calls(workflows.where("workflowRoot IS NULL"), ("id",), levels).select(
-        "id", uris.workflow_root_of_call(F.col("callRoot")).alias("root")
+    # calls of workflows with a given root need no look
+    unknown = workflows.withColumn("calls", F.when(F.col("workflowRoot").isNull(), F.col("calls")))
+    rows = flatten_calls(unknown, ("id", "workflowRoot"), levels, marker=True)
+    root = uris.workflow_root_of_call(F.col("callRoot"))
+    bounds = rows.groupBy("id").agg(
+        F.max("workflowRoot").alias("_given"), F.min(root).alias("_lo"), F.max(root).alias("_hi")
     )
-    guessed = longest_common_prefix(roots, ["id"], "root", "guess")
-    joined = workflows.select("id", "workflowRoot").join(guessed, "id", "left")
-    accepted = F.when(uris.workflow_id_of_root(F.col("guess")) == F.col("id"), F.col("guess"))
-    return joined.select("id", F.coalesce("workflowRoot", accepted).alias("workflow_root"))
+    guess = bounds.withColumn("_guess", uris.common_prefix(F.col("_lo"), F.col("_hi")))
+    accepted = F.when(uris.workflow_id_of_root(F.col("_guess")) == F.col("id"), F.col("_guess"))
+    return guess.select("id", F.coalesce("_given", accepted).alias("workflow_root"))
 
 
 def longest_common_prefix(df: DataFrame, keys: list[str], col: str, name: str = "lcp") -> DataFrame:
@@ -169,77 +188,85 @@ def _text(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("None"))
 
 
-def report_blocks(
+def report_parts(
     workflows: DataFrame,
     logs: DataFrame,
     show_completed: bool = False,
     show_stdout: bool = False,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """Failure report as ordered pieces of text: ``(id, ord, block)``.
+    """Failure report as ordered pieces of text: ``(id, ord, part, text)``.
 
-    The header has an empty ``ord``; each inspected call adds a block in document order.
-    Calls of succeeded workflows are never unfolded.
+    The header has an empty ``ord``; each inspected call adds a block and the contents of
+    its log files, in document order. One pass over the documents and one join with
+    ``logs(path, contents)``. Calls of succeeded workflows are never unfolded.
     """
     succeeded = F.coalesce(F.col("status") == "Succeeded", F.lit(False))
-    started = F.concat(
-        F.lit("* Started troubleshooting workflow: id="),
-        _text("id"),
-        F.lit(", status="),
-        _text("status"),
-        F.lit("\n"),
-    )
-    # the empty values below are the ones that count as "no failures"
+    # the values below count as "no failures"
     has_failures = F.coalesce(~F.col("failures").isin("", "[]", "{}", "null", "0", "false"), F.lit(False))
-    failures = F.when(
-        has_failures,
-        F.concat(
-            F.lit("* Found failures JSON object.\n"),
-            _indented(F.when(has_failures & ~succeeded, F.col("failures"))),
-            F.lit("\n"),
+    header = F.concat(
+        F.lit("* Started troubleshooting workflow: id="), _text("id"), F.lit(", status="), _text("status"), F.lit("\n"),
+        F.when(succeeded, "* Workflow ran Successfully.\n").otherwise(
+            F.concat(
+                F.when(
+                    has_failures, F.concat(F.lit("* Found failures JSON object.\n"), F.col("_failures"), F.lit("\n"))
+                ).otherwise(""),
+                F.lit("* Recursively finding failures in calls (tasks)...\n"),
+            )
         ),
-    ).otherwise("")
-    head = workflows.select(
-        "id",
-        F.array().cast("array<int>").alias("ord"),
-        F.concat(
-            started,
-            F.when(succeeded, "* Workflow ran Successfully.\n").otherwise(
-                F.concat(failures, F.lit("* Recursively finding failures in calls (tasks)...\n"))
-            ),
-        ).alias("block"),
-    )
-    calls = flatten_calls(workflows.where(~succeeded), ("id",), levels)
-    inspected = attach_task_logs(not_completed(call_details(calls), show_completed), logs, show_stdout)
+    )
+    prepared = workflows.withColumn("_failures", _indented(F.when(has_failures & ~succeeded, F.col("failures"))))
+    prepared = prepared.withColumn("_header", header).withColumn("calls", F.when(~succeeded, F.col("calls")))
+    rows = flatten_calls(prepared, ("id", "_header"), levels, marker=True)
+    return _with_contents(rows, F.col("call_name").isNull(), logs, show_completed, show_stdout)
 
-    def contents(label: str, col: str) -> Column:
-        return F.when(
-            F.col(col).isNotNull(), F.concat(F.lit(f"{label}_CONTENTS=\n"), F.col(col), F.lit("\n"))
-        ).otherwise("")
 
+def _call_block() -> Column:
+    running = _running_event()
     # Layout of a call's block.
     parts: list[Column] = []
     for label, value in [
         ("\n==== NAME=", F.col("call_name")),
-        (", STATUS=", F.col("status")),
+        (", STATUS=", F.col("executionStatus")),
         (", PARENT=", F.array_join("parent_call_names", ",")),
-        ("\nSHARD_IDX=", F.col("shard_idx").cast("string")),
-        (", RC=", F.col("rc").cast("string")),
-        (", JOB_ID=", F.col("job_id")),
-        ("\nSTART=", F.col("run_start")),
-        (", END=", F.col("run_end")),
+        ("\nSHARD_IDX=", F.col("shardIndex").cast("string")),
+        (", RC=", F.col("returnCode").cast("string")),
+        (", JOB_ID=", F.col("jobId")),
+        ("\nSTART=", running["startTime"]),
+        (", END=", running["endTime"]),
         ("\nSTDOUT=", F.col("stdout")),
         ("\nSTDERR=", F.col("stderr")),
     ]:
         parts += [F.lit(label), _text(value)]
-    block = F.concat(
-        *parts,
-        F.lit("\n"),
-        contents("STDERR", "stderr_contents"),
-        contents("STDOUT", "stdout_contents"),
-        contents("STDERR_BACKGROUND", "background_contents"),
-    )
-    return head.unionByName(inspected.select("id", "ord", block.alias("block")))
+    return F.concat(*parts, F.lit("\n"))
+
+
+def _with_contents(
+    rows: DataFrame, is_header: Column, logs: DataFrame, show_completed: bool, show_stdout: bool
+) -> DataFrame:
+    inspected = F.lit(True) if show_completed else ~F.coalesce(F.col("executionStatus").isin(*COMPLETED), F.lit(False))
+
+    def piece(part: int, label: str, path: Column, text: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(part).alias("part"),
+            F.lit(label).alias("label"),
+            path.cast("string").alias("path"),
+            (F.lit(None) if text is None else text).cast("string").alias("text"),
+        )
+
+    header = piece(0, "", F.lit(None), F.col("_header"))
+    pieces = [piece(0, "", F.lit(None), _call_block()), piece(1, "STDERR", F.col("stderr"))]
+    if show_stdout:
+        pieces.append(piece(2, "STDOUT", F.col("stdout")))
+    pieces.append(piece(3, "STDERR_BACKGROUND", F.concat("stderr", F.lit(".background"))))
+    wanted = F.when(is_header, F.array(header)).when(inspected, F.array(*pieces))
+    long = rows.select("id", "ord", F.inline(wanted)).where("text IS NOT NULL OR path IS NOT NULL")
+    # finished pieces get a key of their own, so that they do not meet in one partition
+    key = F.coalesce("path", F.concat_ws("\0", F.lit(""), "id", F.array_join(F.transform("ord", lambda i: i.cast("string")), ".")))
+    contents = logs.select(F.col("path").alias("_key"), "contents")
+    joined = long.withColumn("_key", key).join(contents, "_key", "left")
+    read = F.concat("label", F.lit("_CONTENTS=\n"), "contents", F.lit("\n"))
+    return joined.select("id", "ord", "part", F.coalesce("text", read).alias("text")).where("text IS NOT NULL")
 
 
 def troubleshoot(
@@ -250,6 +277,6 @@ def troubleshoot(
     levels: int = LEVELS,
 ) -> DataFrame:
     """``(id, report)``: the whole report of each workflow as one text value."""
-    blocks = report_blocks(workflows, logs, show_completed, show_stdout, levels)
-    ordered = F.sort_array(F.collect_list(F.struct("ord", "block")))
-    return blocks.groupBy("id").agg(F.array_join(F.transform(ordered, lambda b: b["block"]), "").alias("report"))
+    parts = report_parts(workflows, logs, show_completed, show_stdout, levels)
+    ordered = F.sort_array(F.collect_list(F.struct("ord", "part", "text")))
+    return parts.groupBy("id").agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("report"))

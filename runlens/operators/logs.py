@@ -14,10 +14,9 @@ def log_events(lines: DataFrame) -> DataFrame:
     Columns: ``seq, kind, pattern, event, workflow_id, short_id, task_name, shard_idx,
     retry, job_id``. ``(seq, pattern)`` orders events.
     """
-    found = lines.where(loglines.may_hold_event(F.col("line"))).select(
-        "seq", F.explode(loglines.parse_log(F.col("line"))).alias("_e")
+    return lines.where(loglines.may_hold_event(F.col("line"))).select(
+        "seq", F.inline(loglines.parse_log(F.col("line")))
     )
-    return found.select("seq", "_e.*")
 
 
 def workflow_events(events: DataFrame) -> DataFrame:

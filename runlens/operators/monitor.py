@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from runlens.functions import sizes, uris
 from runlens.operators import nested
 from runlens.operators.running import running
+from runlens.session import stage
 
 DEFAULT_STATS = ("mean", "std", "max", "min", "last")
 
@@ -104,10 +105,8 @@ def stat_metrics(stats: DataFrame) -> DataFrame:
         return F.col(name).cast("double")
 
     pairs = [F.struct(F.lit(n).alias("stat"), value(n).alias("val")) for n in names]
-    rows = stats.select("log", "col", F.explode(F.array(*pairs)).alias("p"))
-    return rows.select(
-        "log", F.concat_ws(".", F.lit("stats"), F.col("p.stat"), F.col("col")).alias("metric"), "p.val"
-    )
+    rows = stats.select("log", "col", F.inline(F.array(*pairs)))
+    return rows.select("log", F.concat_ws(".", F.lit("stats"), "stat", "col").alias("metric"), "val")
 
 
 def stats_map(stats: DataFrame) -> DataFrame:
@@ -150,6 +149,15 @@ def with_monitor_log(calls: DataFrame, logs: DataFrame, scheme: str = "gs") -> D
     return usable.join(present, "monitoringLog", "left_semi")
 
 
+def attach_metrics(calls: DataFrame, stats: DataFrame) -> DataFrame:
+    """Calls with ``metrics ARRAY<STRUCT<metric, val>>`` of their log; calls without a log are dropped.
+
+    A log has one metric per column and statistic, so the arrays are short.
+    """
+    metrics = stat_metrics(stats).groupBy("log").agg(F.collect_list(F.struct("metric", "val")).alias("metrics"))
+    return attach_stats(calls, metrics)
+
+
 def attach_stats(calls: DataFrame, stats: DataFrame) -> DataFrame:
     """Calls with their log's statistics; calls without a log are dropped."""
     return calls.join(stats, F.col("monitoringLog") == F.col("log"), "inner").drop("log")
@@ -207,7 +215,7 @@ def record_metrics(records: DataFrame, keys: Sequence[str]) -> DataFrame:
     pairs = [
         F.struct(F.lit(name).alias("metric"), F.col(col).cast("double").alias("val")) for name, col in fields.items()
     ]
-    return records.select(*keys, F.explode(F.array(*pairs)).alias("_p")).select(*keys, "_p.metric", "_p.val")
+    return records.select(*keys, F.inline(F.array(*pairs)))
 
 
 def monitor_records(
@@ -221,7 +229,8 @@ def monitor_records(
 ) -> DataFrame:
     """One nested resource record per call that has a monitoring log."""
     summary = stats_map(resource_stats(long, stats, excluded_cols))
-    monitored = attach_stats(instance(filter_task(calls, task_name)), summary)
+    # read by two branches, and made from whole documents
+    monitored = stage(attach_stats(instance(filter_task(calls, task_name)), summary))
     sized, _ = attach_sizes(file_leaves(input_leaves(monitored, keys)), catalog)
     joined = monitored.join(input_sizes(sized, keys), list(keys), "left")
     return joined.select(

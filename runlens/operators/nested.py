@@ -1,8 +1,8 @@
 """Leaf walk, flatten, unflatten, merge and split of nested documents.
 
-Nesting is unrolled as a chain of row-local ``explode`` steps over VARIANT, so a walk
-is one scan without a shuffle. A step passes finished rows through. A document deeper
-than ``levels`` makes the query fail and name the parameter; no row is ever left out.
+Nesting is unrolled as a chain of lateral ``variant_explode_outer`` steps, so a walk is
+one scan without a shuffle. A step passes finished rows through. A document deeper than
+``levels`` makes the query fail and name the parameter; no row is ever left out.
 """
 
 from __future__ import annotations
@@ -15,38 +15,50 @@ from runlens.functions import documents as D
 
 LEVELS = 8
 
-
-def _root(v: Column) -> Column:
-    return F.struct(
-        F.array().cast("array<string>").alias("path"), F.array().cast("array<int>").alias("pos"), v.alias("v")
-    )
+_LEAVES = "array<struct<path:array<string>,pos:array<int>,value:string,json:string>>"
 
 
-def _members(item: Column) -> Column:
-    return F.transform(
-        F.map_entries(D.as_object(item["v"])),
-        lambda e, i: F.struct(
-            F.concat(item["path"], F.array(e["key"])).alias("path"),
-            F.concat(item["pos"], F.array(i)).alias("pos"),
-            e["value"].alias("v"),
-        ),
+def _descend(rows: DataFrame, keep: Sequence[str], into: Column) -> DataFrame:
+    """Replace each value that ``into`` gives by its members; a row without members stays."""
+    members = rows.sparkSession.tvf.variant_explode_outer(into.outer()).toDF("_i", "_k", "_x")
+    return rows.lateralJoin(members).select(
+        *keep,
+        F.when(F.col("_x").isNull(), F.col("_path"))
+        .otherwise(F.concat("_path", F.array(F.coalesce("_k", F.col("_i").cast("string")))))
+        .alias("_path"),
+        F.when(F.col("_x").isNull(), F.col("_pos")).otherwise(F.concat("_pos", F.array("_i"))).alias("_pos"),
+        F.coalesce("_x", "_v").alias("_v"),
+        F.col("_x").isNotNull().alias("_more"),
     )
 
 
-def _elements(item: Column) -> Column:
-    return F.transform(
-        D.as_list(item["v"]),
-        lambda x, i: F.struct(
-            F.concat(item["path"], F.array(i.cast("string"))).alias("path"),
-            F.concat(item["pos"], F.array(i)).alias("pos"),
-            x.alias("v"),
-        ),
+def _walk(df: DataFrame, doc: str, keep: Sequence[str], levels: int, lists: bool, drop: Sequence[str]) -> DataFrame:
+    """Leaves ``(*keep, path, pos, value, json)``; texts in ``drop`` are empty containers to leave out."""
+    rows = df.where(F.col(doc).isNotNull()).select(
+        *keep,
+        F.array().cast("array<string>").alias("_path"),
+        F.array().cast("array<int>").alias("_pos"),
+        F.col(doc).alias("_v"),
     )
-
-
-def _guard(item: Column, nested: Column, levels: int) -> Column:
+    first_element = F.try_variant_get("_v", "$[0]", "variant")
+    into = F.col("_v") if lists else F.when(first_element.isNull(), F.col("_v"))
+    rows = rows.withColumn("_into", into)
+    for _ in range(levels + 1):
+        rows = _descend(rows, keep, F.col("_into")).withColumn("_into", into)
+    # the last step must not have found anything; deciding it while making the row keeps
+    # the check in the plan whatever columns are used later
     message = f"document nests deeper than levels={levels}; call again with more levels"
-    return F.when(nested, F.raise_error(F.lit(message)).cast("string")).otherwise(F.to_json(item["v"]))
+    json = F.to_json("_v")
+    leaf = F.struct(
+        F.col("_path").alias("path"),
+        F.col("_pos").alias("pos"),
+        F.try_variant_get("_v", "$", "string").alias("value"),
+        json.alias("json"),
+    )
+    checked = F.when(F.col("_more"), F.raise_error(F.lit(message)).cast(_LEAVES))
+    if drop:
+        checked = checked.when(json.isin(*drop), F.array().cast(_LEAVES))
+    return rows.select(*keep, F.inline(checked.otherwise(F.array(leaf))))
 
 
 def leaf_values(df: DataFrame, doc: str = "doc", keep: Sequence[str] = (), levels: int = LEVELS) -> DataFrame:
@@ -55,19 +67,7 @@ def leaf_values(df: DataFrame, doc: str = "doc", keep: Sequence[str] = (), level
     Columns: ``keep``, ``path`` (list positions are path components), ``pos`` (walk
     order), ``value`` (text; NULL for JSON null) and ``json`` (JSON text).
     """
-    item = F.col("_item")
-    rows = df.select(*keep, _root(F.col(doc)).alias("_item")).where(F.col("_item.v").isNotNull())
-    for _ in range(levels):
-        step = F.coalesce(_members(item), _elements(item), F.array(item))
-        rows = rows.select(*keep, F.explode(step).alias("_item"))
-    nested = F.coalesce(D.as_object(item["v"]).isNotNull() | D.as_list(item["v"]).isNotNull(), F.lit(False))
-    return rows.select(
-        *keep,
-        item["path"].alias("path"),
-        item["pos"].alias("pos"),
-        F.try_variant_get(item["v"], "$", "string").alias("value"),
-        _guard(item, nested, levels).alias("json"),
-    )
+    return _walk(df, doc, keep, levels, lists=True, drop=("{}", "[]"))
 
 
 def flatten_doc(
@@ -81,16 +81,8 @@ def flatten_doc(
 
     Empty objects vanish unless ``keep_empty`` marks them with a ``{}`` row.
     """
-    item = F.col("_item")
-    rows = df.select(*keep, _root(F.col(doc)).alias("_item")).where(F.col("_item.v").isNotNull())
-    for _ in range(levels):
-        members = _members(item)
-        if keep_empty:
-            members = F.when(F.size(members) > 0, members)
-        rows = rows.select(*keep, F.explode(F.coalesce(members, F.array(item))).alias("_item"))
-    members = D.as_object(item["v"])
-    nested = F.coalesce(F.size(members) > 0, F.lit(False)) if keep_empty else members.isNotNull()
-    return rows.select(*keep, item["path"].alias("path"), _guard(item, nested, levels).alias("value"))
+    drop = () if keep_empty else (D.EMPTY_OBJECT,)
+    return _walk(df, doc, keep, levels, lists=False, drop=drop).select(*keep, "path", F.col("json").alias("value"))
 
 
 def dot_key(path: Column) -> Column:
@@ -172,19 +164,19 @@ def split_leaves(
         routes.append(
             F.when(
                 F.size(hits) > 0,
-                F.struct(F.lit(name).alias("rule"), F.element_at(hits, -1).alias("key"), rest.alias("path")),
+                F.struct(F.lit(name).alias("rule"), F.element_at(hits, -1).alias("key"), rest.alias("_rest")),
             )
         )
     matched = F.array_compact(F.array(*routes))
     unmatched = F.array(
-        F.struct(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("key"), F.col("path"))
+        F.struct(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("key"), F.col("path").alias("_rest"))
     )
     routed = leaves.select(
         *keep,
-        F.explode(F.when(F.size(matched) > 0, matched).otherwise(unmatched)).alias("_r"),
+        F.inline(F.when(F.size(matched) > 0, matched).otherwise(unmatched)),
         "value",
     )
-    return routed.select(*keep, "_r.rule", "_r.key", "_r.path", "value")
+    return routed.select(*keep, "rule", "key", "_rest", "value").withColumnRenamed("_rest", "path")
 
 
 def split_docs(

@@ -57,9 +57,22 @@ def variable_sums(sized: DataFrame, key: str = "call_id") -> DataFrame:
     return sized.groupBy(key, "task_name", "var").agg(F.sum("size").cast("double").alias("size"))
 
 
-def found_vars(sums: DataFrame, rules: dict[str, Sequence[str]] | None = None) -> DataFrame:
+def variable_maps(sized: DataFrame, key: str = "call_id") -> DataFrame:
+    """``(call, task_name, sizes MAP<var, total>)``; one entry per input variable of the task.
+
+    Two steps keep a call with very many files out of one task: files are summed
+    map-side before a call's variables are put together.
+    """
+    sums = variable_sums(sized.where(F.col(key).isNotNull()), key)
+    return sums.groupBy(key, "task_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("var", "size"))).alias("sizes")
+    )
+
+
+def found_vars(maps: DataFrame, rules: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """``(task, vars)``: sorted file variables seen in any matched call."""
-    names = match_rules(sums.select("task_name", "var").distinct(), rules)
+    seen = maps.select("task_name", F.explode(F.map_keys("sizes")).alias("var")).distinct()
+    names = match_rules(seen, rules)
     return (
         names.where(_allowed(rules, F.col("task"), F.col("var")))
         .groupBy("task")
@@ -83,16 +96,14 @@ def fit_input(
     wanted = targets.where(F.col("metric").isin(*metrics) & F.col("val").isNotNull() & (F.col("val") != 0))
     values = [F.max(F.when(F.col("metric") == m, F.col("val"))).alias(f"y{i}") for i, m in enumerate(metrics)]
     ys = wanted.groupBy(key, "task_name").agg(*values)
-    sums = variable_sums(sized, key)
-    # one entry per input variable of the call's task
-    xs = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("var", "size"))).alias("_x"))
-    calls = match_rules(ys.join(xs, key, "left"), rules)
-    return calls.join(found_vars(sums, rules), "task", "left").select(
+    xs = variable_maps(sized, key)
+    calls = match_rules(ys.join(xs.drop("task_name"), key, "left"), rules)
+    return calls.join(found_vars(xs, rules), "task", "left").select(
         "task",
         key,
         F.coalesce("vars", F.array().cast("array<string>")).alias("vars"),
         F.coalesce(
-            F.transform("vars", lambda v: F.coalesce(F.try_element_at("_x", v), F.lit(0.0))),
+            F.transform("vars", lambda v: F.coalesce(F.try_element_at("sizes", v), F.lit(0.0))),
             F.array().cast("array<double>"),
         ).alias("xs"),
         *[f"y{i}" for i in range(len(metrics))],
@@ -101,11 +112,10 @@ def fit_input(
 
 def x_cells(sized: DataFrame, rules: dict[str, Sequence[str]] | None = None, key: str = "call_id") -> DataFrame:
     """``(task, call, var, x)``: the size matrix in long form, absent variables as 0."""
-    sums = variable_sums(sized, key)
-    xs = sums.groupBy(key, "task_name").agg(F.map_from_entries(F.collect_list(F.struct("var", "size"))).alias("_x"))
-    rows = match_rules(xs, rules).join(found_vars(sums, rules), "task")
-    rows = rows.select("task", key, "_x", F.explode("vars").alias("var"))
-    return rows.select("task", key, "var", F.coalesce(F.try_element_at("_x", F.col("var")), F.lit(0.0)).alias("x"))
+    maps = variable_maps(sized, key)
+    rows = match_rules(maps, rules).join(found_vars(maps, rules), "task")
+    rows = rows.select("task", key, "sizes", F.explode("vars").alias("var"))
+    return rows.select("task", key, "var", F.coalesce(F.try_element_at("sizes", F.col("var")), F.lit(0.0)).alias("x"))
 
 
 def _x_name(reduce: str, names: Column) -> Column:
@@ -157,8 +167,8 @@ def simple_fit(rows: DataFrame, metrics: Sequence[str], x_name: Column, pairwise
         )
         for i, m in enumerate(metrics)
     ]
-    fits = rows.groupBy("task").agg(*aggregates).select("task", "n_x", "vars", F.explode(F.array(*parts)).alias("f"))
-    fits = fits.select("task", "n_x", "vars", "f.*").where("n > 0")
+    fits = rows.groupBy("task").agg(*aggregates).select("task", "n_x", "vars", F.inline(F.array(*parts)))
+    fits = fits.where("n > 0")
     reason = _reason(F.size("vars"), F.col("n_x"), F.col("n"), F.col("nan"), pairwise)
     slope = F.when(F.col("vx") == 0, F.lit(0.0)).otherwise(F.col("cxy") / F.col("vx"))
     return (
@@ -188,7 +198,7 @@ def fit_points(
     rows = fit_input(sized, targets, rules, metrics, key).withColumn("x", REDUCTIONS[reduce](F.col("xs")))
     fits = simple_fit(rows, metrics, _x_name(reduce, F.col("vars"))).select("task", "metric", "slope", "intercept")
     pairs = [F.struct(F.lit(m).alias("metric"), F.col(f"y{i}").alias("y")) for i, m in enumerate(metrics)]
-    points = rows.select("task", key, "x", F.explode(F.array(*pairs)).alias("p")).select("task", key, "x", "p.*")
+    points = rows.select("task", key, "x", F.inline(F.array(*pairs)))
     joined = points.where("y IS NOT NULL").join(fits, ["task", "metric"])
     return joined.select("task", "metric", key, "x", "y", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y_fit"))
 
@@ -237,7 +247,7 @@ def analyze_multi(
 
 def multi_fit(rows: DataFrame, metrics: Sequence[str], pairwise: bool = False) -> DataFrame:
     pairs = [F.struct(F.lit(m).alias("metric"), F.col(f"y{i}").alias("y")) for i, m in enumerate(metrics)]
-    long = rows.select("task", "vars", "xs", F.explode(F.array(*pairs)).alias("p")).select("task", "vars", "xs", "p.*")
+    long = rows.select("task", "vars", "xs", F.inline(F.array(*pairs)))
     counts = (
         long.groupBy("task", "metric")
         .agg(
@@ -258,8 +268,8 @@ def multi_fit(rows: DataFrame, metrics: Sequence[str], pairwise: bool = False) -
     )
     products = (
         long.where("y IS NOT NULL")
-        .select("task", "metric", z.alias("z"), F.explode(cells).alias("c"))
-        .select("task", "metric", "c.i", "c.j", F.get("z", F.col("c.i")).alias("zi"), F.get("z", F.col("c.j")).alias("zj"))
+        .select("task", "metric", z.alias("z"), F.inline(cells))
+        .select("task", "metric", "i", "j", F.get("z", F.col("i")).alias("zi"), F.get("z", F.col("j")).alias("zj"))
         .groupBy("task", "metric", "i", "j")
         .agg(F.covar_pop("zi", "zj").alias("cov"), F.avg("zi").alias("mi"), F.avg("zj").alias("mj"))
     )

@@ -60,14 +60,14 @@ def task_logs(spark, sf_dir):
     root = F.concat(F.lit("gs://out/main/"), F.when(k % 4 == 1, "x").otherwise(""), R.uuid_of(k))
     orders = R.table(spark, sf_dir, "orders")
     return orders.select(
-        F.explode(
+        F.inline(
             F.array(
                 F.struct(F.concat(root, F.lit("/call-align/shard-0/stderr")).alias("path"), F.concat(F.lit("err "), "o_orderpriority").alias("contents")),
                 F.struct(F.concat(root, F.lit("/call-align/shard-0/stdout")).alias("path"), F.lit("out").alias("contents")),
                 F.struct(F.concat(root, F.lit("/call-sub/sub/s/call-qc/stderr.background")).alias("path"), F.lit("bg").alias("contents")),
             )
-        ).alias("l")
-    ).select("l.*")
+        )
+    )
 
 
 def troubleshoot_report(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from runlens.operators import calls as C, monitor as M, regress as G
 from runlens.plans import relations as R
 from runlens.plans.calls import _calls, _dotted
+from runlens.session import stage
 from runlens.sources import readers, sinks
 
 TARGETS = ("stats.max.mem", "stats.mean.cpu_pct")
@@ -120,14 +121,12 @@ def _fit_tables(spark, sf_dir):
     """File sizes and metrics per monitored call."""
     series = R.series(spark, sf_dir)
     stats = M.resource_stats(series, ["mean", "max"])
-    metrics = M.stat_metrics(stats)
-    calls = M.with_monitor_log(_calls(spark, sf_dir), stats).select(
+    calls = _calls(spark, sf_dir).where(F.col("monitoringLog").startswith("gs://")).select(
         F.concat_ws("/", "id", _dotted("ord")).alias("call_id"), F.col("call_name").alias("task_name"), "monitoringLog", "inputs"
     )
-    targets = calls.drop("inputs").join(metrics, F.col("monitoringLog") == F.col("log")).select(
-        "call_id", "task_name", "metric", "val"
-    )
-    leaves = M.file_leaves(M.input_leaves(calls, ["call_id", "task_name"]))
+    monitored = stage(M.attach_metrics(calls, stats).select("call_id", "task_name", "inputs", "metrics"))
+    targets = monitored.select("call_id", "task_name", F.inline("metrics"))
+    leaves = M.file_leaves(M.input_leaves(monitored, ["call_id", "task_name"]))
     sized, _ = M.attach_sizes(leaves, R.catalog(spark, sf_dir))
     return sized.select("call_id", "task_name", "var", "size"), targets
 
@@ -161,7 +160,7 @@ def x_cells(spark, sf_dir):
 
 def found_vars(spark, sf_dir):
     sized, _ = _fit_tables(spark, sf_dir)
-    found = G.found_vars(G.variable_sums(sized), RULES)
+    found = G.found_vars(G.variable_maps(sized), RULES)
     return found.select("task", F.array_join("vars", ",").alias("vars"))
 
 
@@ -302,8 +301,8 @@ ORACLES = {
     "input_sizes": f"""
         WITH {R.SIZES_SQL},
         kept AS (SELECT sized.* FROM sized JOIN calls USING (id, ord) WHERE k % 6 <> 2),
-        vars AS (SELECT id, ord, var, var || '=' || string_agg(CAST(size AS VARCHAR), '+' ORDER BY idx) AS t FROM kept GROUP BY ALL)
-        SELECT id, ord, string_agg(t, ';' ORDER BY var) AS sizes FROM vars GROUP BY ALL""",
+        vars AS (SELECT id, ord, var, var || '=' || string_agg(CAST(size AS VARCHAR), '+' ORDER BY idx) AS t FROM kept GROUP BY id, ord, var)
+        SELECT id, ord, string_agg(t, ';' ORDER BY var) AS sizes FROM vars GROUP BY id, ord""",
     "missing_files": f"""
         WITH {R.SIZES_SQL}
         SELECT var, count(*) AS n, count(DISTINCT part) AS files FROM named JOIN calls USING (id, ord)

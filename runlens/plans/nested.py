@@ -29,7 +29,7 @@ def merge_docs(spark, sf_dir):
     second = F.to_json(F.struct(F.struct(F.lit("new").alias("q"), F.array(e).alias("r")).alias("a"), F.col("event_type").alias("b")))
     third = F.to_json(F.struct(F.when(e % 2 == 0, F.struct(e.alias("z"))).alias("c"), F.struct(F.lit(1).alias("k")).alias("d")))
     layers = F.posexplode(F.array(first, second, third)).alias("layer", "text")
-    rows = R.table(spark, sf_dir, "events").select("event_id", layers)
+    rows = R.spread(spark, sf_dir, "events").select("event_id", layers)
     return N.merge_docs(rows.select("event_id", "layer", F.parse_json("text").alias("doc")), "event_id", "layer")
 
 

@@ -16,6 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are about to be expanded, on all cores even when it is one small file.
+
+    A table with enough splits of its own is left as it is.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def stored(value: Column) -> Column:
+    """A derived value that behaves like a stored column: made once per row, however often it is used."""
+    return F.explode(F.array(value))
+
+
 def uuid_of(k: Column) -> Column:
     return F.format_string("%08x-0000-4000-a000-%012x", k, k)
 
@@ -144,7 +159,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         failures.alias("failures"),
         calls.alias("calls"),
     )
-    return table(spark, sf_dir, "orders").select(k.alias("k"), F.to_json(doc).alias("doc"))
+    return spread(spark, sf_dir, "orders").select(k.alias("k"), stored(F.to_json(doc)).alias("doc"))
 
 
 # Leaf calls of the documents, stated without any document.
@@ -247,7 +262,7 @@ series AS (
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(seq, line)``."""
-    return log_lines_of(table(spark, sf_dir, "events"))
+    return log_lines_of(spread(spark, sf_dir, "events"))
 
 
 def log_lines_of(events: DataFrame) -> DataFrame:
@@ -281,7 +296,7 @@ def log_lines_of(events: DataFrame) -> DataFrame:
         F.struct((e * 2).alias("seq"), status_line.alias("line")),
         F.struct((e * 2 + 1).alias("seq"), task_line.alias("line")),
     )
-    return events.select(F.explode(both).alias("l")).select("l.seq", "l.line")
+    return events.select(F.inline(both))
 
 
 # Events that those lines must give, stated without any line.
@@ -335,7 +350,7 @@ def nested_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("event_type").alias("kind"), F.from_json("props", "k INT").alias("props")).alias("meta"),
         F.col("user_id").alias("user"),
     )
-    return table(spark, sf_dir, "events").select("event_id", F.parse_json(F.to_json(doc)).alias("doc"))
+    return spread(spark, sf_dir, "events").select("event_id", stored(F.parse_json(F.to_json(doc))).alias("doc"))
 
 
 # --- input documents with file paths: one per order --------------------------------------
@@ -361,7 +376,7 @@ def input_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("plain text").alias("t"),
     )
     doc = F.concat(F.lit("/in/doc"), k.cast("string"), F.lit(".json"))
-    return table(spark, sf_dir, "orders").select(doc.alias("doc"), F.to_json(text).alias("text"))
+    return spread(spark, sf_dir, "orders").select(doc.alias("doc"), stored(F.to_json(text)).alias("text"))
 
 
 INPUT_FILES_SQL = """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that a lost executor never replays earlier rounds of a loop."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write a result that several branches need to the shared folder and read it from there.
+
+    The expensive part runs once, each branch reads only its columns, and the table
+    outlives executors. The folder is the cluster's to clean up, like its checkpoints.
+    """
+    spark = df.sparkSession
+    place = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)

@@ -88,7 +88,7 @@ def wide_to_long(table: DataFrame) -> DataFrame:
         F.struct(F.lit(i).alias("col_no"), F.lit(c).alias("col"), F.col(c).cast("double").alias("val"))
         for i, c in enumerate(names)
     ]
-    return table.select("log", "row_no", F.explode(F.array(*cells)).alias("_c")).select("log", "row_no", "_c.*")
+    return table.select("log", "row_no", F.inline(F.array(*cells)))
 
 
 def read_log(spark: SparkSession, paths: Paths) -> DataFrame:
