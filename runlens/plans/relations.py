@@ -120,7 +120,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.concat(F.lit("local-disk "), (k % 90 + 10).cast("string"), F.lit(" HDD")).alias("disks"),
                 F.concat((k % 7 + 1).cast("string"), F.when(k % 2 == 0, " GB").otherwise(" GiB")).alias("memory"),
             ).alias("runtimeAttributes"),
-            files.alias("inputs"),
+            (files if monitored else F.struct(F.lit(4).alias("threads"))).alias("inputs"),
             F.array(
                 F.struct(F.lit("Pending").alias("description"), F.lit("0").alias("startTime"), when.alias("endTime")),
                 F.struct(F.lit("RunningJob").alias("description"), when.alias("startTime"), F.lit("9").alias("endTime")),
@@ -131,6 +131,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = F.lit("Done")
     align_status = F.when(k % 11 == 6, None).when(failed, "Failed").otherwise(done)
     sub_root = F.concat(base, F.lit("/call-sub/sub/s"))
+    # sub-workflow calls read no files
     deep = F.struct(F.struct(F.array(call("report", sub_root, done)).alias("deep.report")).alias("calls"))
     sub_calls = F.struct(
         F.array(call("qc", sub_root, F.when(failed, "Failed").otherwise(done))).alias("sub.qc"),
