@@ -5,24 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from runlens.functions import loglines
 from runlens.operators import jobs, logs
 from runlens.sources import sinks
 
 
-def read_log_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """``(seq, line)`` of log files as they arrive; ``seq`` is a text that sorts by file, then line."""
+def read_log_stream(
+    spark: SparkSession,
+    path: str,
+    wanted: Callable[[Column], Column] | None = loglines.may_hold_event,
+    **options: str,
+) -> DataFrame:
+    """``(seq, line)`` of log files as they arrive; ``seq`` is a text that sorts by file, then line.
+
+    Only ``wanted`` lines are kept (by default those that can hold an event). Lines keep
+    the order of their split, so counting them per task orders them; large files may
+    still be read in several splits.
+    """
     rows = spark.readStream.options(**options).text(path)
-    order = F.concat_ws(
+    if wanted is not None:
+        rows = rows.where(wanted(F.col("value")))
+    place = F.concat_ws(
         "|",
         F.lpad(F.unix_micros("_metadata.file_modification_time").cast("string"), 20, "0"),
         F.col("_metadata.file_path"),
         F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
-        F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"),
     )
-    return rows.select(order.alias("seq"), F.col("value").alias("line"))
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = 0
+        for batch in batches:
+            numbers = pd.Series(range(count, count + len(batch)), index=batch.index)
+            count += len(batch)
+            yield pd.DataFrame({"seq": batch["place"] + "|" + numbers.map("{:020d}".format), "line": batch["line"]})
+
+    return rows.select(place.alias("place"), F.col("value").alias("line")).mapInPandas(number, "seq string, line string")
 
 
 def log_event_stream(lines: DataFrame) -> DataFrame:
