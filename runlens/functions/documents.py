@@ -26,14 +26,17 @@ def _json_string(s: Column) -> Column:
 
 
 def real_leaves(ordered: Column) -> Column:
-    """Sorted leaves without the empty-object markers whose path has members after all."""
-    return F.filter(
-        ordered,
-        lambda leaf, i: ~(
-            (leaf["value"] == EMPTY_OBJECT)
-            & F.coalesce(starts_with(F.get(ordered, i + 1)["path"], leaf["path"]), F.lit(False))
-        ),
-    )
+    """Sorted leaves, one per path, without empty-object markers whose path has members after all.
+
+    Of several values at one path the greatest stays. A leaf without a path has no place.
+    """
+
+    def kept(leaf: Column, i: Column) -> Column:
+        following = F.get(ordered, i + 1)["path"]
+        filled = (leaf["value"] == EMPTY_OBJECT) & starts_with(following, leaf["path"])
+        return (F.size(leaf["path"]) > 0) & ~F.coalesce((following == leaf["path"]) | filled, F.lit(False))
+
+    return F.filter(ordered, kept)
 
 
 def render(leaves: Column) -> Column:
@@ -54,8 +57,6 @@ def render(leaves: Column) -> Column:
         start = F.when(i > 0, F.lit(",")).otherwise(F.lit("{"))
         return F.concat(F.repeat(F.lit("}"), left), start, opened, leaf["value"])
 
-    closing = F.repeat(F.lit("}"), F.size(F.element_at(leaves, -1)["path"]))
+    closing = F.repeat(F.lit("}"), F.size(F.get(leaves, F.size(leaves) - 1)["path"]))
     text = F.concat(F.array_join(F.transform(leaves, piece), ""), closing)
-    return F.when((F.size(leaves) > 0) & (F.size(F.get(leaves, F.lit(0))["path"]) > 0), text).otherwise(
-        EMPTY_OBJECT
-    )
+    return F.when(F.size(leaves) > 0, text).otherwise(EMPTY_OBJECT)

@@ -89,14 +89,17 @@ def dot_key(path: Column) -> Column:
     return F.array_join(path, ".")
 
 
-def unflatten_doc(leaves: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unflatten_doc(leaves: DataFrame, keys: Sequence[str], member: Column | None = None) -> DataFrame:
     """Inverse of :func:`flatten_doc`: ``(*keys, doc)`` with ``doc`` as JSON text.
 
     A group is the set of leaves of one output document, which is one output value.
+    ``member`` is an array of leaves, made from the keys, to add to each document.
     """
+    collected = F.collect_set(F.struct("path", "value"))
+    grouped = leaves.groupBy(*keys).agg(collected.alias("_set"))
+    whole = F.col("_set") if member is None else F.concat("_set", member)
     return (
-        leaves.groupBy(*keys)
-        .agg(F.sort_array(F.collect_set(F.struct("path", "value"))).alias("_sorted"))
+        grouped.withColumn("_sorted", F.sort_array(whole))
         .withColumn("_leaves", D.real_leaves(F.col("_sorted")))
         .select(*keys, D.render(F.col("_leaves")).alias("doc"))
     )
@@ -188,20 +191,13 @@ def split_docs(
 ) -> DataFrame:
     """One document per distinct matched key, plus the rest: ``(*keep, rule, key, doc)``."""
     leaves = split_leaves(df, rules, doc, keep, levels)
-    named = (
-        leaves.where("rule IS NOT NULL")
-        .select(*keep, "rule", "key", F.to_json(F.array("key")).alias("_m"))
-        .distinct()
-        .select(
-            *keep,
-            "rule",
-            "key",
-            F.array("rule").alias("path"),
-            F.expr("substring(_m, 2, length(_m) - 2)").alias("value"),
-        )
-    )
-    rows = leaves.where(F.size("path") > 0).unionByName(named)
-    keys = [*keep, "rule", "key"]
-    # several source leaves may land on one path; the greatest value is kept
-    rows = rows.groupBy(*keys, "path").agg(F.max("value").alias("value"))
-    return unflatten_doc(rows, keys)
+    # the rule's own member replaces whatever else the document has under that name; leaves
+    # that lost their whole path have no place but must not make their document disappear
+    own = F.coalesce(F.get("path", F.lit(0)) == F.col("rule"), F.lit(False))
+    placed = leaves.withColumn("path", F.when(own, F.array().cast("array<string>")).otherwise(F.col("path")))
+    name = F.to_json(F.array("key"))
+    member = F.when(
+        F.col("rule").isNotNull(),
+        F.array(F.struct(F.array("rule").alias("path"), name.substr(F.lit(2), F.length(name) - 2).alias("value"))),
+    ).otherwise(F.array().cast("array<struct<path:array<string>,value:string>>"))
+    return unflatten_doc(placed, [*keep, "rule", "key"], member)

@@ -186,9 +186,9 @@ def input_files(docs: DataFrame, texts: DataFrame, max_rounds: int = 20) -> Data
 def _named_files(rows: DataFrame) -> DataFrame:
     """URIs in texts ``(doc, _path, text)``, read as JSON or as separated values by extension."""
     kind = uris.extension(F.col("_path"))
-    parsed = rows.where(kind == ".json").select("doc", F.try_parse_json("text").alias("_v"))
+    separator = F.when(kind == ".tsv", F.lit(r"[\t\r\n]")).otherwise(F.lit(r"[,\r\n]"))
+    cells = F.to_variant_object(F.split("text", separator))
+    # cells become a list, so that both kinds take the same walk in one pass
+    parsed = rows.select("doc", F.when(kind == ".json", F.try_parse_json("text")).otherwise(cells).alias("_v"))
     leaves = nested.leaf_values(parsed, "_v", ["doc"]).select("doc", F.col("value").alias("path"))
-    cells = rows.where(kind.isin(".tsv", ".csv")).select(
-        "doc", F.explode(F.split("text", F.when(kind == ".tsv", F.lit(r"[\t\r\n]")).otherwise(F.lit(r"[,\r\n]")))).alias("path")
-    )
-    return leaves.unionByName(cells).where(uris.uri_scheme(F.col("path")).isNotNull())
+    return leaves.where(uris.uri_scheme(F.col("path")).isNotNull())
