@@ -18,9 +18,9 @@ from runlens import plans  # noqa: E402
 from runlens.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "flatten_calls", "workflow_root", "failed_calls", "troubleshoot_report", "failure_class", "lcp",
+    "flatten_calls", "workflow_root", "troubleshoot_report", "failure_class", "lcp",
     "monitor_stats", "monitor_last", "monitor_median", "monitor_scan", "input_sizes", "ragged_tsv",
-    "ols_sum", "ols_min", "ols_rules", "ols_multi",
+    "ols_sum", "ols_multi",
     "list_workflows", "find_wildcard", "find_ids", "find_union", "labels_build", "labels_update", "subworkflow_closure",
     "log_events", "status_transitions", "current_status", "task_events", "shortid_resolve",
     "flatten_doc", "leaf_values", "unflatten_doc", "merge_docs", "split_doc",

@@ -112,17 +112,14 @@ def merged_leaves(layers: DataFrame, key: str, layer: str, doc: str = "doc", lev
     one. So a leaf stays unless a higher layer sets its path, sets a non-object at one
     of its ancestors, or (for a scalar) an object at its own path.
     """
-    leaves = flatten_doc(layers, doc, [key, layer], levels, keep_empty=True)
+    leaves = flatten_doc(layers, doc, [key, layer], levels, keep_empty=True).where(F.size("path") > 0)
+    # at one path only the highest value and the highest empty object can matter, to the
+    # result or to other paths: this bounds a key by its paths, however many layers it has
     empty = F.col("value") == D.EMPTY_OBJECT
-    n = F.size("path")
-    steps = leaves.withColumn("_empty", empty).select(
-        key,
-        layer,
-        "path",
-        "value",
-        "_empty",
-        F.explode(F.sequence(F.lit(0), n)).alias("_n"),
+    tops = leaves.groupBy(key, "path", empty.alias("_empty")).agg(
+        F.max_by("value", layer).alias("value"), F.max(layer).alias(layer)
     )
+    steps = tops.select("*", F.explode(F.sequence(F.lit(1), F.size("path"))).alias("_n"))
     here = F.col("_n") == F.size("path")
     steps = steps.withColumn("_at", F.slice("path", F.lit(1), F.col("_n"))).withColumn("_here", here)
     at = Window.partitionBy(key, "_at")
@@ -135,9 +132,8 @@ def merged_leaves(layers: DataFrame, key: str, layer: str, doc: str = "doc", lev
         steps.withColumn("_lost", F.coalesce(lost > F.col(layer), F.lit(False)))
         .groupBy(key, layer, "path", "value")
         .agg(F.max("_lost").alias("_lost"))
-        .where(~F.col("_lost") & (F.size("path") > 0))
+        .where(~F.col("_lost"))
         .select(key, "path", "value")
-        .distinct()
     )
 
 

@@ -62,8 +62,10 @@ def next_status(previous: str | None, event: str) -> str | None:
 def status_stream(events: DataFrame) -> DataFrame:
     """Status changes ``(workflow_id, seq, pattern, status, write_metadata)`` of an event stream.
 
-    State is one status per workflow. Rows of a micro-batch are ordered by
-    ``(seq, pattern)`` before they meet the state.
+    State is one status per workflow. Only status lines reach it, and those of one
+    workflow in one micro-batch are ordered by ``(seq, pattern)`` first; the source's rate
+    options (``maxFilesPerTrigger``, ``maxBytesPerTrigger``) bound that set. For a backlog
+    use the batch operator, which splits a workflow's events over tasks.
     """
     seq_type = dict(events.dtypes)["seq"]
     schema = f"workflow_id string, seq {seq_type}, pattern int, status string, write_metadata boolean"
