@@ -125,7 +125,7 @@ ORACLES = {
         SELECT id, CASE WHEN k % 4 <> 1 THEN root END AS workflow_root FROM base""",
     "call_details": f"""
         WITH {R.CALLS_SQL}
-        SELECT id, call_name, ord, status, shard AS shard_idx, rc, job AS job_id, stdout, stderr,
+        SELECT id, call_name, ord, status, CAST(shard AS INTEGER) AS shard_idx, rc, job AS job_id, stdout, stderr,
                stderr || '.background' AS stderr_background,
                CASE WHEN job IS NOT NULL THEN started END AS run_start, CASE WHEN job IS NOT NULL THEN '9' END AS run_end
         FROM (SELECT * REPLACE (CASE WHEN call_name <> 'main.sub' THEN stderr END AS stderr) FROM calls)""",
@@ -149,7 +149,7 @@ ORACLES = {
     "failure_class": """
         SELECT doc_id, CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 OR contains(text, 'Killed') OR contains(text, 'OutOfMemory')
                             THEN 'out_of_memory' ELSE 'other' END AS failure_class,
-               length(text) + CASE WHEN doc_id % 5 = 0 THEN 7 WHEN doc_id % 7 = 0 THEN 27 ELSE 0 END AS n
+               CAST(length(text) + CASE WHEN doc_id % 5 = 0 THEN 7 WHEN doc_id % 7 = 0 THEN 27 ELSE 0 END AS INTEGER) AS n
         FROM documents""",
     "lcp": """
         WITH paths AS (SELECT p_size, p_type, '/data/' || p_type || '/' || p_brand || '/' || p_name AS path FROM part),
