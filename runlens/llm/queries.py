@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import langid, pii
+from runlens.llm import langid, packing, pii, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS first FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, d.payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND payload_bytes >= 1000
+"""
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    cut = packing.pieces(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")), keep=["doc_id"])
+    return packing.pack(cut).select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(
@@ -22,6 +44,24 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(topk.quantised(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+OP8_TOPK = """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = langid.fit(docs.where(~langid.held_out()))
@@ -29,5 +69,5 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.col("row.doc_id").alias("id"), "lang_pred", "score", "rejected").select("doc_id", langid.held_out("id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {"op6_pii": op6_pii, "op9_langid": op9_langid}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_warc": op1_warc, "op3_packing": op3_packing, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid}
+ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK}
