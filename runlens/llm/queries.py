@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import langid, packing, pii, topk, warc
+from runlens.llm import langid, near_dedup, packing, pii, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,5 +69,25 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.col("row.doc_id").alias("id"), "lang_pred", "score", "rejected").select("doc_id", langid.held_out("id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_packing": op3_packing, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid}
-ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP10_NEAR_DEDUP = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s
+  FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_n >= 85 * (x.n + y.n - both_n)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM w UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.root AS component_id, w.doc_id = c.root AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM r GROUP BY 1) c ON c.node = w.doc_id
+"""
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_packing": op3_packing, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
+ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP}
