@@ -131,7 +131,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, shard_rows: int = S
     shards, blocks = max(1, -(-rows // shard_rows)), max(1, -(-asked // query_block))
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     points = held.select("dim", deal(shards).alias("shard"), "vec_id", "v")
-    queries = held.where(is_query).select("dim", deal(blocks).alias("block"), F.col("vec_id").alias("query_id"), "v")
+    queries = held.where(is_query).select(F.col("dim").alias("dim"), deal(blocks).alias("block"), F.col("vec_id").alias("query_id"), F.col("v").alias("v"))  # names of their own for the cogroups
     home = F.col("block") % shards
     keys = ["dim", "shard", "block"]
     search, schema = _searcher(k), "query_id long, vec_id long, score long"

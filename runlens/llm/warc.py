@@ -44,8 +44,8 @@ from runlens.session import shared_dir, stage
 LEAST = 1000
 #: A task begins another package after so many records, which bounds its index in memory.
 PACKAGE_RECORDS = 50_000
-#: Bytes that one range read fetches, but for a longer record.
-READ_BYTES = 4 << 20
+#: Bytes that one range read fetches, but for a longer record, and that one task fetches in all.
+READ_BYTES, TASK_BYTES = 4 << 20, 64 << 20
 DATE = "2000-01-01T00:00:00Z"
 
 # Fixed values of the ZIP format: signatures and the sizes of the records they begin.
@@ -221,12 +221,12 @@ class Package:
         self.lines.append(f"{key} {json.dumps(place)}\n")
         self.at += len(packed)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.data.close()
         self.zip.writestr(zipfile.ZipInfo("indexes/index.cdxj"), "".join(self.lines))
         self.zip.close()
         self.file.close()
-        return self.path, len(self.lines)
+        return self.path, len(self.lines), self.at
 
 
 # ---- tables
@@ -243,7 +243,7 @@ def revisits(pages: DataFrame, page_id: Column, payload: Column, least: int = LE
 
 
 def write_packages(rows: DataFrame, folder: str, package_records: int = PACKAGE_RECORDS) -> DataFrame:
-    """Write rows of ``revisits``; gives ``path`` and ``records`` per package. Run it once: stage the result."""
+    """Write rows of ``revisits``; gives ``path``, ``records`` and ``bytes`` per package. Run it once: stage the result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, made, open_one = TaskContext.get(), [], None
@@ -258,13 +258,17 @@ def write_packages(rows: DataFrame, folder: str, package_records: int = PACKAGE_
                         open_one = None
         if open_one is not None:
             made.append(open_one.close())
-        yield pa.RecordBatch.from_pydict({"path": [m[0] for m in made], "records": [m[1] for m in made]}, schema=pa.schema([("path", pa.string()), ("records", pa.int64())]))
+        yield pa.RecordBatch.from_pydict({"path": [m[0] for m in made], "records": [m[1] for m in made], "bytes": [m[2] for m in made]}, schema=schema)
 
-    return rows.mapInArrow(run, "path string, records long")
+    schema = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
+    return rows.mapInArrow(run, "path string, records long, bytes long")
 
 
 def read_packages(packages: DataFrame, payloads: bool = False) -> DataFrame:
-    """Records of the packages in column ``path``: directories and indexes first, then runs of records by range."""
+    """Records of the packages in column ``path``: directories and indexes first, then runs of records by range.
+
+    Paths and ranges are small rows that stand for many bytes, so the number of tasks follows ``bytes``.
+    """
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,8 +302,10 @@ def read_packages(packages: DataFrame, payloads: bool = False) -> DataFrame:
         )
 
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())])
-    runs = packages.select("path").repartition("path").mapInArrow(locate, "path string, offsets array<long>, lengths array<long>")
-    dealt = runs.repartition("path", F.col("offsets")[0])
+    total = packages.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    readers = max(1, -(-total["bytes"] // TASK_BYTES), min(total["n"], packages.sparkSession.sparkContext.defaultParallelism))
+    runs = packages.select("path").repartition(max(1, min(readers, total["n"])), "path").mapInArrow(locate, "path string, offsets array<long>, lengths array<long>")
+    dealt = runs.repartition(readers, "path", F.col("offsets")[0])
     return dealt.mapInArrow(fetch, "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long" + ", payload binary" * payloads)
 
 
