@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import langid, near_dedup, packing, pii, suffix_dedup, topk, warc
+from runlens.llm import langid, near_dedup, packing, pii, quality, suffix_dedup, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut).select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("quality") == 1)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return left.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -94,5 +98,5 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM r GR
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_packing": op3_packing, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
+QUERIES = {"op1_warc": op1_warc, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
 ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP}
