@@ -42,7 +42,7 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     n = F.size("words")
-    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
+    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
     step1 = df.withColumns({"words": words(F.col(text)), "lines": lines}).withColumn("windows", windows)
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
