@@ -71,9 +71,12 @@ def grams(buckets: int = BUCKETS) -> Column:
 
 
 def ratios(docs: DataFrame, labels: DataFrame, good: Column, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """One row, ``ratios``: millionths of the log ratio of each bucket, with one added to each count."""
+    """One row, ``ratios``: millionths of the log ratio of each bucket, with one added to each count.
+
+    Labels grow with the documents, so they are never broadcast.
+    """
     trusted = labels.where(good & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("good_id")).distinct()
-    told = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(trusted, F.col("id") == F.col("good_id"), "left")
+    told = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(trusted.hint("merge"), F.col("id") == F.col("good_id"), "left")
     each = told.select(F.col("good_id").isNotNull().cast("long").alias("good"), words(F.col("text")).alias("words")).select("good", F.explode(grams(buckets)).alias("bucket"))
     counted = each.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("raw"), F.lit(0).cast("long").alias("good"))
