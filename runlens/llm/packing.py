@@ -13,6 +13,7 @@ whole text.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import unicodedata
@@ -31,8 +32,8 @@ END_ID = 1
 SHARD_PIECES = 1 << 16
 #: Pieces up to this length are placed last, the longest first.
 SHORT = 256
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words, and parts of words, whose ids a Python worker remembers.
+REMEMBERED = 500_000
 
 # The pre-tokenizer splits these texts at the same places as this pattern; any text with another
 # character goes to the tokenizer whole.
@@ -41,30 +42,58 @@ _WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įĴ-ňŊ-ž]+|[0-9]|[^\
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes. Words of plain texts are encoded once and remembered."""
+    """Ids of a text as little-endian 32-bit bytes. Words of plain texts are encoded once and remembered.
+
+    New parts of words are encoded in one call, blanks between; an id whose entry ends a word, as every
+    part's last one does, cuts the result apart again.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        split = [_WORD.findall(w) for w in words]
+        new = list(dict.fromkeys(p for parts in split for p in parts if p not in self.parts))
+        if new:
+            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(new):
+                raw = ids.tobytes()
+                self.parts.update((p, raw[a:b]) for p, a, b in zip(new, [0, *stops], stops, strict=False))
+            else:
+                self.parts.update((p, self._whole(p)) for p in new)
+        self.words.update((w, b"".join([self.parts[p] for p in parts])) for w, parts in zip(words, split, strict=True))
 
     def __call__(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or "<|" in text:
-            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = _WORD.findall(unicodedata.normalize("NFC", text).lower())
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = self._pack(e.ids)
+            return self._whole(text)
+        words = unicodedata.normalize("NFC", text).lower().split()
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
+        known = self.words
+        if new := [w for w in dict.fromkeys(words) if w not in known]:
+            self._learn(new)
         return b"".join([known[w] for w in words])
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker, which serves many tasks."""
+    return Encoder(path)
+
+
 def cut(ids: bytes, length: int = SEQUENCE) -> list[dict]:
     """Pieces of a document's ids: number, start, length, checksum."""
     step = 4 * length
@@ -75,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", length: int = SE
     """``row`` and, per piece, ``piece``, ``start``, ``length``, ``ids_crc32``. ``tokenizer``: path of its file on every worker."""
 
     def make():
-        encode, end = Encoder(tokenizer), struct.pack("<I", END_ID)
+        encode, end = encoder(tokenizer), struct.pack("<I", END_ID)
         return lambda columns: {"pieces": [cut(encode(t or "") + end, length) for t in columns["text"]]}
 
     found = map_rows(docs, {"text": F.col(text)}, "pieces array<struct<piece:int,start:long,length:long,ids_crc32:long>>", make, keep)
