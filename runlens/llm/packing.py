@@ -32,8 +32,8 @@ END_ID = 1
 SHARD_PIECES = 1 << 16
 #: Pieces up to this length are placed last, the longest first.
 SHORT = 256
-#: Words, and parts of words, whose ids a Python worker remembers.
-REMEMBERED = 500_000
+#: Words whose ids a Python worker remembers.
+REMEMBERED = 800_000
 
 # The pre-tokenizer splits these texts at the same places as this pattern; any text with another
 # character goes to the tokenizer whole.
@@ -42,10 +42,10 @@ _WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įĴ-ňŊ-ž]+|[0-9]|[^\
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes. Words of plain texts are encoded once and remembered.
+    """Ids of texts as little-endian 32-bit bytes. Words of plain texts are encoded once and remembered.
 
-    New parts of words are encoded in one call, blanks between; an id whose entry ends a word, as every
-    part's last one does, cuts the result apart again.
+    New words are encoded in one call, blanks between; an id whose entry ends a word, as every word's last
+    one does, cuts the result apart again.
     """
 
     def __init__(self, path: str):
@@ -55,37 +55,28 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        split = [_WORD.findall(w) for w in words]
-        new = list(dict.fromkeys(p for parts in split for p in parts if p not in self.parts))
-        if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) == len(new):
-                raw = ids.tobytes()
-                self.parts.update((p, raw[a:b]) for p, a, b in zip(new, [0, *stops], stops, strict=False))
-            else:
-                self.parts.update((p, self._whole(p)) for p in new)
-        self.words.update((w, b"".join([self.parts[p] for p in parts])) for w, parts in zip(words, split, strict=True))
-
-    def __call__(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or "<|" in text:
-            return self._whole(text)
-        words = unicodedata.normalize("NFC", text).lower().split()
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        known = self.words
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
+    def _learn(self, new: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stops) == len(new):
+            raw = ids.tobytes()
+            self.known.update(zip(new, [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
+        else:
+            self.known.update((p, self._whole(p)) for p in new)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        parts = [_WORD.findall(unicodedata.normalize("NFC", t).lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
+        if new := list(set().union(*[p for p in parts if p]).difference(known)):
             self._learn(new)
-        return b"".join([known[w] for w in words])
+        return [self._whole(t) if p is None else b"".join([known[x] for x in p]) for t, p in zip(texts, parts, strict=True)]
 
 
 @functools.cache
@@ -105,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", length: int = SE
 
     def make():
         encode, end = encoder(tokenizer), struct.pack("<I", END_ID)
-        return lambda columns: {"pieces": [cut(encode(t or "") + end, length) for t in columns["text"]]}
+        return lambda columns: {"pieces": [cut(ids + end, length) for ids in encode([t or "" for t in columns["text"]])]}
 
     found = map_rows(docs, {"text": F.col(text)}, "pieces array<struct<piece:int,start:long,length:long,ids_crc32:long>>", make, keep)
     return found.select("row", F.inline("pieces"))
