@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import langid, near_dedup, packing, pii, quality, suffix_dedup, topk, warc
+from runlens.llm import langid, near_dedup, packing, pii, quality, suffix_dedup, topk, url_templates, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,13 @@ FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND payload_bytes >= 1
 """
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -98,5 +105,5 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM r GR
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
+QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
 ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP}
