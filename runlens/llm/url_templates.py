@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runlens.session import stage
+
 LEVELS = 4
 MANY = 8
 Z_SQUARED = 3.84
@@ -33,7 +35,7 @@ REJECT_PERCENT = 90
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
-_ID = r"\A(?:[0-9]+|(?=.*[0-9])[0-9a-fA-F-]{8,}|(?=.*[0-9]).{24,})\z"
+_ID = r"\A(?:[0-9]+(?:\.[A-Za-z]+)?|(?=.*[0-9])[0-9a-fA-F-]{8,}|(?=.*[0-9]).{24,})\z"
 
 
 def host(url: Column) -> Column:
@@ -68,11 +70,12 @@ def _level(state: DataFrame, level: int) -> DataFrame:
 
 
 def templates(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``urls`` (host, path, n, bad, good; distinct) with ``template`` and ``shape``."""
+    """``urls`` (host, path, n, bad, good; distinct) with ``template`` and ``shape``. Each level is staged: the next reads it twice."""
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
-    state = urls.withColumns({"segments": parts, "template": F.lit(""), "shape": F.lit("")})
-    for level in range(1, levels + 1):
-        state = _level(state, level)
+    state = stage(urls.withColumns({"segments": parts, "template": F.lit(""), "shape": F.lit("")}))
+    deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
+    for level in range(1, min(levels, deepest) + 1):
+        state = stage(_level(state, level))
     tail = F.when(F.size("segments") > levels, "/**").otherwise("")
     return state.withColumns({"template": F.concat("template", tail), "shape": F.concat("shape", tail)}).drop("segments")
 
