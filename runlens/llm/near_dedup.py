@@ -10,11 +10,12 @@ What moves through the cluster:
 
 - equal sets fold to the smallest id first (an aggregate of digests), so copies cost one row each;
 - bands that no other set shares are dropped before pairs of bands are formed;
-- in each table a set is compared with the smallest id there, not with all others. Texts travel to
-  (leader, part), and a leader with many members is given to many parts;
-- components of the confirmed links are formed. Only tables that still hold several components are
-  looked at again, and only pairs across their components are compared, so no pair that shares a table
-  and could join two components stays unseen.
+- a set is compared with one leader at first, the smallest id in any of its tables, then with one by
+  another order. Texts travel to (leader, part), and a leader with many members is given to many parts;
+- components of the confirmed links are formed. Sets in tables that still hold several components are
+  looked at again: a prefix join on their rarest shingles gives every pair across components that can
+  be similar. So no pair that shares a table and could join two components stays unseen, and texts that
+  share no more than a frequent passage are not paired.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing. Rows
 that share an id are one document: the links of any of them count. Rows without id are linked with
@@ -188,33 +189,61 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return asked.groupBy("leader", "part").applyInPandas(work, "u long, v long").distinct()
 
 
+def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries, with their component, of the tables that hold several components."""
+    tagged = entries.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parted = tagged.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
+    return tagged.join(parted, "key", "left_semi")
+
+
+def _one_leader(entries: DataFrame, order: Column) -> DataFrame:
+    """For each id, the first in ``order`` of the leaders of its tables that may be similar and is no part of its component yet."""
+    lead = entries.groupBy("key").agg(F.min_by(F.struct("id", "n_shingles", "component"), order).alias("lead"))
+    near = entries.join(lead, "key").where((F.col("component") != F.col("lead.component")) & _fits(F.col("n_shingles"), F.col("lead.n_shingles")))
+    return near.groupBy("id").agg(F.min("lead.id").alias("v"), F.first("n_bytes").alias("n_bytes")).select(F.col("id").alias("u"), "v", "n_bytes")
+
+
+def _by_prefix(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every pair across components that can be similar: sets share one of the rarest shingles of each.
+
+    Of n shingles in any fixed order, two sets of similarity s share one of the first n - ceil(s n) + 1. In
+    order of rarity those are what sets a text apart, and not a passage that many texts have. Where the
+    first shared one stands bounds what both can share at all: from there on, s / (1 + s) of both sets.
+    """
+    found = map_rows(members.join(texts, "id"), {"text": F.col("text")}, "shingles array<long>", lambda: lambda c: {"shingles": [s.view(np.int64).tolist() for s in shingle_sets(c["text"])]}, ["id", "component", "n_bytes"])
+    each = stage(found.select("row.*", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    rarity = each.groupBy("shingle").agg(F.count("*").alias("rarity")).where("rarity > 1")
+    ranked = each.join(rarity, "shingle", "left").groupBy("id", "component", "n_bytes", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("rarity", F.lit(1)).alias("rarity"), "shingle"))).alias("all"))
+    first = F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1
+    prefix = ranked.select("id", "component", "n_bytes", "n", F.posexplode(F.slice("all", F.lit(1), first.cast("int"))).alias("at", "x")).where("x.rarity > 1")
+    x = prefix.select("x.shingle", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"), F.col("at").alias("au"), "n_bytes")
+    y = prefix.select("x.shingle", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"), F.col("at").alias("av"))
+    enough = F.least(F.col("nu") - F.col("au"), F.col("nv") - F.col("av")) * (100 + SIMILARITY) >= (F.col("nu") + F.col("nv")) * SIMILARITY
+    return x.join(y, "shingle").where((F.col("cu") > F.col("cv")) & enough).select("u", "v", "n_bytes").distinct()
+
+
 def links(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Links between ids that span every component: ``u``, ``v``. ``found``: staged ``sets`` of ``docs``."""
     whole = found.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     heads = whole.groupBy("digest").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.max("n_bytes").alias("n_bytes"), F.min("bands").alias("bands"))
-    entries = stage(tables(heads))
-    lead = entries.groupBy("key").agg(F.min_by(F.struct("id", "n_shingles"), F.col("id")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    near = entries.join(lead, "key").where((F.col("id") != F.col("lead.id")) & _fits(F.col("n_shingles"), F.col("lead.n_shingles")))
-    first = stage(near.select(F.col("id").alias("u"), F.col("lead.id").alias("v"), "n_bytes").distinct())
-    members = stage(entries.join(lead.select("key"), "key", "left_semi").select("id").distinct())
+    made = stage(tables(heads))
+    entries = stage(made.join(made.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key"), "key", "left_semi"))
+    members = stage(entries.select("id").distinct())
     texts = stage(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(members, "id", "left_semi"))
-    confirmed = stage(confirm(first, texts))
 
     # ids with several sets
     several = whole.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("id")
-    same = whole.join(several, "id", "left_semi").select(F.col("id").alias("u"), "digest").join(heads.select("digest", F.col("id").alias("v")), "digest").select("u", "v")
-    known = stage(confirmed.union(same))
-
-    # tables that still hold several components: pairs across them
-    labels = components(known)
-    tagged = entries.join(lead.select("key"), "key", "left_semi").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parted = tagged.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    mixed = tagged.join(parted, "key", "left_semi")
-    x = mixed.select("key", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n_shingles").alias("nu"), "n_bytes")
-    y = mixed.select("key", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n_shingles").alias("nv"))
-    across = x.join(y, "key").where((F.col("cu") > F.col("cv")) & _fits(F.col("nu"), F.col("nv"))).select("u", "v", "n_bytes").distinct()
-    untried = stage(across.join(first.select("u", "v"), ["u", "v"], "left_anti"))
-    return known if untried.isEmpty() else stage(known.union(confirm(untried, texts)))
+    known = stage(whole.join(several, "id", "left_semi").select(F.col("id").alias("u"), "digest").join(heads.select("digest", F.col("id").alias("v")), "digest").select("u", "v"))
+
+    labels = None
+    for order in (F.col("id"), F.xxhash64("id")):
+        left = entries.withColumn("component", F.col("id")) if labels is None else _open(entries, labels)
+        known = stage(known.union(confirm(stage(_one_leader(left, order)), texts)))
+        labels = stage(components(known))
+    left = stage(_open(entries, labels).select("id", "component", "n_bytes").distinct())
+    if left.isEmpty():
+        return known
+    return stage(known.union(confirm(stage(_by_prefix(left, texts)), texts)))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
