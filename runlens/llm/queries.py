@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import langid, near_dedup, packing, pii, quality, suffix_dedup, topk, url_templates, warc
+from runlens.llm import langid, near_dedup, packing, pieces, pii, quality, suffix_dedup, topk, url_templates, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,19 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and checksum of its piece ids, and the digest of the text that they decode to."""
+    import public_tokenizers
+    import sentencepiece
+
+    file = str(public_tokenizers.path("piece_bpe_32k.model"))
+    model = sentencepiece.SentencePieceProcessor(model_file=file)
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), pieces.piece_table(spark, file))
+    back = pieces.decode(encoded, [model.id_to_piece(i) for i in range(model.vocab_size())])
+    ids = F.array_join("row.ids", ",")
+    return back.select("row.doc_id", F.size("row.ids").cast("long").alias("n_pieces"), F.crc32(ids.cast("binary")).alias("ids_crc32"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.quantised(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
 
@@ -105,5 +118,5 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM r GR
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
+QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
 ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP}
