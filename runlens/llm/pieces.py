@@ -10,7 +10,7 @@ edges then gives its segmentation:
 - ``viterbi``: the best sum of scores, for unigram models, by Spark's higher-order ``aggregate``;
 - ``merge``: the best adjacent merge, again and again, the leftmost of equals, for BPE models. A Viterbi
   path over BPE scores is another segmentation than SentencePiece's own, so BPE models need this one. It
-  needs a queue per word and runs in Arrow batches.
+  needs a queue per word and runs where the part's documents take up the ids.
 
 Characters without a piece become byte pieces. Documents are dealt to parts by a hash and shuffled once;
 distinct words, edges and documents are all grouped under that partitioning.
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +32,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 MARK = "▁"
 MAX_PIECES = 1 << 18
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 _WORD = f"(?={MARK})(?<!{MARK})"
 
 
@@ -98,23 +97,23 @@ def merge_cuts(n: int, edges: dict[tuple[int, int], float]) -> list[int]:
     return [i for i in range(n) if live[i]] + [n]
 
 
-def _merge_ids(first_byte: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for word, *edges in zip(*[batch.column(c).to_pylist() for c in ("word", "starts", "ends", "scores", "ids")], strict=True):
-                found = list(zip(*edges, strict=True))
-                ids = {(a, b): i for a, b, _, i in found if i is not None}
-                cuts = merge_cuts(len(word), {(a, b): x for a, b, x, i in found if i is not None})
-                own: list[int] = []
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    known = ids.get((a, b))
-                    own += [known] if known is not None else [first_byte + c for c in word[a:b].encode()]
-                out.append(own)
-            rest = [n for n in batch.schema.names if n not in ("starts", "ends", "scores", "ids")]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in rest], pa.array(out, type=pa.list_(pa.int32()))], names=[*rest, "ids"])
+def merge_batch(batch: pa.RecordBatch, first_byte: int) -> list[list[int]]:
+    """Piece ids of the words of a batch with the columns of ``apart``."""
+    out = []
+    for word, *edges in zip(*[batch.column(c).to_pylist() for c in ("word", "starts", "ends", "scores", "ids")], strict=True):
+        found = [x for x in zip(*edges, strict=True) if x[3] is not None]
+        ids = {(a, b): i for a, b, _, i in found}
+        cuts = merge_cuts(len(word), {(a, b): x for a, b, x, _ in found})
+        own: list[int] = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            known = ids.get((a, b))
+            own += [known] if known is not None else [first_byte + c for c in word[a:b].encode()]
+        out.append(own)
+    return out
 
-    return run
+
+def apart(found: DataFrame, keys: list[str]) -> DataFrame:
+    return found.select(*keys, "word", *[F.col(f"edges.{k}").alias(n) for n, k in (("starts", "s"), ("ends", "e"), ("scores", "score"), ("ids", "id"))])
 
 
 def viterbi_fold(unknown: float = -1e6) -> Column:
@@ -135,31 +134,31 @@ def viterbi_fold(unknown: float = -1e6) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), start, step, walk)
 
 
-def encode_words(distinct: DataFrame, pieces: DataFrame, keys: list[str], fold: str = "merge", first_byte: int = 3) -> DataFrame:
-    """``keys``, ``word``, ``ids`` of distinct words."""
-    if fold not in ("merge", "viterbi"):
-        raise ValueError(f"no fold {fold}")
+def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], fold: str, first_byte: int) -> DataFrame:
+    """``keys``, ``word``, and ``ids`` (Viterbi) or the edges that ``merge_batch`` folds."""
     longest = pieces.agg(F.max(F.length("piece"))).first()[0] or 1
     found = lattice(distinct, pieces, keys, longest)
-    if fold == "viterbi":
-        return found.withColumn("cuts", viterbi_fold()).select(*keys, "word", _ids(F.col("cuts"), first_byte).alias("ids"))
-    apart = [F.transform("edges", lambda d, k=k: d[k]).alias(n) for n, k in (("starts", "s"), ("ends", "e"), ("scores", "score"), ("ids", "id"))]
-    schema = StructType([*[distinct.schema[k] for k in keys], distinct.schema["word"], StructField("ids", ArrayType(IntegerType()))])
-    return found.select(*keys, "word", *apart).mapInArrow(_merge_ids(first_byte), schema)
+    if fold == "merge":
+        return apart(found, keys)
+    if fold != "viterbi":
+        raise ValueError(f"no fold {fold}")
+    return found.withColumn("cuts", viterbi_fold()).select(*keys, "word", _ids(F.col("cuts"), first_byte).alias("ids"))
 
 
-def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: str = "merge", part_bytes: int = PART_BYTES) -> DataFrame:
+def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: str = "merge", first_byte: int = 3, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id`` and ``ids`` of every row."""
     body = F.coalesce(F.col(text), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
     dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).alias("doc_id"), body.alias("text")).repartition("part")
     distinct = dealt.select("part", F.explode(words(F.col("text"))).alias("word")).distinct()
-    encoded = encode_words(distinct, pieces, ["part"], fold).withColumn("part", F.col("part").alias("part"))  # a name of its own for the cogroup
+    encoded = folded(distinct, pieces, ["part"], fold, first_byte).withColumn("part", F.col("part").alias("part"))  # a name of its own for the cogroup
     schema = StructType([StructField("doc_id", dealt.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
 
     def attach(own: pa.Table, known: pa.Table) -> pa.Table:
-        ids = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist(), strict=True))
+        ids: dict[str, list[int]] = {}
+        for batch in known.combine_chunks().to_batches(max_chunksize=4096):
+            ids.update(zip(batch.column("word").to_pylist(), merge_batch(batch, first_byte) if fold == "merge" else batch.column("ids").to_pylist(), strict=True))
         out = []
         for t in own.column("text").to_pylist():
             marked = MARK + t.replace(" ", MARK) if t else ""
