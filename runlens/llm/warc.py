@@ -117,7 +117,7 @@ def parse(raw: bytes) -> dict:
 def directory(read: Read, size: int) -> list[Member]:
     """Stored members of a ZIP file, from its central directory."""
     tail = read(max(0, size - END_BYTES - 0xFFFF), min(size, END_BYTES + 0xFFFF))
-    at = tail.rfind(END)
+    at = tail.rfind(END, 0, len(tail) - END_BYTES + len(END))
     while at >= 0 and at + END_BYTES + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(END, 0, at)
     if at < 0:
