@@ -125,8 +125,10 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
 
 def _split(values: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Positions of each key, by a stable sort."""
+    if not len(keys):
+        return
     order = np.argsort(keys, kind="stable")
-    cuts = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1]))) if len(keys) else []
+    cuts = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
     for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
         yield int(keys[order[a]]), values[order[a:b]]
 

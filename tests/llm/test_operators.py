@@ -32,7 +32,7 @@ DOCS = [
     (0, None, None, "r", 1), (1, "", "en", "r", 1), (2, " \n\t ", "en", "r", 1), (3, "one two", "en", "r", 1), (3, "one two", "en", "r", 1),
     (4, PASSAGE + words(80, 1), "en", None, 1), (5, words(60, 2) + " " + PASSAGE + "ü€", "de", "r", None), (6, PASSAGE + words(80, 1), "en", "r", 1),
     (7, words(200, 3), "fr", "r", 1), (8, words(200, 3) + " more", "fr", "r", 1), (9, words(30000, 4), "en", "r", 1), (None, words(40, 5), "en", "r", 1),
-    (10, "mail a.b@c.org or x@y, 10.0.0.255 999.1.1.1 +49 (30) 1234-567 4111 1111 1111 1111", "en", "r", 1), (11, "ONE  two", None, "r", 1), (12, "x" * 3000, "en", "r", 1),
+    (10, "mail a.b@c.org or x@y, 10.0.0.255 999.1.1.1 +49 (30) 1234-567, 4111 1111 1111 1111", "en", "r", 1), (11, "ONE  two", None, "r", 1), (12, "x" * 3000, "en", "r", 1),
 ]
 
 
@@ -278,10 +278,10 @@ def test_pii_spans_equal_patterns():
 def test_pii_added_kinds_and_tables(docs, nothing):
     t = "IBAN: DE89 3704 0044 0532 0130 00, ssn 123-45-6789, http://me:pw@host/ account DE00 3704 0044 0532 0130 00"
     found = pii.spans(t, pii.automaton())
-    assert [(k, t[a:b]) for k, a, b in found if k not in pii.BASE] == [("iban", "DE89 3704 0044 0532 0130 00"), ("login", "//me:pw"), ("ssn", "123-45-6789")] or [k for k, *_ in found if k not in pii.BASE] == ["iban", "login", "ssn"]
+    assert [(k, t[a:b]) for k, a, b in found if k not in pii.BASE] == [("iban", "DE89 3704 0044 0532 0130 00"), ("login", "me:pw"), ("ssn", "123-45-6789")]
     rows = pii.find_pii(docs)
     by = {r["row"]["doc_id"]: r for r in rows.collect()}
-    assert by[0]["clean"] is None and by[1]["clean"] == "" and by[10]["clean"] == "mail [email] or x@y, [ip] 999.1.1.1 [phone] [card]"
+    assert by[0]["clean"] is None and by[1]["clean"] == "" and by[10]["clean"] == "mail [email] or x@y, [ip] 999.1.1.1 [phone], [card]"
     assert rows.count() == len(DOCS) and pii.find_pii(nothing).count() == 0
 
 
