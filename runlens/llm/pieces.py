@@ -1,19 +1,21 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 A text is normalised as the model does it: blanks become the blank mark, one is put in front. No piece
-has the mark after another character, so a word is a run of marks and what follows up to the next mark,
-and words are independent. The distinct words of a part of the documents are exploded to their
-substrings of at most the longest piece's length, equi-joined to the piece table (a vocabulary of at
-most MAX_PIECES rows, so it is broadcast), and the edges are grouped by word again. A fold over a word's
-edges then gives its segmentation:
+has the mark after another character (a table that has one is refused), so a word is a run of marks and
+what follows up to the next mark, and words are independent. Words are cut once more at ``seams``, places
+that no piece of the table spans, such as those between letters and full stops. The distinct segments of
+a part of the documents are exploded to their substrings of at most the longest piece's length,
+equi-joined to the piece table (a vocabulary of at most MAX_PIECES rows, so it is broadcast), and the
+edges are grouped by segment again. A fold over a segment's edges then gives its segmentation:
 
 - ``viterbi``: the best sum of scores, for unigram models, by Spark's higher-order ``aggregate``;
 - ``merge``: the best adjacent merge, again and again, the leftmost of equals, for BPE models. A Viterbi
   path over BPE scores is another segmentation than SentencePiece's own, so BPE models need this one. It
-  needs a queue per word and runs where the part's documents take up the ids.
+  needs a queue per segment and runs where the part's documents take up the ids.
 
 Characters without a piece become byte pieces. Documents are dealt to parts by a hash and shuffled once;
-distinct words, edges and documents are all grouped under that partitioning.
+distinct segments, edges and documents are all grouped under that partitioning. A part is sized by bytes
+of text, so a task's memory doesn't grow with the input.
 
 Defined cases: a null text counts as empty and has no pieces. Repeated rows give repeated results. A
 word without any piece is all byte pieces. Long words fold in n log n steps by merges, and by Viterbi in
@@ -24,16 +26,22 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MARK = "▁"
 MAX_PIECES = 1 << 18
-PART_BYTES = 4 << 20
+PART_BYTES = 32 << 20
 _WORD = f"(?={MARK})(?<!{MARK})"
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
+#: Rows that decoding turns into Python values at a time.
+SLICE_ROWS = 1024
 
 
 def piece_table(spark: SparkSession, model_file: str) -> DataFrame:
@@ -56,13 +64,38 @@ def words(text: Column) -> Column:
     return F.filter(F.split(normalised(text), _WORD), lambda w: w != "")
 
 
+def seams(known: Iterable[str]) -> str:
+    """Pattern of places in a word that no piece spans, as far as letters and ASCII signs tell.
+
+    Signs that no piece has after (before) any character, and those that no piece has after (before) a
+    letter. Neither a merge nor a path's edge can cross such a place, so the sides are independent.
+    """
+    letter = re.compile(_LETTER)
+    follow, lead, after_letter, before_letter = set(), set(), set(), set()
+    for piece in known:
+        for a, b in zip(piece, piece[1:], strict=False):
+            if b == MARK and a != MARK:
+                raise ValueError(f"piece {piece!r} has the blank mark after another character")
+            follow.add(b)
+            lead.add(a)
+            if letter.match(a):
+                after_letter.add(b)
+            if letter.match(b):
+                before_letter.add(a)
+    signs = [c for c in map(chr, range(128)) if not letter.match(c)]
+    free = lambda used: "[" + "".join(f"\\x{ord(c):02x}" for c in signs if c not in used) + "]"
+    patterns = [(follow, "(?={})"), (lead, "(?<={})"), (after_letter, f"(?<={_LETTER})(?={{}})"), (before_letter, f"(?<={{}})(?={_LETTER})")]
+    return "|".join(p.format(free(used)) for used, p in patterns if set(signs) - used)
+
+
 def lattice(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int) -> DataFrame:
-    """Edges of each word (column ``word`` under ``keys``): ``edges`` of (start, end, score, id), id null for a character without a piece."""
+    """Edges of each word (column ``word`` under ``keys``): ``edges`` of (s, e, score, id), id null for a character without a piece."""
     n = F.length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda a: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), n - a + 1)), lambda k: F.struct((a - 1).alias("s"), (a + k - 1).alias("e"), F.substring("word", a, k).alias("text")))))
-    exploded = distinct.select(*keys, "word", F.explode(spans).alias("x")).select(*keys, "word", "x.s", "x.e", "x.text")
+    starts = distinct.select(*keys, "word", F.explode(F.sequence(F.lit(1), n)).alias("a"))
+    spans = starts.select(*keys, "word", "a", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("a") + 1))).alias("k"))
+    exploded = spans.select(*keys, "word", (F.col("a") - 1).alias("s"), (F.col("a") + F.col("k") - 1).alias("e"), F.substring("word", F.col("a"), F.col("k")).alias("text"))
     joined = exploded.join(F.broadcast(pieces), F.col("text") == F.col("piece"), "left").where(F.col("piece_id").isNotNull() | (F.col("e") - F.col("s") == 1))
-    return joined.groupBy(*keys, "word").agg(F.array_sort(F.collect_list(F.struct("s", "e", "score", F.col("piece_id").alias("id")))).alias("edges"))
+    return joined.groupBy(*keys, "word").agg(F.collect_list(F.struct("s", "e", "score", F.col("piece_id").alias("id"))).alias("edges"))
 
 
 def _bytes(character: Column, first_byte: int) -> Column:
@@ -97,19 +130,22 @@ def merge_cuts(n: int, edges: dict[tuple[int, int], float]) -> list[int]:
     return [i for i in range(n) if live[i]] + [n]
 
 
-def merge_batch(batch: pa.RecordBatch, first_byte: int) -> list[list[int]]:
-    """Piece ids of the words of a batch with the columns of ``apart``."""
-    out = []
-    for word, *edges in zip(*[batch.column(c).to_pylist() for c in ("word", "starts", "ends", "scores", "ids")], strict=True):
-        found = [x for x in zip(*edges, strict=True) if x[3] is not None]
-        ids = {(a, b): i for a, b, _, i in found}
-        cuts = merge_cuts(len(word), {(a, b): x for a, b, x, _ in found})
-        own: list[int] = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            known = ids.get((a, b))
-            own += [known] if known is not None else [first_byte + c for c in word[a:b].encode()]
-        out.append(own)
-    return out
+def merge_batch(batch: pa.RecordBatch, first_byte: int) -> Iterator[list[int]]:
+    """Piece ids of each word of a batch with the columns of ``apart``."""
+    starts, ends, scores, ids = (batch.column(c) for c in ("starts", "ends", "scores", "ids"))
+    bounds = starts.offsets.to_pylist()
+    first = bounds[0]
+    spans = list(zip(starts.flatten().to_pylist(), ends.flatten().to_pylist(), strict=True))
+    values, known = scores.flatten().to_pylist(), ids.flatten().to_pylist()
+    for word, a, b in zip(batch.column("word").to_pylist(), bounds, bounds[1:], strict=False):
+        at = slice(a - first, b - first)
+        own = {x: i for x, i in zip(spans[at], known[at], strict=True) if i is not None}
+        cuts = merge_cuts(len(word), {x: v for x, v in zip(spans[at], values[at], strict=True) if x in own})
+        out: list[int] = []
+        for x in zip(cuts, cuts[1:], strict=False):
+            i = own.get(x)
+            out += [i] if i is not None else [first_byte + c for c in word[x[0] : x[1]].encode()]
+        yield out
 
 
 def apart(found: DataFrame, keys: list[str]) -> DataFrame:
@@ -134,9 +170,8 @@ def viterbi_fold(unknown: float = -1e6) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), start, step, walk)
 
 
-def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], fold: str, first_byte: int) -> DataFrame:
+def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int, fold: str, first_byte: int) -> DataFrame:
     """``keys``, ``word``, and ``ids`` (Viterbi) or the edges that ``merge_batch`` folds."""
-    longest = pieces.agg(F.max(F.length("piece"))).first()[0] or 1
     found = lattice(distinct, pieces, keys, longest)
     if fold == "merge":
         return apart(found, keys)
@@ -145,40 +180,68 @@ def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], fold: str, f
     return found.withColumn("cuts", viterbi_fold()).select(*keys, "word", _ids(F.col("cuts"), first_byte).alias("ids"))
 
 
+def _by_word(segments: dict[str, list[int]], cut: str) -> Callable[[str], list[int]]:
+    """Ids of a word from those of its segments, each word put together once."""
+    split = re.compile(cut).split if cut else lambda w: [w]
+    made: dict[str, list[int]] = {}
+
+    def ids(word: str) -> list[int]:
+        got = made.get(word)
+        if got is None:
+            got = made[word] = [i for x in split(word) if x for i in segments[x]]
+        return got
+
+    return ids
+
+
 def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: str = "merge", first_byte: int = 3, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id`` and ``ids`` of every row."""
+    known = [r.piece for r in pieces.select("piece").take(MAX_PIECES + 1)]
+    if len(known) > MAX_PIECES:
+        raise ValueError(f"the table is broadcast and may have {MAX_PIECES} pieces")
+    cut, longest = seams(known), max(map(len, known), default=1)
     body = F.coalesce(F.col(text), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
     dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).alias("doc_id"), body.alias("text")).repartition("part")
     distinct = dealt.select("part", F.explode(words(F.col("text"))).alias("word")).distinct()
-    encoded = folded(distinct, pieces, ["part"], fold, first_byte).withColumn("part", F.col("part").alias("part"))  # a name of its own for the cogroup
+    if cut:
+        distinct = distinct.select("part", F.explode(F.split("word", cut)).alias("word")).where("word <> ''").distinct()
+    encoded = folded(distinct, pieces, ["part"], longest, fold, first_byte).withColumn("part", F.col("part").alias("part"))  # a name of its own for the cogroup
     schema = StructType([StructField("doc_id", dealt.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
 
     def attach(own: pa.Table, known: pa.Table) -> pa.Table:
-        ids: dict[str, list[int]] = {}
-        for batch in known.combine_chunks().to_batches(max_chunksize=4096):
-            ids.update(zip(batch.column("word").to_pylist(), merge_batch(batch, first_byte) if fold == "merge" else batch.column("ids").to_pylist(), strict=True))
-        out = []
-        for t in own.column("text").to_pylist():
-            marked = MARK + t.replace(" ", MARK) if t else ""
-            out.append([i for w in re.findall(f"{MARK}+[^{MARK}]*", marked) for i in ids[w]])
-        return pa.table({"doc_id": own.column("doc_id"), "ids": pa.array(out, type=pa.list_(pa.int32()))})
+        segments: dict[str, list[int]] = {}
+        for batch in known.to_batches(max_chunksize=4096):
+            segments.update(zip(batch.column("word").to_pylist(), merge_batch(batch, first_byte) if fold == "merge" else batch.column("ids").to_pylist(), strict=True))
+        ids, split = _by_word(segments, cut), re.compile(f"{MARK}+[^{MARK}]*").findall
+        values, ends = array("i"), [0]
+        for chunk in own.column("text").chunks:
+            for t in chunk:
+                whole = t.as_py()
+                for w in split(MARK + whole.replace(" ", MARK)) if whole else ():
+                    values.extend(ids(w))
+                ends.append(len(values))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
+        return pa.table({"doc_id": own.column("doc_id"), "ids": lists})
 
     return dealt.groupBy("part").cogroup(encoded.groupBy("part")).applyInArrow(attach, schema)
 
 
 def decode(encoded: DataFrame, model_pieces: list[str], first_byte: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """``row`` and ``text``: pieces and byte pieces joined, marks as blanks, without the one in front."""
-    from runlens.llm.rows import map_rows
-
+    """``row`` (the kept columns) and ``text``: pieces and byte pieces joined, marks as blanks, without the one in front; null ids give an empty text."""
     raw = [bytes([i - first_byte]) if first_byte <= i < first_byte + 256 else p.encode() for i, p in enumerate(model_pieces)]
-
-    def make():
-        return lambda c: {"text": [b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")[1:] for ids in map(_numbers, c["ids"])]}
-
-    return map_rows(encoded, {"ids": F.array_join("ids", ",")}, "text string", make, keep)
-
-
-def _numbers(joined: str | None) -> list[int]:
-    return [int(i) for i in joined.split(",")] if joined else []
+    kept = StructType([encoded.schema[c] for c in (encoded.columns if keep is None else keep)])
+    narrow = encoded.select(F.struct(*[F.col(f"`{c}`") for c in kept.names]).alias("row"), F.coalesce("ids", F.array().cast("array<int>")).alias("in_ids"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                part = whole.slice(at, SLICE_ROWS)
+                lists = part.column("in_ids")
+                bounds = lists.offsets.to_pylist()
+                found = [raw[i] for i in lists.flatten().to_pylist()]
+                texts = [b"".join(found[a - bounds[0] : b - bounds[0]]).decode("utf-8", "replace").replace(MARK, " ")[1:] for a, b in zip(bounds, bounds[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+    return narrow.mapInArrow(run, StructType([StructField("row", kept), StructField("text", StringType())]))

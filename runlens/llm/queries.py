@@ -67,10 +67,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     file = str(public_tokenizers.path("piece_bpe_32k.model"))
     model = sentencepiece.SentencePieceProcessor(model_file=file)
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), pieces.piece_table(spark, file))
-    back = pieces.decode(encoded, [model.id_to_piece(i) for i in range(model.vocab_size())])
-    ids = F.array_join("row.ids", ",")
-    return back.select("row.doc_id", F.size("row.ids").cast("long").alias("n_pieces"), F.crc32(ids.cast("binary")).alias("ids_crc32"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    ids = F.array_join("ids", ",")
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), pieces.piece_table(spark, file)).withColumns({"n_pieces": F.size("ids").cast("long"), "ids_crc32": F.crc32(ids.cast("binary"))})
+    back = pieces.decode(encoded, [model.id_to_piece(i) for i in range(model.vocab_size())], keep=["doc_id", "n_pieces", "ids_crc32"])
+    return back.select("row.*", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
