@@ -204,7 +204,9 @@ def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
     dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).alias("doc_id"), body.alias("text")).repartition("part")
-    distinct = dealt.select("part", F.explode(words(F.col("text"))).alias("word")).distinct()
+    # reading doc_id here makes both branches need the same columns, so they share one exchange of texts
+    nothing = F.coalesce(F.repeat(F.col("doc_id").cast("string"), F.lit(0)), F.lit(""))
+    distinct = dealt.select("part", F.explode_outer(words(F.concat("text", nothing))).alias("word")).where("word IS NOT NULL").distinct()
     if cut:
         distinct = distinct.select("part", F.explode(F.split("word", cut)).alias("word")).where("word <> ''").distinct()
     encoded = folded(distinct, pieces, ["part"], longest, fold, first_byte).withColumn("part", F.col("part").alias("part"))  # a name of its own for the cogroup
