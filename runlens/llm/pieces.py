@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 MARK = "▁"
 MAX_PIECES = 1 << 18
-PART_BYTES = 32 << 20
+PART_BYTES = 8 << 20
 _WORD = f"(?={MARK})(?<!{MARK})"
 _LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 #: Rows that decoding turns into Python values at a time.
@@ -88,14 +88,25 @@ def seams(known: Iterable[str]) -> str:
     return "|".join(p.format(free(used)) for used, p in patterns if set(signs) - used)
 
 
-def lattice(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int) -> DataFrame:
-    """Edges of each word (column ``word`` under ``keys``): ``edges`` of (s, e, score, id), id null for a character without a piece."""
-    n = F.length("word")
-    starts = distinct.select(*keys, "word", F.explode(F.sequence(F.lit(1), n)).alias("a"))
-    spans = starts.select(*keys, "word", "a", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("a") + 1))).alias("k"))
+def edges(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int, shortest: int = 1) -> DataFrame:
+    """Substrings of each word (column ``word`` under ``keys``) that are pieces: (s, e, score, id).
+
+    With ``shortest`` 1, a character without a piece has an edge too, its id null.
+    """
+    long_enough = distinct.where(F.length("word") >= shortest)
+    starts = long_enough.select(*keys, "word", F.explode(F.sequence(F.lit(1), F.length("word") - (shortest - 1))).alias("a"))
+    sizes = F.sequence(F.lit(shortest), F.least(F.lit(max(longest, shortest)), F.length("word") - F.col("a") + 1))
+    spans = starts.select(*keys, "word", "a", F.explode(sizes).alias("k"))
     exploded = spans.select(*keys, "word", (F.col("a") - 1).alias("s"), (F.col("a") + F.col("k") - 1).alias("e"), F.substring("word", F.col("a"), F.col("k")).alias("text"))
-    joined = exploded.join(F.broadcast(pieces), F.col("text") == F.col("piece"), "left").where(F.col("piece_id").isNotNull() | (F.col("e") - F.col("s") == 1))
-    return joined.groupBy(*keys, "word").agg(F.collect_list(F.struct("s", "e", "score", F.col("piece_id").alias("id"))).alias("edges"))
+    joined = exploded.join(F.broadcast(pieces), F.col("text") == F.col("piece"), "left" if shortest == 1 else "inner")
+    found = joined.where(F.col("piece_id").isNotNull() | (F.col("e") - F.col("s") == 1)) if shortest == 1 else joined
+    return found.select(*keys, "word", "s", "e", "score", F.col("piece_id").alias("id"))
+
+
+def lattice(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    """Edges of each word as one array ``edges`` of (s, e, score, id)."""
+    found = edges(distinct, pieces, keys, longest)
+    return found.groupBy(*keys, "word").agg(F.collect_list(F.struct("s", "e", "score", "id")).alias("edges"))
 
 
 def _bytes(character: Column, first_byte: int) -> Column:
@@ -130,26 +141,34 @@ def merge_cuts(n: int, edges: dict[tuple[int, int], float]) -> list[int]:
     return [i for i in range(n) if live[i]] + [n]
 
 
-def merge_batch(batch: pa.RecordBatch, first_byte: int) -> Iterator[list[int]]:
-    """Piece ids of each word of a batch with the columns of ``apart``."""
-    starts, ends, scores, ids = (batch.column(c) for c in ("starts", "ends", "scores", "ids"))
-    bounds = starts.offsets.to_pylist()
-    first = bounds[0]
-    spans = list(zip(starts.flatten().to_pylist(), ends.flatten().to_pylist(), strict=True))
-    values, known = scores.flatten().to_pylist(), ids.flatten().to_pylist()
-    for word, a, b in zip(batch.column("word").to_pylist(), bounds, bounds[1:], strict=False):
-        at = slice(a - first, b - first)
-        own = {x: i for x, i in zip(spans[at], known[at], strict=True) if i is not None}
-        cuts = merge_cuts(len(word), {x: v for x, v in zip(spans[at], values[at], strict=True) if x in own})
-        out: list[int] = []
-        for x in zip(cuts, cuts[1:], strict=False):
-            i = own.get(x)
-            out += [i] if i is not None else [first_byte + c for c in word[x[0] : x[1]].encode()]
-        yield out
+class Merging:
+    """Piece ids of words from the places of the longer pieces in them."""
+
+    def __init__(self, rows: list, first_byte: int):
+        self.first_byte = first_byte
+        self.of_character = {r.piece: r.piece_id for r in rows if len(r.piece) == 1}
+        self.size = {r.piece_id: len(r.piece) for r in rows}
+        self.score = {r.piece_id: r.score for r in rows}
+
+    def character(self, c: str) -> list[int]:
+        known = self.of_character.get(c)
+        return [known] if known is not None else [self.first_byte + b for b in c.encode()]
 
+    def word(self, word: str, places: Iterable[tuple[int, int]] = ()) -> list[int]:
+        ids = {(s, s + self.size[i]): i for s, i in places}
+        cuts = merge_cuts(len(word), {x: self.score[i] for x, i in ids.items()}) if ids else range(len(word) + 1)
+        out: list[int] = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            out += [ids[a, b]] if b - a > 1 else self.character(word[a])
+        return out
 
-def apart(found: DataFrame, keys: list[str]) -> DataFrame:
-    return found.select(*keys, "word", *[F.col(f"edges.{k}").alias(n) for n, k in (("starts", "s"), ("ends", "e"), ("scores", "score"), ("ids", "id"))])
+    def batch(self, batch: pa.RecordBatch) -> Iterator[tuple[str, list[int]]]:
+        """Words of a batch (word, starts, ids) with their ids."""
+        starts, ids = batch.column("starts"), batch.column("ids")
+        bounds = starts.offsets.to_pylist()
+        places = list(zip(starts.flatten().to_pylist(), ids.flatten().to_pylist(), strict=True))
+        for word, a, b in zip(batch.column("word").to_pylist(), bounds, bounds[1:], strict=False):
+            yield word, self.word(word, places[a - bounds[0] : b - bounds[0]])
 
 
 def viterbi_fold(unknown: float = -1e6) -> Column:
@@ -171,24 +190,25 @@ def viterbi_fold(unknown: float = -1e6) -> Column:
 
 
 def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int, fold: str, first_byte: int) -> DataFrame:
-    """``keys``, ``word``, and ``ids`` (Viterbi) or the edges that ``merge_batch`` folds."""
-    found = lattice(distinct, pieces, keys, longest)
+    """``keys``, ``word``, and ``ids`` (Viterbi) or the places of longer pieces that ``Merging`` folds."""
     if fold == "merge":
-        return apart(found, keys)
+        found = edges(distinct, pieces, keys, longest, shortest=2).groupBy(*keys, "word").agg(F.collect_list(F.struct("s", "id")).alias("edges"))
+        return found.select(*keys, "word", F.col("edges.s").alias("starts"), F.col("edges.id").alias("ids"))
     if fold != "viterbi":
         raise ValueError(f"no fold {fold}")
+    found = lattice(distinct, pieces, keys, longest)
     return found.withColumn("cuts", viterbi_fold()).select(*keys, "word", _ids(F.col("cuts"), first_byte).alias("ids"))
 
 
-def _by_word(segments: dict[str, list[int]], cut: str) -> Callable[[str], list[int]]:
-    """Ids of a word from those of its segments, each word put together once."""
+def _by_word(segments: dict[str, list[int]], cut: str, plain: Callable[[str], list[int]]) -> Callable[[str], list[int]]:
+    """Ids of a word from those of its segments, each word put together once; ``plain`` is for segments without an edge."""
     split = re.compile(cut).split if cut else lambda w: [w]
     made: dict[str, list[int]] = {}
 
     def ids(word: str) -> list[int]:
         got = made.get(word)
         if got is None:
-            got = made[word] = [i for x in split(word) if x for i in segments[x]]
+            got = made[word] = [i for x in split(word) if x for i in (segments.get(x) or plain(x))]
         return got
 
     return ids
@@ -196,14 +216,14 @@ def _by_word(segments: dict[str, list[int]], cut: str) -> Callable[[str], list[i
 
 def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: str = "merge", first_byte: int = 3, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id`` and ``ids`` of every row."""
-    known = [r.piece for r in pieces.select("piece").take(MAX_PIECES + 1)]
+    known = pieces.select("piece", "piece_id", "score").take(MAX_PIECES + 1)
     if len(known) > MAX_PIECES:
         raise ValueError(f"the table is broadcast and may have {MAX_PIECES} pieces")
-    cut, longest = seams(known), max(map(len, known), default=1)
+    cut, longest, merging = seams(r.piece for r in known), max((len(r.piece) for r in known), default=1), Merging(known, first_byte)
     body = F.coalesce(F.col(text), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
-    dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).alias("doc_id"), body.alias("text")).repartition("part")
+    dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).alias("doc_id"), body.alias("text")).repartition(2 * parts, "part")
     # reading doc_id here makes both branches need the same columns, so they share one exchange of texts
     nothing = F.coalesce(F.repeat(F.col("doc_id").cast("string"), F.lit(0)), F.lit(""))
     distinct = dealt.select("part", F.explode_outer(words(F.concat("text", nothing))).alias("word")).where("word IS NOT NULL").distinct()
@@ -215,8 +235,8 @@ def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str
     def attach(own: pa.Table, known: pa.Table) -> pa.Table:
         segments: dict[str, list[int]] = {}
         for batch in known.to_batches(max_chunksize=4096):
-            segments.update(zip(batch.column("word").to_pylist(), merge_batch(batch, first_byte) if fold == "merge" else batch.column("ids").to_pylist(), strict=True))
-        ids, split = _by_word(segments, cut), re.compile(f"{MARK}+[^{MARK}]*").findall
+            segments.update(merging.batch(batch) if fold == "merge" else zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist(), strict=True))
+        ids, split = _by_word(segments, cut, merging.word), re.compile(f"{MARK}+[^{MARK}]*").findall
         values, ends = array("i"), [0]
         for chunk in own.column("text").chunks:
             for t in chunk:
