@@ -20,7 +20,9 @@ CALL_SCHEMA = (
 CALLS_TYPE = f"MAP<STRING,ARRAY<STRUCT<{CALL_SCHEMA}>>>"
 DOC_SCHEMA = f"id STRING, status STRING, workflowRoot STRING, failures STRING, calls {CALLS_TYPE}"
 COMPLETED = ("Done", "Succeeded")
+#: Unrolled sub-workflow levels; what nests deeper takes a slower expression.
 LEVELS = 8
+ITEM_TYPE = f"STRUCT<_parents:ARRAY<STRING>,_ord:ARRAY<INT>,_name:STRING,_call:STRUCT<{CALL_SCHEMA}>>"
 
 
 def workflow_header(docs: DataFrame, doc: str = "doc", mode: str = "FAILFAST") -> DataFrame:
@@ -50,6 +52,32 @@ def _items(calls: Column, parents: Column, ord_: Column) -> Column:
     )
 
 
+def _children(item: Column) -> Column:
+    """Items of the calls embedded in an item."""
+    nested = F.from_json(item["_call"]["subWorkflowMetadata"], f"calls {CALLS_TYPE}", {"mode": "FAILFAST"})["calls"]
+    return _items(nested, F.concat(item["_parents"], F.array(item["_name"])), item["_ord"])
+
+
+def _unroll(item: Column) -> Column:
+    """All leaf items below one item, at any depth.
+
+    A step opens the items found last, once each. The text can't nest deeper than the
+    member's name occurs in it, and a step without open items costs nothing.
+    """
+    empty = F.array().cast(f"ARRAY<{ITEM_TYPE}>")
+    sub = lambda x: x["_call"]["subWorkflowMetadata"]
+    steps = F.sequence(F.lit(0), F.size(F.split(sub(item), '"subWorkflowMetadata"')))
+
+    def step(found: Column, _: Column) -> Column:
+        return F.struct(
+            F.concat(found["done"], F.filter(found["todo"], lambda x: sub(x).isNull())).alias("done"),
+            F.flatten(F.transform(F.filter(found["todo"], lambda x: sub(x).isNotNull()), lambda x: F.coalesce(_children(x), empty))).alias("todo"),
+        )
+
+    start = F.struct(empty.alias("done"), F.array(item).cast(f"ARRAY<{ITEM_TYPE}>").alias("todo"))
+    return F.aggregate(steps, start, step, lambda found: F.concat(found["done"], found["todo"]))
+
+
 def flatten_calls(
     workflows: DataFrame, keep: tuple[str, ...] = ("id",), levels: int = LEVELS, marker: bool = False
 ) -> DataFrame:
@@ -57,7 +85,7 @@ def flatten_calls(
 
     A call with an embedded sub-workflow is replaced by that workflow's calls and a
     document without calls gives no row. Each level is a row-local ``explode``: one scan,
-    no shuffle. Nesting beyond ``levels`` fails the query instead of losing calls.
+    no shuffle. ``levels`` are unrolled as such; an expression opens what nests deeper.
     ``marker`` adds one row per document with NULL ``call_name`` and empty ``ord``.
 
     Columns: ``keep``, ``parent_call_names``, ``call_name``, ``ord`` (document order)
@@ -78,12 +106,7 @@ def flatten_calls(
         nested = F.from_json(sub, f"calls {CALLS_TYPE}", {"mode": "FAILFAST"})["calls"]
         children = _items(nested, F.concat("_parents", F.array("_name")), F.col("_ord"))
         rows = rows.select(*keep, F.inline(F.when(sub.isNull(), itself).otherwise(children)))
-    # deciding it while making the row keeps the check in the plan whatever columns are used later
-    message = f"sub-workflows nest deeper than levels={levels}; call again with more levels"
-    too_deep = F.raise_error(F.lit(message)).cast(
-        f"ARRAY<STRUCT<_parents:ARRAY<STRING>,_ord:ARRAY<INT>,_name:STRING,_call:STRUCT<{CALL_SCHEMA}>>>"
-    )
-    rows = rows.select(*keep, F.inline(F.when(sub.isNull(), itself).otherwise(too_deep)))
+    rows = rows.select(*keep, F.inline(F.when(sub.isNull(), itself).otherwise(_unroll(itself[0]))))
     return rows.select(
         *keep,
         F.col("_parents").alias("parent_call_names"),

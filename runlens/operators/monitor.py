@@ -37,6 +37,8 @@ STATS: dict[str, Callable[[str, str], Column]] = {
     "sem": lambda val, row: F.stddev_samp(val) / F.sqrt(F.count(val)),
     "skew": lambda val, row: _bias_corrected_skew(val),
     "kurt": lambda val, row: _bias_corrected_kurt(val),
+    # counts distinct values of one log's column; ``series_quantile`` splits longer series
+    "median": lambda val, row: F.median(val),
 }
 # sample statistics that have no value for a single row
 _NEEDS_TWO = ("std", "var", "sem")

@@ -1,8 +1,8 @@
 """Leaf walk, flatten, unflatten, merge and split of nested documents.
 
 Nesting is unrolled as a chain of lateral ``variant_explode_outer`` steps, so a walk is
-one scan without a shuffle. A step passes finished rows through. A document deeper than
-``levels`` makes the query fail and name the parameter; no row is ever left out.
+one scan without a shuffle. A step passes finished rows through. ``levels`` steps are
+unrolled; an expression over the value opens what nests deeper, to any depth.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from runlens.functions import documents as D
 
 LEVELS = 8
 
-_LEAVES = "array<struct<path:array<string>,pos:array<int>,value:string,json:string>>"
+_ITEMS = "array<struct<_path:array<string>,_pos:array<int>,_v:variant>>"
 
 
 def _descend(rows: DataFrame, keep: Sequence[str], into: Column) -> DataFrame:
@@ -28,10 +28,58 @@ def _descend(rows: DataFrame, keep: Sequence[str], into: Column) -> DataFrame:
         .alias("_path"),
         F.when(F.col("_x").isNull(), F.col("_pos")).otherwise(F.concat("_pos", F.array("_i"))).alias("_pos"),
         F.coalesce("_x", "_v").alias("_v"),
-        F.col("_x").isNotNull().alias("_more"),
     )
 
 
+def _members(value: Column, lists: bool) -> Column:
+    """``(k, x)`` of an object's or a list's members in walk order; NULL for other values."""
+    fields = F.transform(
+        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+        lambda e: F.struct(e["key"].alias("k"), e["value"].alias("x")),
+    )
+    if not lists:
+        return fields
+    elements = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"), lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("x"))
+    )
+    return F.coalesce(fields, elements)
+
+
+def _unroll(path: Column, pos: Column, value: Column, lists: bool) -> Column:
+    """Array with an item per leaf below a value.
+
+    A step opens the items found last, once each. A value can't nest deeper than its text
+    has opening brackets, and a step without open items costs nothing.
+    """
+    empty = F.array().cast(_ITEMS)
+    item = F.struct(path.alias("_path"), pos.alias("_pos"), value.alias("_v"))
+    text = F.to_json(value)
+    depth = F.length(text) - F.length(F.translate(text, "{[", ""))
+
+    def opened(x: Column) -> Column:
+        return F.coalesce(F.size(_members(x["_v"], lists)) > 0, F.lit(False))
+
+    def children(x: Column) -> Column:
+        return F.transform(
+            _members(x["_v"], lists),
+            lambda m, i: F.struct(
+                F.concat(x["_path"], F.array(m["k"])).alias("_path"),
+                F.concat(x["_pos"], F.array(i)).alias("_pos"),
+                m["x"].alias("_v"),
+            ),
+        )
+
+    def step(found: Column, _: Column) -> Column:
+        return F.struct(
+            F.concat(found["done"], F.filter(found["todo"], lambda x: ~opened(x))).alias("done"),
+            F.flatten(F.transform(F.filter(found["todo"], opened), lambda x: F.coalesce(children(x), empty))).alias("todo"),
+        )
+
+    start = F.struct(empty.alias("done"), F.array(item).cast(_ITEMS).alias("todo"))
+    leaves = F.aggregate(F.sequence(F.lit(0), depth), start, step, lambda found: F.concat(found["done"], found["todo"]))
+    return F.when(text.startswith("{") | text.startswith("["), leaves).otherwise(F.array(item).cast(_ITEMS))
+
+
 def _walk(df: DataFrame, doc: str, keep: Sequence[str], levels: int, lists: bool, drop: Sequence[str]) -> DataFrame:
     """Leaves ``(*keep, path, pos, value, json)``; texts in ``drop`` are empty containers to leave out."""
     rows = df.where(F.col(doc).isNotNull()).select(
@@ -43,22 +91,16 @@ def _walk(df: DataFrame, doc: str, keep: Sequence[str], levels: int, lists: bool
     first_element = F.try_variant_get("_v", "$[0]", "variant")
     into = F.col("_v") if lists else F.when(first_element.isNull(), F.col("_v"))
     rows = rows.withColumn("_into", into)
-    for _ in range(levels + 1):
+    for _ in range(levels):
         rows = _descend(rows, keep, F.col("_into")).withColumn("_into", into)
-    # the last step must not have found anything; deciding it while making the row keeps
-    # the check in the plan whatever columns are used later
-    message = f"document nests deeper than levels={levels}; call again with more levels"
-    json = F.to_json("_v")
-    leaf = F.struct(
+    leaves = rows.select(*keep, F.inline(_unroll(F.col("_path"), F.col("_pos"), F.col("_v"), lists))).select(
+        *keep,
         F.col("_path").alias("path"),
         F.col("_pos").alias("pos"),
         F.try_variant_get("_v", "$", "string").alias("value"),
-        json.alias("json"),
+        F.to_json("_v").alias("json"),
     )
-    checked = F.when(F.col("_more"), F.raise_error(F.lit(message)).cast(_LEAVES))
-    if drop:
-        checked = checked.when(json.isin(*drop), F.array().cast(_LEAVES))
-    return rows.select(*keep, F.inline(checked.otherwise(F.array(leaf))))
+    return leaves.where(~F.col("json").isin(*drop)) if drop else leaves
 
 
 def leaf_values(df: DataFrame, doc: str = "doc", keep: Sequence[str] = (), levels: int = LEVELS) -> DataFrame:

@@ -15,7 +15,6 @@ from runlens.functions.labels import DEFAULT_NAMING, Naming, clean_label
 
 Label = tuple[str, str]
 DEFAULT_FORMAT = ("id", "status", "name", "str_label", "user", "parent", "submission")
-MANY = 1000
 
 
 def exclude_subworkflows(wf: DataFrame, exclude: bool = True) -> DataFrame:
@@ -48,9 +47,6 @@ def find_by_ids(wf: DataFrame, ids: Sequence[str] | None = None, exclude_subwork
     rows = exclude_subworkflows(wf, exclude_subworkflow)
     if not valid:
         return rows.where(F.lit(False))
-    if len(valid) > MANY:
-        wanted = wf.sparkSession.createDataFrame([(i,) for i in valid], "id string")
-        return rows.join(wanted, "id", "left_semi")
     return rows.where(F.col("id").isin(*valid))
 
 
@@ -77,16 +73,12 @@ def find(
     """Label matches, and id matches that are not among them; each workflow once.
 
     A ``?`` or ``*`` in any id or label value makes all of them patterns; ``[seq]``
-    alone does not.
+    alone does not. Any number of ids is one predicate, so the outcome never depends on it.
     """
     if I.has_wildcard(ids) or I.has_wildcard([v for _, v in labels or ()]):
         return find_with_wildcard(wf, ids, labels, exclude_subworkflow)
     # one scan: a row is kept when either exact search would keep it
     valid = sorted({i for i in ids or () if I.uuid_ok(i)})
-    if len(valid) > MANY:
-        by_label = find_by_labels(wf, labels, exclude_subworkflow)
-        by_id = find_by_ids(wf, valid, exclude_subworkflow)
-        return by_label.unionByName(by_id.join(by_label.select("id"), "id", "left_anti").select(wf.columns))
     found = [F.col("labels")[key] == value for key, value in labels or () if value]
     if valid:
         found.append(F.col("id").isin(*valid))
@@ -136,7 +128,7 @@ def build_labels(
 
     Empty backend and label are left out. ``inputs`` names a column with the input
     file's URI, whose base name is the label where none is given. A nested custom label
-    stays JSON text.
+    stays JSON text; a custom text that is no JSON object fails the query.
     """
     label = F.col(str_label)
     if inputs is not None:
@@ -149,7 +141,7 @@ def build_labels(
         ),
         lambda _, v: v.isNotNull(),
     )
-    given = F.coalesce(F.from_json(custom, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    given = F.coalesce(F.from_json(custom, "map<string,string>", {"mode": "FAILFAST"}), F.create_map().cast("map<string,string>"))
     kept = F.map_filter(given, lambda k, _: ~F.array_contains(F.map_keys(reserved), k))
     return df.withColumn("labels", F.map_concat(kept, reserved))
 

@@ -162,25 +162,25 @@ def read_heartbeats(spark: SparkSession, paths: Paths) -> DataFrame:
 LIST_EXTENSIONS = (".json", ".tsv", ".csv")
 
 
-def input_files(docs: DataFrame, texts: DataFrame, max_rounds: int = 20) -> DataFrame:
+def input_files(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """``(doc, path)``: every file URI in input documents, through nested list files.
 
     ``docs`` is ``(doc, text)`` with JSON text; ``texts`` is ``(path, text)`` with the
-    contents of list files. Each round joins the list files found last with their
-    contents; a round that finds nothing new ends the loop.
+    contents of list files. Each round parses every list file found last once, however
+    many documents name it, and joins its entries to those documents. A round that finds
+    nothing new ends the loop, which lists that name each other reach too.
     """
     found = cut_lineage(_named_files(docs.withColumn("_path", F.concat("doc", F.lit(".json")))).distinct())
-    rounds = [found]
     seen = found
-    for _ in range(max_rounds):
+    while True:
         lists = found.where(uris.extension(F.col("path")).isin(*LIST_EXTENSIONS))
-        opened = lists.join(texts, "path").select("doc", F.col("path").alias("_path"), "text")
-        found = cut_lineage(_named_files(opened).distinct().join(seen, ["doc", "path"], "left_anti"))
+        opened = texts.join(lists.select("path").distinct(), "path").select(F.col("path").alias("doc"), F.col("path").alias("_path"), "text")
+        entries = _named_files(opened).distinct().select(F.col("doc").alias("_list"), F.col("path").alias("_entry"))
+        named = lists.join(entries, F.col("path") == F.col("_list")).select("doc", F.col("_entry").alias("path")).distinct()
+        found = cut_lineage(named.join(seen, ["doc", "path"], "left_anti"))
         if found.isEmpty():
             return seen
-        rounds.append(found)
         seen = seen.unionByName(found)
-    raise ValueError(f"list files nest deeper than {max_rounds}")
 
 
 def _named_files(rows: DataFrame) -> DataFrame:

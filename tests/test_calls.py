@@ -55,12 +55,14 @@ def test_call_without_embedded_document_is_a_call_and_empty_ones_give_nothing(sp
     assert [r.call_name for r in C.flatten_calls(_workflows(spark, doc, {"id": "none"})).collect()] == ["main.sub"]
 
 
-def test_nesting_beyond_the_levels_fails_whatever_is_selected(spark):
-    flat = C.flatten_calls(_workflows(spark, _three_levels()), levels=1)
-    for use in (lambda: flat.count(), lambda: flat.select("id").collect(), lambda: flat.select("shardIndex").collect()):
-        with pytest.raises(Exception, match="levels=1"):
-            use()
-    assert C.flatten_calls(_workflows(spark, _three_levels()), levels=2).count() == 3
+def test_calls_at_any_depth_whatever_is_unrolled(spark):
+    deep = {"id": "bottom", "calls": {"t.last": [_call("/x/d/call-last")]}}
+    for i in range(30):
+        deep = {"id": f"d{i}", "calls": {f"s{i}.sub": [{"subWorkflowMetadata": deep}], f"s{i}.own": [_call(f"/x/d/call-{i}")]}}
+    wf = _workflows(spark, _three_levels(), deep)
+    rows = [sorted((r.id, r.call_name, tuple(r.parent_call_names), tuple(r.ord), r.callRoot) for r in C.flatten_calls(wf, levels=n).collect()) for n in (0, 2, 8, 31)]
+    assert rows[0] == rows[1] == rows[2] == rows[3]
+    assert len(rows[0]) == 3 + 31 and max(len(r[2]) for r in rows[0]) == 30
 
 
 def test_workflow_root(spark):

@@ -117,10 +117,12 @@ def test_leaf_walk(spark):
     assert [r.value for r in order] == [str(i) for i in range(12)]
 
 
-def test_too_deep_fails_whatever_is_selected(spark):
-    deep = _docs(spark, [{"a": {"b": {"c": [1]}}}])
+def test_any_depth_whatever_is_unrolled(spark):
+    deep = [1, {"z": None, "a": "{["}, []]
+    for i in range(30):
+        deep = {f"k{i}": deep, "other": {}, "n": i} if i % 3 else [deep, i]
+    docs = _docs(spark, [{"a": {"b": {"c": [1]}}}, {"top": deep}])
     for walk in (N.leaf_values, N.flatten_doc):
-        with pytest.raises(Exception, match="levels=2"):
-            walk(deep, keep=["i"], levels=2).select("i").collect()
-    assert N.leaf_values(deep, keep=["i"], levels=4).count() == 1
-    assert N.flatten_doc(deep, keep=["i"], levels=3).first().value == "[1]"
+        rows = [sorted(map(str, walk(docs, keep=["i"], levels=n).collect())) for n in (0, 2, 40)]
+        assert rows[0] == rows[1] == rows[2]
+    assert max(len(r.path) for r in N.leaf_values(docs, keep=["i"]).collect()) == 33
