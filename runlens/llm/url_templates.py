@@ -6,9 +6,15 @@ holds less than one MANY-th of the parent's urls: what is rare among many is a v
 LEVELS segments are told apart; the rest of a path is one tail wildcard.
 
 Templates of one host with the same shape (literals blanked) whose shares of bad urls can't be told
-apart (a two-sided test at Z_SQUARED against their pooled share) are merged. A template, or merged group,
-is rejected if its share of bad among known urls, smoothed by WEIGHT urls of the overall share, reaches
-REJECT_PERCENT. One without known urls has the overall share.
+apart (a two-sided test at Z_SQUARED against their pooled share) are merged. A template with too few known
+urls for that joins them if neither they nor the urls themselves speak against it: lengths and digits of
+what its wildcards stand for have the group's means, by the same test.
+
+Evidence flows down the tree. Start with the overall share; at the host and at every prefix of the
+template, the known urls below it that are not below the next one are smoothed by WEIGHT urls of the share
+so far; the template's own come last. So each known url counts once, where its path parts from the
+template's, and a branch without any has the share of its surroundings. A merged group is smoothed by the
+rest of its host. What reaches REJECT_PERCENT is rejected. A host without known urls has the overall share.
 
 DataFrame functions only. Urls are folded to distinct (host, path) with counts before anything else,
 and every further step aggregates with map-side sums; a host with a third of all urls is a skewed join
@@ -66,34 +72,71 @@ def _level(state: DataFrame, level: int) -> DataFrame:
     told = own.join(wild, ["host", "template", "seg"], "left")
     part = F.when(F.col("seg").isNull(), "").when(F.col("wild"), "/*").otherwise(F.concat(F.lit("/"), F.col("seg")))
     blank = F.when(F.col("seg").isNull(), "").when(F.col("wild"), "/*").otherwise("/+")
-    return told.withColumns({"template": F.concat("template", part), "shape": F.concat("shape", blank)}).drop("seg", "wild")
+    parts = F.when(F.col("seg").isNull(), F.col("parts")).otherwise(F.array_append("parts", part))
+    return told.withColumns({"template": F.concat("template", part), "shape": F.concat("shape", blank), "parts": parts}).drop("seg", "wild")
 
 
 def templates(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``urls`` (host, path, n, bad, good; distinct) with ``template`` and ``shape``. Each level is staged: the next reads it twice."""
+    """``urls`` (host, path, n, bad, good; distinct) with ``template``, its ``parts``, and ``shape``. Each level is staged: the next reads it twice."""
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
-    state = stage(urls.withColumns({"segments": parts, "template": F.lit(""), "shape": F.lit("")}))
+    state = stage(urls.withColumns({"segments": parts, "template": F.lit(""), "shape": F.lit(""), "parts": F.array().cast("array<string>")}))
     deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
     for level in range(1, min(levels, deepest) + 1):
         state = stage(_level(state, level))
     tail = F.when(F.size("segments") > levels, "/**").otherwise("")
-    return state.withColumns({"template": F.concat("template", tail), "shape": F.concat("shape", tail)}).drop("segments")
+    ended = F.when(tail == "", F.col("parts")).otherwise(F.array_append("parts", tail))
+    return state.withColumns({"template": F.concat("template", tail), "shape": F.concat("shape", tail), "parts": ended}).drop("segments")
+
+
+def _same_mean(stat: str) -> Column:
+    """Whether a template's mean of a statistic of its paths can't be told from that of its group's (``g_``)."""
+    n, s, q, gn, gs, gq = (F.col(c).cast("double") for c in ("paths", stat, f"{stat}_2", "g_paths", f"g_{stat}", f"g_{stat}_2"))
+    off, within = s / n - gs / gn, (q - s * s / n + gq - gs * gs / gn) / (n + gn)
+    return off * off <= Z_SQUARED * within * (1 / n + 1 / gn) + 1e-9
+
+
+def _groups(each: DataFrame) -> DataFrame:
+    """``each`` (one row per host and template) with ``group``."""
+    sums = ["paths", "wild_length", "wild_length_2", "wild_digits", "wild_digits_2"]
+    many = F.col("known") >= LEAST_KNOWN
+    pools = each.where(many).groupBy("host", "shape").agg(F.sum("bad").alias("pool_bad"), F.sum("known").alias("pool"))
+    share = F.col("pool_bad") / F.col("pool")
+    off = F.col("bad") - F.col("known") * share
+    told = each.join(pools, ["host", "shape"], "left").withColumn("alike", F.coalesce(off * off <= Z_SQUARED * F.col("known") * share * (1 - share), F.lit(False)))
+    cores = told.where(many & F.col("alike")).groupBy("host", "shape").agg(*[F.sum(c).alias(f"g_{c}") for c in sums])
+    joins = F.col("alike") & F.col("g_paths").isNotNull() & (many | (_same_mean("wild_length") & _same_mean("wild_digits")))
+    named = told.join(cores, ["host", "shape"], "left").withColumn("group", F.when(joins, F.concat(F.lit("="), F.col("shape"))).otherwise(F.col("template")))
+    return named.select("host", "template", "group", "parts", "bad", "known")
 
 
 def purity(found: DataFrame) -> DataFrame:
     """``host``, ``template``, ``group`` (template, or shape where merged), ``purity``, ``rejected``."""
-    each = found.groupBy("host", "shape", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    known = F.col("bad") + F.col("good")
-    pools = each.where(known >= LEAST_KNOWN).groupBy("host", "shape").agg(F.sum("bad").alias("pool_bad"), F.sum(known).alias("pool"))
-    share = F.col("pool_bad") / F.col("pool")
-    off = F.col("bad") - known * share
-    alike = (known >= LEAST_KNOWN) & (off * off <= Z_SQUARED * known * share * (1 - share))
-    named = each.join(pools, ["host", "shape"], "left").withColumn("group", F.when(F.coalesce(alike, F.lit(False)), F.concat(F.lit("="), F.col("shape"))).otherwise(F.col("template")))
-    groups = named.groupBy("host", "group").agg(F.sum("bad").alias("bad"), F.sum(known).alias("known"))
-    overall = each.agg((F.sum("bad") / F.sum(known)).alias("p"))
-    clean = F.coalesce((F.col("bad") + WEIGHT * F.col("p")) / (F.col("known") + WEIGHT), F.lit(0.0))
-    judged = groups.withColumn("p", overall.scalar()).select("host", "group", clean.alias("purity"))
-    return named.select("host", "template", "group").join(judged, ["host", "group"]).withColumn("rejected", F.col("purity") * 100 >= REJECT_PERCENT)
+    digits = lambda c: F.length(c) - F.length(F.translate(c, "0123456789", ""))
+    sized = found.withColumns({"wild_length": (F.length("path") - F.length("template")).cast("long"), "wild_digits": (digits("path") - digits("template")).cast("long")})
+    sums = [F.sum(x).alias(c) for c in ("wild_length", "wild_digits") for c, x in ((c, F.col(c)), (f"{c}_2", F.col(c) * F.col(c)))]
+    each = sized.groupBy("host", "shape", "template").agg(F.first("parts").alias("parts"), F.sum("bad").alias("bad"), F.sum(F.col("bad") + F.col("good")).alias("known"), F.count("*").alias("paths"), *sums)
+    named = stage(_groups(each))
+
+    # known urls at and below every prefix of a template, the host's first, the template's own last
+    prefixes = F.transform(F.sequence(F.lit(0), F.size("parts")), lambda i: F.array_join(F.slice("parts", F.lit(1), i), ""))
+    places = named.select("host", "template", "group", "bad", "known", F.posexplode(prefixes).alias("depth", "prefix"))
+    nodes = places.groupBy("host", "prefix").agg(F.sum("bad").alias("b"), F.sum("known").alias("k"))
+    step = F.struct("depth", F.col("b").alias("bad"), F.col("k").alias("known"))
+    chains = places.join(nodes, ["host", "prefix"]).groupBy("host", "template").agg(F.first("group").alias("group"), F.first("bad").alias("bad"), F.first("known").alias("known"), F.array_sort(F.collect_list(step)).alias("chain"))
+    groups = named.groupBy("host", "group").agg(F.count("*").alias("members"), F.sum("bad").alias("group_bad"), F.sum("known").alias("group_known"))
+
+    pair = lambda bad, known: F.struct(bad.alias("bad"), known.alias("known"))
+    alone = F.array_append(F.transform("chain", lambda x: pair(x["bad"], x["known"])), pair(F.col("bad"), F.col("known")))
+    host = F.get("chain", F.lit(0))
+    merged = F.array(pair(host["bad"], host["known"]), pair(F.col("group_bad"), F.col("group_known")))
+    held = chains.join(groups, ["host", "group"]).withColumn("held", F.when(F.col("members") > 1, merged).otherwise(alone))
+    # what is below one and not below the next
+    below = lambda x, i, c: x[c] - F.coalesce(F.get("held", i + 1)[c], F.lit(0))
+    parted = held.withColumn("parted", F.transform("held", lambda x, i: pair(below(x, i, "bad"), below(x, i, "known"))))
+    overall = named.agg(F.coalesce(F.sum("bad") / F.sum("known"), F.lit(0.0)).alias("p"))
+    smooth = F.aggregate("parted", F.col("p"), lambda s, x: (x["bad"] + WEIGHT * s) / (x["known"] + WEIGHT))
+    judged = parted.withColumn("p", overall.scalar()).withColumn("purity", smooth)
+    return judged.select("host", "template", "group", "purity", (F.col("purity") * 100 >= REJECT_PERCENT).alias("rejected"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], page_id: str = "page_id", url: str = "url") -> DataFrame:

@@ -116,6 +116,36 @@ def test_url_rules_and_templates(spark):
     assert url_templates.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_evidence_flows_to_branches_without_rules(spark):
+    urls = [f"x://bad.example.com/de/{i}" for i in range(100, 160)]
+    urls += [f"x://bad.example.com/fr/{i}" for i in range(300, 303)]  # same shape and statistics: merged
+    urls += [f"x://bad.example.com/en/{i}{i}{i}/about" for i in range(400, 403)]  # another shape: the host's share
+    urls += [f"x://good.example.org/fr/{i}" for i in range(100, 180)] + [f"x://good.example.org/de/{i}" for i in range(300, 303)]
+    urls += [f"x://mixed.net/en/{i}" for i in range(100, 120)] + ["x://alone.info/de/101"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.page_id]: r for r in url_templates.judge(pages, queries.URL_RULES).collect()}
+    p = 80 / 160
+    share = lambda s, bad, known: (bad + 8 * s) / (known + 8)
+    assert got["x://alone.info/de/101"].purity == p and got["x://alone.info/de/101"].verdict == "allow"
+    beside = got["x://bad.example.com/fr/300"]
+    assert beside.rule is None and beside.verdict == "block" and beside.purity == pytest.approx(share(p, 60, 60))
+    assert beside.purity == got["x://bad.example.com/de/100"].purity
+    other = got["x://bad.example.com/en/400400400/about"]
+    assert other.rule is None and other.verdict == "block" and other.purity == pytest.approx(share(p, 60, 60))
+    near = got["x://good.example.org/de/300"]
+    assert near.rule is None and near.verdict == "allow" and near.purity == pytest.approx(share(p, 0, 80))
+
+
+def test_url_evidence_counts_once(spark):
+    rows = [("h", f"/a/b/c/{i}x", 1, 1, 0) for i in range(5)] + [("h", "/a/b/d", 1, 0, 0), ("h", "/a/e", 1, 0, 3), ("i", "/", 1, 1, 1)]
+    found = url_templates.templates(spark.createDataFrame(rows, "host string, path string, n long, bad long, good long"))
+    got = {(r.host, r.template): r.purity for r in url_templates.purity(found).collect()}
+    share = lambda s, bad, known: (bad + 8 * s) / (known + 8)
+    p = 6 / 10
+    assert got["h", "/a/b/d"] == pytest.approx(share(share(p, 0, 3), 5, 5))  # /a/e at /a, /a/b/c at /a/b
+    assert got["h", "/a/b/c/0x"] == pytest.approx(share(share(share(p, 0, 3), 4, 4), 1, 1))
+
+
 # ---- 3
 
 
