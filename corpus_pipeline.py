@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from runlens.llm import langid, near_dedup, packing, pii, suffix_dedup
 from runlens.session import stage
 
+#: Share of common word shingles from which documents are near-duplicates here; op10 has its own contract's 85.
+NEAR_PERCENT = 80
+
 
 def _with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """``row`` with its text and n_chars replaced; a null text stays null."""
@@ -28,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-duplicates."""
-    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("id").alias("gone_id")).distinct()
+    gone = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT).where("not kept").select(F.col("id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 

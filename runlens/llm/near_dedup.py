@@ -1,10 +1,11 @@
 """Near-duplicates by MinHash with tensored tables, every link confirmed on full shingle sets.
 
-A document's set holds the hashes of its distinct five-word shingles. Two small collections of HALVES
-bands, each of BAND minhashes, are computed; a table key joins band i of the first with band j of the
-second. So HALVES squared tables come from 2 * HALVES * BAND minhashes rather than from
-2 * HALVES ** 2 * BAND, and two documents of similarity s meet unless all bands of one collection
-differ: with 10 and 3, at 0.85, with probability 0.9999.
+A document's set holds the hashes of its distinct five-word shingles; sets are similar from ``percent`` of
+their union on. Two small collections of h bands, each of BAND minhashes, are computed; a table key joins
+band i of the first with band j of the second. So h squared tables come from 2 * h * BAND minhashes rather
+than from 2 * h ** 2 * BAND, and two documents of similarity s meet unless all bands of one collection
+differ. The least h is taken with which that happens to at most MISS of the pairs that are just similar: 10
+at 85 percent, 14 at 80.
 
 What moves through the cluster:
 
@@ -25,6 +26,7 @@ nothing, have no component, and are kept. Repeated rows give repeated results.
 from __future__ import annotations
 
 import hashlib
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ from runlens.session import stage
 
 WORDS = 5
 SIMILARITY = 85
-HALVES, BAND = 10, 3
+BAND, MISS = 3, 0.00015
 #: Members, and bytes of their texts, that one task compares with a leader.
 PART_MEMBERS, PART_BYTES = 256, 8 << 20
 #: Bytes of text that are shingled at once.
@@ -61,10 +63,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = _rng(256, 1)
 _PLACE = _rng(WORDS + 1, 2)
-_MINHASH = _rng(2 * HALVES * BAND, 3)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+@cache
+def halves(percent: int) -> int:
+    """Bands of each collection."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is from 1 to 100, not {percent}")
+    n = 1
+    while 2 * (1 - (percent / 100) ** BAND) ** n > MISS:
+        n += 1
+    return n
+
+
+@cache
+def _minhash(n: int) -> np.ndarray:
+    return _rng(n, 3)
+
+
 def word_hashes(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of a byte buffer."""
     low = _LOWER[buffer]
@@ -110,20 +127,22 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(len(_MINHASH), np.iinfo(np.uint64).max, dtype=np.uint64)
+def minhashes(shingles: np.ndarray, n: int) -> np.ndarray:
+    factors = _minhash(n)
+    least = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
     for a in range(0, len(shingles), 2048):
-        part = shingles[a : a + 2048, None] * _MINHASH
+        part = shingles[a : a + 2048, None] * factors
         np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
     return least
 
 
-def bands(shingles: np.ndarray) -> list[int] | None:
+def bands(shingles: np.ndarray, percent: int = SIMILARITY) -> list[int] | None:
     """The bands of both collections, as signed 64-bit numbers; none for an empty set."""
     if not len(shingles):
         return None
-    rows = minhashes(shingles).reshape(2 * HALVES, BAND)
-    own = _mix((_mix(rows) * _PLACE[:BAND]).sum(axis=1, dtype=np.uint64) + np.arange(2 * HALVES, dtype=np.uint64))
+    n = 2 * halves(percent)
+    rows = minhashes(shingles, n * BAND).reshape(n, BAND)
+    own = _mix((_mix(rows) * _PLACE[:BAND]).sum(axis=1, dtype=np.uint64) + np.arange(n, dtype=np.uint64))
     return own.view(np.int64).tolist()
 
 
@@ -134,7 +153,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = SIMILARITY) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
     """``id``, ``n_bytes``, ``n_shingles``, ``digest``, ``bands`` of every row."""
 
     def make():
@@ -144,7 +163,7 @@ def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                 "n_bytes": [len((t or "").encode()) for t in columns["text"]],
                 "n_shingles": [len(s) for s in found],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found],
-                "bands": [bands(s) for s in found],
+                "bands": [bands(s, percent) for s in found],
             }
 
         return work
@@ -153,21 +172,21 @@ def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     return made.select(F.col("row")[doc_id].cast("long").alias("id"), "n_bytes", "n_shingles", "digest", "bands")
 
 
-def tables(heads: DataFrame) -> DataFrame:
+def tables(heads: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """``key``, ``id``, ``n_shingles``, ``n_bytes``: table entries of the sets that share both a first and a second band with others."""
-    halves = heads.select("id", "n_shingles", "n_bytes", F.posexplode("bands").alias("i", "band"))
-    shared = halves.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    first = F.col("i") < HALVES
-    left = halves.join(shared, "band").groupBy("id", "n_shingles", "n_bytes").agg(F.collect_list(F.when(first, F.col("band"))).alias("a"), F.collect_list(F.when(~first, F.col("band"))).alias("b"))
+    listed = heads.select("id", "n_shingles", "n_bytes", F.posexplode("bands").alias("i", "band"))
+    shared = listed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    first = F.col("i") < halves(percent)
+    left = listed.join(shared, "band").groupBy("id", "n_shingles", "n_bytes").agg(F.collect_list(F.when(first, F.col("band"))).alias("a"), F.collect_list(F.when(~first, F.col("band"))).alias("b"))
     pairs = left.select("id", "n_shingles", "n_bytes", F.explode("a").alias("a"), "b").select("id", "n_shingles", "n_bytes", "a", F.explode("b").alias("b"))
     return pairs.select(F.xxhash64("a", "b").alias("key"), "id", "n_shingles", "n_bytes")
 
 
-def _fits(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILARITY
+def _fits(a: Column, b: Column, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """The pairs (``u``, ``v``, and ``n_bytes`` of u) whose full sets are similar, as ``u``, ``v``.
 
     u's are dealt to parts of their v by bytes and number, and v's text goes to each of its parts.
@@ -183,7 +202,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         own = group["id"] == key[0]
         heads = shingle_sets(group.loc[own, "text"].tolist())
         rest = group[~own]
-        linked = [i for i, s in zip(rest["id"].tolist(), shingle_sets(rest["text"].tolist()), strict=True) if any(similar(s, h) for h in heads)]
+        linked = [i for i, s in zip(rest["id"].tolist(), shingle_sets(rest["text"].tolist()), strict=True) if any(similar(s, h, percent) for h in heads)]
         return pd.DataFrame({"u": pd.Series(linked, dtype="int64"), "v": pd.Series([key[0]] * len(linked), dtype="int64")})
 
     return asked.groupBy("leader", "part").applyInPandas(work, "u long, v long").distinct()
@@ -196,14 +215,14 @@ def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return tagged.join(parted, "key", "left_semi")
 
 
-def _one_leader(entries: DataFrame, order: Column) -> DataFrame:
+def _one_leader(entries: DataFrame, order: Column, percent: int) -> DataFrame:
     """For each id, the first in ``order`` of the leaders of its tables that may be similar and is no part of its component yet."""
     lead = entries.groupBy("key").agg(F.min_by(F.struct("id", "n_shingles", "component"), order).alias("lead"))
-    near = entries.join(lead, "key").where((F.col("component") != F.col("lead.component")) & _fits(F.col("n_shingles"), F.col("lead.n_shingles")))
+    near = entries.join(lead, "key").where((F.col("component") != F.col("lead.component")) & _fits(F.col("n_shingles"), F.col("lead.n_shingles"), percent))
     return near.groupBy("id").agg(F.min("lead.id").alias("v"), F.first("n_bytes").alias("n_bytes")).select(F.col("id").alias("u"), "v", "n_bytes")
 
 
-def _by_prefix(members: DataFrame, texts: DataFrame) -> DataFrame:
+def _by_prefix(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Every pair across components that can be similar: sets share one of the rarest shingles of each.
 
     Of n shingles in any fixed order, two sets of similarity s share one of the first n - ceil(s n) + 1. In
@@ -214,19 +233,19 @@ def _by_prefix(members: DataFrame, texts: DataFrame) -> DataFrame:
     each = stage(found.select("row.*", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
     rarity = each.groupBy("shingle").agg(F.count("*").alias("rarity")).where("rarity > 1")
     ranked = each.join(rarity, "shingle", "left").groupBy("id", "component", "n_bytes", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("rarity", F.lit(1)).alias("rarity"), "shingle"))).alias("all"))
-    first = F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     prefix = ranked.select("id", "component", "n_bytes", "n", F.posexplode(F.slice("all", F.lit(1), first.cast("int"))).alias("at", "x")).where("x.rarity > 1")
     x = prefix.select("x.shingle", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"), F.col("at").alias("au"), "n_bytes")
     y = prefix.select("x.shingle", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"), F.col("at").alias("av"))
-    enough = F.least(F.col("nu") - F.col("au"), F.col("nv") - F.col("av")) * (100 + SIMILARITY) >= (F.col("nu") + F.col("nv")) * SIMILARITY
+    enough = F.least(F.col("nu") - F.col("au"), F.col("nv") - F.col("av")) * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent
     return x.join(y, "shingle").where((F.col("cu") > F.col("cv")) & enough).select("u", "v", "n_bytes").distinct()
 
 
-def links(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links between ids that span every component: ``u``, ``v``. ``found``: staged ``sets`` of ``docs``."""
+def links(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
+    """Links between ids that span every component: ``u``, ``v``. ``found``: staged ``sets`` of ``docs`` for the same percent."""
     whole = found.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     heads = whole.groupBy("digest").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.max("n_bytes").alias("n_bytes"), F.min("bands").alias("bands"))
-    made = stage(tables(heads))
+    made = stage(tables(heads, percent))
     entries = stage(made.join(made.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key"), "key", "left_semi"))
     members = stage(entries.select("id").distinct())
     texts = stage(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(members, "id", "left_semi"))
@@ -238,19 +257,19 @@ def links(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str =
     labels = None
     for order in (F.col("id"), F.xxhash64("id")):
         left = entries.withColumn("component", F.col("id")) if labels is None else _open(entries, labels)
-        known = stage(known.union(confirm(stage(_one_leader(left, order)), texts)))
+        known = stage(known.union(confirm(stage(_one_leader(left, order, percent)), texts, percent)))
         labels = stage(components(known))
     left = stage(_open(entries, labels).select("id", "component", "n_bytes").distinct())
     if left.isEmpty():
         return known
-    return stage(known.union(confirm(stage(_by_prefix(left, texts)), texts)))
+    return stage(known.union(confirm(stage(_by_prefix(left, texts, percent)), texts, percent)))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
     """``id``, ``n_shingles``, ``component_id``, ``kept`` per row of ``docs``."""
-    found = stage(sets(docs, doc_id, text))
+    found = stage(sets(docs, doc_id, text, percent))
     whole = found.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
-    labels = components(links(docs, found, doc_id, text))
+    labels = components(links(docs, found, doc_id, text, percent))
     heads = whole.groupBy("digest").agg(F.min("id").alias("head")).join(labels.withColumnRenamed("node", "head"), "head", "left").select("digest", F.coalesce("component", "head").alias("component_id"))
     return found.join(heads, "digest", "left").select(
         "id",

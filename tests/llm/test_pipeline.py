@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
-from runlens.llm import pii
+from runlens.llm import near_dedup, pii
+from tests.llm.test_operators import shingles
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,3 +30,28 @@ def test_empty(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, work in corpus_pipeline.STAGES:
         assert work(spark, docs, SF_DIR).count() == 0
+
+
+def test_near_duplicates_from_80_percent(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    text = [" ".join(random.Random(k).choices([f"w{i}x" for i in range(400)], k=100)).split() for k in range(8)]
+    # 100 words have 96 shingles; the first n words share n - 4 of them
+    made = [(10**9 + 100 * k + n, " ".join(text[k][:n])) for k in range(8) for n in (100, (79, 80, 81, 82, 83, 84, 85, 86)[k])]
+    rows = docs.select("doc_id", "text").collect() + made
+    kinds = docs.schema
+    whole = docs.unionByName(spark.createDataFrame(made, "doc_id long, text string").select("doc_id", "text"), allowMissingColumns=True).select(*kinds.names)
+    known = [(i, shingles(t)) for i, t in rows if i is not None]
+    root = {i: i for i, _ in known}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for at, (i, a) in enumerate(known):
+        for j, b in known[:at]:
+            if a and b and 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, whole, SF_DIR).select("doc_id").collect()}
+    assert kept == {i for i in root if find(i) == i} | {i for i, _ in rows if i is None}
+    assert sum(i >= 10**9 for i in kept) == 10  # those of 79 and 80 words stay
+
+
+def test_bands_for_a_percentage():
+    assert near_dedup.halves(85) == 10 and near_dedup.halves(80) == 14
