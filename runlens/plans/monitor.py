@@ -109,6 +109,17 @@ def record_metrics(spark, sf_dir):
     return M.record_metrics(calls, ["id"]).where("val IS NOT NULL")
 
 
+def instance_shape_all(spark, sf_dir):
+    """Every call, those of sub-workflows too."""
+    return M.instance(_calls(spark, sf_dir)).select("id", _dotted("ord").alias("ord"), "cpu", "disk", "mem")
+
+
+def record_metrics_all(spark, sf_dir):
+    """Every call, those of sub-workflows too."""
+    calls = M.instance(_calls(spark, sf_dir)).withColumn("ord", _dotted("ord"))
+    return M.record_metrics(calls, ["id", "ord"]).where("val IS NOT NULL")
+
+
 def ragged_tsv(spark, sf_dir):
     records = M.monitor_records(
         _calls(spark, sf_dir), R.series(spark, sf_dir), R.catalog(spark, sf_dir), stats=["max", "last"]
@@ -200,6 +211,8 @@ QUERIES = {
     "missing_files": missing_files,
     "instance_shape": instance_shape,
     "record_metrics": record_metrics,
+    "instance_shape_all": instance_shape_all,
+    "record_metrics_all": record_metrics_all,
     "ragged_tsv": ragged_tsv,
     "ols_sum": _fit("sum"),
     "ols_max": _fit("max"),
@@ -319,6 +332,23 @@ ORACLES = {
         UNION ALL SELECT id, 'instance.cpu', k % 4 + 1 FROM o
         UNION ALL SELECT id, 'instance.disk', (k % 90 + 10) * 1073741824 FROM o
         UNION ALL SELECT id, 'instance.mem', (k % 7 + 1) * CASE WHEN k % 2 = 0 THEN 1000000000 ELSE 1073741824 END FROM o""",
+    "instance_shape_all": f"""
+        WITH {R.CALLS_SQL}
+        SELECT id, ord, CASE WHEN call_name <> 'main.sub' THEN CAST(k % 4 + 1 AS INTEGER) END AS cpu,
+               CASE WHEN call_name <> 'main.sub' THEN (k % 90 + 10) * 1073741824 END AS disk,
+               CASE WHEN call_name <> 'main.sub' THEN (k % 7 + 1) * CASE WHEN k % 2 = 0 THEN 1000000000 ELSE 1073741824 END END AS mem
+        FROM calls""",
+    "record_metrics_all": f"""
+        WITH {R.CALLS_SQL},
+        vals AS (
+          SELECT id, ord, 'shard_idx' AS metric, CAST(shard AS DOUBLE) AS val FROM calls
+          UNION ALL SELECT id, ord, 'attempt', attempt FROM calls
+          UNION ALL SELECT id, ord, 'instance.cpu', k % 4 + 1 FROM calls WHERE call_name <> 'main.sub'
+          UNION ALL SELECT id, ord, 'instance.disk', (k % 90 + 10) * 1073741824 FROM calls WHERE call_name <> 'main.sub'
+          UNION ALL SELECT id, ord, 'instance.mem', (k % 7 + 1) * CASE WHEN k % 2 = 0 THEN 1000000000 ELSE 1073741824 END
+          FROM calls WHERE call_name <> 'main.sub'
+        )
+        SELECT * FROM vals WHERE val IS NOT NULL""",
     "ragged_tsv": f"""
         WITH {R.SIZES_SQL},
         {R.SERIES_SQL},
