@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import langid, near_dedup, packing, pieces, pii, quality, suffix_dedup, topk, url_templates, warc
+from runlens.llm import infill, langid, near_dedup, packing, pieces, pii, quality, suffix_dedup, topk, url_templates, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,5 +118,29 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM r GR
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup}
-ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP}
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    back = infill.restore(F.col("output"), F.col("form"))
+    return made.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"))
+
+
+OP11_INFILL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+d AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS pre, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid, array_to_string(u[greatest(x, y) + 1:], '') AS suf FROM d)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup, "op11_infill": op11_infill}
+ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP, "op11_infill": OP11_INFILL}

@@ -15,7 +15,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from runlens.llm import components, langid, near_dedup, packing, pieces, pii, quality, queries, suffix_array, suffix_dedup, topk, url_templates, warc
+from runlens.llm import components, infill, langid, near_dedup, packing, pieces, pii, quality, queries, suffix_array, suffix_dedup, topk, url_templates, warc
 from tests.check_oracles import compare, duck
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -418,3 +418,34 @@ def test_components(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, 101), (101, 102), (7, 7), (None, 3), (200, 199)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 199: 199, 200: 199}
+
+
+# ---- 11
+
+
+def brute_infill(i: int | None, t: str | None, seed: int = 1) -> tuple:
+    t = t or ""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", t)
+    h = hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * k : 8 * k + 8], 16) for k in range(4))
+    a, b = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+    pre, mid, suf = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not t or any(m in t for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return i, len(units), "plain", t, None, None
+    if h4 % 100 < 20:
+        return i, len(units), "spm", f"<S>{suf}<P>{pre}<M>{mid}", len(pre), len(mid)
+    return i, len(units), "psm", f"<P>{pre}<S>{suf}<M>{mid}", len(pre), len(mid)
+
+
+def test_infill(spark, docs, nothing):
+    rng = random.Random(11)
+    odd = [(100 + k, "".join(rng.choices(["a", "Zz", "<", ">", "P", "<P", "S>", "<M>", "\n", "\r", "\u2028", "é", "😀", "$1", "\\", " ", "日", "\x00"], k=rng.randint(0, 12))), "", "", 0) for k in range(300)]
+    extra = [*odd, (500, "ab 😀" * 400_000, "", "", 0), (501, "x" * 2_000_000, "", "", 0), (-7, "negative id here", "", "", 0)]
+    rows = docs.union(spark.createDataFrame(extra, SCHEMA))
+    for seed in (1, 5):
+        made = infill.fill_in_middle(rows, seed=seed)
+        got = Counter((r["row"]["doc_id"], r.n, r.form, r.output, r.prefix_chars, r.middle_chars) for r in made.collect())
+        assert got == Counter(brute_infill(i, t, seed) for i, t, *_ in DOCS + extra)
+        assert made.where(infill.restore(F.col("output"), F.col("form")) != F.coalesce("row.text", F.lit(""))).count() == 0
+    assert {r.form for r in made.select("form").distinct().collect()} == {"plain", "psm", "spm"} and made.schema["row"].dataType == rows.schema
+    assert infill.fill_in_middle(nothing).count() == 0
