@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import infill, langid, near_dedup, packing, pieces, pii, quality, suffix_dedup, topk, url_templates, warc
+from runlens.llm import collocations, infill, langid, licenses, near_dedup, packing, pieces, pii, quality, suffix_dedup, topk, url_templates, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,5 +142,69 @@ FROM p
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup, "op11_infill": op11_infill}
-ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP, "op11_infill": OP11_INFILL}
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    return found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", joined("base_labels"), joined("labels"), "score")
+
+
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+
+
+OP12_LICENSES = f"""
+WITH t(t, label, notice) AS (VALUES {_values([(k, t.label, t.notice) for k, t in enumerate(licenses.TEMPLATES)])}),
+k(t, key) AS (VALUES {_values([(k, key) for k, t in enumerate(licenses.TEMPLATES) for key in t.keys])}),
+b(phrase, label) AS (VALUES {_values(list(licenses.PHRASES.items()))}),
+w AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+x AS MATERIALIZED (SELECT id, unnest(w) AS w, unnest(range(len(w))) AS i FROM w),
+tw AS (SELECT t, unnest(string_split(notice, ' ')) AS w, unnest(range(len(string_split(notice, ' ')))) AS p FROM t),
+n AS (SELECT v.w, count(DISTINCT id) AS n FROM (SELECT DISTINCT w FROM tw) v LEFT JOIN x ON x.w = v.w GROUP BY 1),
+ix AS (SELECT t, w FROM (SELECT DISTINCT t, tw.w, n FROM tw JOIN n ON n.w = tw.w) QUALIFY row_number() OVER (PARTITION BY t ORDER BY n, w) <= {licenses.INDEX_WORDS}),
+c AS (SELECT id, tw.t, i - p AS pos FROM x JOIN ix ON ix.w = x.w JOIN tw ON tw.t = ix.t AND tw.w = ix.w GROUP BY ALL HAVING count(*) >= {licenses.MIN_AGREEING}),
+m AS (SELECT c.id, c.t, c.pos, count(x.w) / count(*) AS share FROM c JOIN tw ON tw.t = c.t LEFT JOIN x ON x.id = c.id AND x.i = c.pos + tw.p AND x.w = tw.w GROUP BY ALL),
+s AS (
+  SELECT m.id, label, share FROM m JOIN t ON t.t = m.t JOIN w ON w.id = m.id
+  WHERE share >= {licenses.MIN_SHARE} AND NOT EXISTS (SELECT 1 FROM k WHERE k.t = m.t AND NOT contains(
+    ' ' || array_to_string(w.w[greatest(pos - {licenses.SLACK}, 0) + 1:pos + len(string_split(notice, ' ')) + {licenses.SLACK}], ' ') || ' ', ' ' || key || ' '))),
+p AS (SELECT x.id, b.label, x.i FROM b JOIN x ON x.w = string_split(phrase, ' ')[1] JOIN w ON w.id = x.id AND array_to_string(w.w[x.i + 1:x.i + len(string_split(phrase, ' '))], ' ') = phrase),
+f AS (SELECT id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY 1),
+l AS (SELECT id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM (SELECT id, label, share FROM s UNION ALL SELECT id, label, 1.0 FROM p) GROUP BY 1)
+SELECT doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM w LEFT JOIN f ON f.id = w.id LEFT JOIN l ON l.id = w.id
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_COLLOCATIONS = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) r(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 100),
+o AS (
+  SELECT lang, phrase, max(outer_a) AS outer_a FROM (
+    SELECT lang, array_to_string(w[1:k - 1], ' ') AS phrase, a AS outer_a FROM c UNION ALL SELECT lang, array_to_string(w[2:k], ' '), a FROM c) GROUP BY ALL),
+s AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n.n, (1000::HUGEINT * c.a * n.n) // (x.a::HUGEINT * y.a) AS score, cut.k
+  FROM c JOIN range(1, 5) cut(k) ON cut.k < c.k JOIN n ON n.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut.k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut.k + 1:c.k], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut.k) = 1),
+t AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+  FROM s LEFT JOIN o ON o.lang = s.lang AND o.phrase = s.phrase WHERE outer_a IS NULL OR outer_a < a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM t WHERE rank <= 2000
+"""
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup, "op11_infill": op11_infill, "op12_licenses": op12_licenses, "op13_collocations": op13_collocations}
+ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP, "op11_infill": OP11_INFILL, "op12_licenses": OP12_LICENSES, "op13_collocations": OP13_COLLOCATIONS}

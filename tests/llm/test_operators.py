@@ -15,7 +15,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from runlens.llm import components, infill, langid, near_dedup, packing, pieces, pii, quality, queries, suffix_array, suffix_dedup, topk, url_templates, warc
+from runlens.llm import collocations, components, infill, langid, licenses, near_dedup, packing, pieces, pii, quality, queries, suffix_array, suffix_dedup, topk, url_templates, warc
 from tests.check_oracles import compare, duck
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -449,3 +449,123 @@ def test_infill(spark, docs, nothing):
         assert made.where(infill.restore(F.col("output"), F.col("form")) != F.coalesce("row.text", F.lit(""))).count() == 0
     assert {r.form for r in made.select("form").distinct().collect()} == {"plain", "psm", "spm"} and made.schema["row"].dataType == rows.schema
     assert infill.fill_in_middle(nothing).count() == 0
+
+
+# ---- 12
+
+
+def brute_licenses(rows: list[tuple]) -> list[tuple]:
+    told = [(i, re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for i, t, *_ in rows]
+    notices = [t.notice.split() for t in licenses.TEMPLATES]
+    held = Counter(w for _, words in told for w in set(words))
+    rare = [set(sorted(set(n), key=lambda w: (held[w], w))[: licenses.INDEX_WORDS]) for n in notices]
+    out = []
+    for i, words in told:
+        base = sorted((k, label) for phrase, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split())
+        labels, score = {x for _, x in base}, 1.0 if base else 0.0
+        for t, template in enumerate(licenses.TEMPLATES):
+            n = notices[t]
+            for at in {k - p for k, w in enumerate(words) if w in rare[t] for p, v in enumerate(n) if v == w}:
+                agree = [p for p, v in enumerate(n) if 0 <= at + p < len(words) and words[at + p] == v]
+                near = f" {' '.join(words[max(at - licenses.SLACK, 0) : max(0, at + len(n) + licenses.SLACK)])} "
+                if sum(n[p] in rare[t] for p in agree) >= licenses.MIN_AGREEING and len(agree) / len(n) >= licenses.MIN_SHARE and all(f" {key} " in near for key in template.keys):
+                    labels.add(template.label)
+                    score = max(score, len(agree) / len(n))
+        out.append((i, len(words), len(base), base[0][0] if base else None, base[-1][0] if base else None, ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), score))
+    return out
+
+
+def test_licenses(spark, docs, nothing):
+    rng = random.Random(12)
+    parts = [*licenses.PHRASES, *[t.notice for t in licenses.TEMPLATES], "the", "license", "version 3", "gnu", "x", "under", "Lésser"]
+    mixed = [(100 + k, rng.choice([" ", "-", ",\n"]).join(rng.sample(parts, rng.randint(1, 6))).title(), "", "", 0) for k in range(120)]
+    shaken = [(300 + k, " ".join(w for w in rng.choice(licenses.TEMPLATES).notice.split() if rng.random() < 0.9), "", "", 0) for k in range(120)]
+    extra = [*mixed, *shaken, (500, words(50000, 9) + " Under the MIT License! " + words(50000, 10), "", "", 0), (501, "license " * 20000, "", "", 0)]
+    rows = docs.union(spark.createDataFrame(extra, SCHEMA))
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    found = licenses.scan(rows)
+    got = found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", joined("base_labels"), joined("labels"), "score").collect()
+    assert Counter(map(tuple, got)) == Counter(brute_licenses(DOCS + extra))
+    assert len({r.labels for r in got}) > 20 and found.schema["row"].dataType == rows.schema
+    assert licenses.scan(nothing).count() == 0
+    assert {r.n_base for r in licenses.scan(rows, templates=(), phrases={}).collect()} == {0}
+
+
+def test_licence_plan_is_native(spark):
+    plan = licenses.scan(queries.table(spark, SF_DIR, "documents"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+# ---- 13
+
+
+def brute_collocations(rows: list[tuple], least: int, top: int, max_words: int, absorb: int) -> list[tuple]:
+    f: dict = {}
+    for _, t, lang, *_ in rows:
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")):
+            w = [x for x in re.split("[ \t]+", piece) if x]
+            for k in range(1, max_words + 1):
+                f.setdefault(lang if lang is not None else "und", Counter()).update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, c in f.items():
+        n = sum(a for p, a in c.items() if len(p) == 1)
+        outer: Counter = Counter()
+        for p, a in c.items():
+            for k in range(2, len(p) if a >= least else 0):
+                for i in range(len(p) - k + 1):
+                    outer[p[i : i + k]] = max(outer[p[i : i + k]], a)
+        kept = []
+        for p, a in c.items():
+            if len(p) > 1 and a >= least and not 100 * outer[p] >= absorb * a:
+                score, k = min((1000 * a * n // (c[p[:k]] * c[p[k:]]), k) for k in range(1, len(p)))
+                kept.append((-score, -a, " ".join(p).encode(), c[p[:k]], c[p[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, x, y, n, -s) for i, (s, a, p, x, y) in enumerate(sorted(kept)[:top])]
+    return out
+
+
+PROSE = [
+    (200 + k, "".join(random.Random(k).choices(["New York", " ", " ", "of the", "\t", "San ", "A", "b", ", ", ".", "\n", "\x0b", "é\u00a0É", "ÄB", " x x x ", "\u2028", "\x00 ", "the end of the day"], k=60)), ["en", "de", None][k % 3], "", 0)
+    for k in range(60)
+]
+
+
+@pytest.mark.parametrize(("least", "top", "max_words", "absorb", "size"), [(2, 50, 5, 100, 700), (3, 1000, 4, 80, 1 << 20), (20, 7, 2, 100, 100), (5, 30, 3, 60, 3000)])
+def test_collocations(spark, docs, nothing, least, top, max_words, absorb, size):
+    repeated = [(900 + k, "Copies stand in many places of the corpus. Copies stand in many places", "en", "", 0) for k in range(40)]
+    extra = [*PROSE, *PROSE[:9], *repeated, (990, "no-end " * 3000, "en", "", 0), (991, "one, two! " * 500, "xx", "", 0)]
+    rows = docs.where("doc_id is null or doc_id <> 9").union(spark.createDataFrame(extra, SCHEMA)).repartition(5)
+    got = collocations.collocations(rows, least=least, top=top, max_words=max_words, absorb_percent=absorb, shard_bytes=size).collect()
+    want = brute_collocations([r for r in DOCS if r[0] != 9] + extra, least, top, max_words, absorb)
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 5
+
+
+def test_collocations_without_text(spark, docs, nothing):
+    assert collocations.collocations(nothing).count() == 0
+    assert collocations.collocations(docs, least=10**6).count() == 0
+
+
+def test_wide_products(spark):
+    rows = spark.createDataFrame([([10**15, 3], [10**15, 7], 10**15, 2 * 10**15)], "firsts array<long>, lasts array<long>, a long, every long")
+    got = rows.select(collocations._score(2, F.col("every")).alias("c")).first()["c"]
+    assert (got.score, got.l, got.r) == (1000 * 10**15 * 2 * 10**15 // (10**15 * 10**15), 10**15, 10**15)
+
+
+def test_index_extends_both_ways():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 5, 400).astype(np.int32)
+    seq = collocations.frequent_sequence(ids, np.array([1, 2, 3, 4]))
+    plain = seq.tolist()
+    sides = [collocations.Side(collocations.transform(s, 4)) for s in (seq, seq[::-1].copy())]
+    n = np.bincount(seq, minlength=5)
+    start = (np.cumsum(n) - n)[1:]
+    phrases, lo, rlo, count = [(s,) for s in range(1, 5)], start, start, n[1:]
+    for depth in range(2, 6):
+        at, (a, b) = (1, (rlo, lo)) if depth % 2 == 0 else (0, (lo, rlo))
+        owner, here, there, count = sides[at].extend(a, b, count)
+        lo, rlo = (there, here) if at else (here, there)
+        want = Counter(tuple(plain[i : i + depth]) for i in range(len(plain) - depth + 1) if 0 not in plain[i : i + depth])
+        symbols = np.repeat(np.arange(len(n)), n)
+        grown = [(phrases[o] + (int(symbols_r),) if at else (int(symbols_r),) + phrases[o]) for o, symbols_r in zip(owner, symbols[here], strict=True)]
+        assert Counter(dict(zip(grown, count.tolist(), strict=True))) == want
+        assert len(set(lo.tolist())) == len(lo) == len(set(rlo.tolist()))
+        phrases = grown
