@@ -7,13 +7,15 @@ the right (in the reversed index) or to the left (in the other) keeps both inter
 
 Phrases grow level by level, and counts are summed across shards at each. Only phrases frequent over all
 shards go on, and an extension is made only if both its parents (without the last word, without the first) are
-frequent, so rare n-grams are never listed twice. A phrase is named exactly, not by a hash: by the least
-(shard, interval) that holds it; longer ones are pairs of their parents' names. So counts of all parts of a
-phrase are found by joins on names.
+frequent, so rare n-grams are never listed twice. A phrase is the pair of its parents' numbers, and gets a number
+itself once it is known to be frequent: numbers are exact, no hashes. So counts of all parts of a phrase are found
+by joins on numbers.
 
-What is shuffled: the distinct words of each shard, each level's distinct extensions, and the shards' indexes.
-A phrase has at most one row per shard, so no group holds more rows than there are shards, and no task
-more than one shard's words. Nothing but the plan passes the driver.
+What is shuffled: the distinct words of each shard, each level's distinct extensions, and the transform that a
+level needs. Extensions travel as sorted, packed arrays, by bucket: a bucket gets all shards' counts of its
+phrases, adds them up and sends the frequent ones' numbers back. The number of buckets follows the number of
+occurrences, so a bucket is bounded, and so is a phrase in it: it has at most one entry per shard. Nothing but the
+plan and some totals pass the driver.
 
 Defined cases: a null or empty text has no words; a null language is ``und``. Repeated rows count as often as
 they come. Ties in score and count are ordered by the phrase. Very long texts are cut between pieces, so that
@@ -37,8 +39,8 @@ from runlens.session import stage
 MAX_WORDS, LEAST, TOP = 5, 100, 2000
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
-#: Shards that a task may make, lists that the last ranking is dealt to.
-TASK_SHARDS, DEALS = 4096, 256
+#: Shards that a task may make, occurrences per bucket, lists that the last ranking is dealt to.
+TASK_SHARDS, BUCKET, DEALS = 4096, 1 << 20, 64
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _ENDS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_ENDS))
@@ -88,16 +90,34 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int, first: int) -> Iterato
         yield next(made), name, texts
 
 
-def _squeeze(x: np.ndarray) -> bytes:
+def pack(columns: list[np.ndarray], steps: bool = True) -> bytes:
+    """Integers of equally long columns, or their steps from row to row, in as few bytes as the greatest needs, byte by byte."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
+    out = [len(columns[0]).to_bytes(8, "little")]
+    for column in columns:
+        x = column.astype(np.int64)
+        x = np.diff(x, prepend=0) if steps else x
+        folded = ((x << 1) ^ (x >> 63)).view(np.uint64)  # small numbers of both signs
+        width = max(1, (int(folded.max(initial=0)).bit_length() + 7) // 8)
+        out += [bytes([width]), folded.view(np.uint8).reshape(-1, 8).T[:width].tobytes()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
-def _spread(x: bytes, dtype: type = np.int32) -> np.ndarray:
+def unpack(blob: bytes, n: int = 1, steps: bool = True) -> list[np.ndarray]:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=dtype)
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    rows, at, out = int.from_bytes(raw[:8], "little"), 8, []
+    for _ in range(n):
+        width = raw[at]
+        planes = np.zeros((rows, 8), dtype=np.uint8)
+        planes[:, :width] = np.frombuffer(raw, dtype=np.uint8, count=width * rows, offset=at + 1).reshape(width, rows).T
+        folded = planes.view(np.uint64).ravel()
+        x = (folded >> np.uint64(1)).view(np.int64) ^ -(folded & np.uint64(1)).view(np.int64)
+        out.append(np.cumsum(x) if steps else x)
+        at += 1 + width * rows
+    return out
 
 
 def cut(df: DataFrame, text: str, lang: str, shard_bytes: int) -> DataFrame:
@@ -113,7 +133,7 @@ def cut(df: DataFrame, text: str, lang: str, shard_bytes: int) -> DataFrame:
                 raise ValueError("one task reads too much text: use smaller input splits or larger shards")
             ids, found = numbered(texts)
             counts = np.bincount(ids, minlength=len(found) + 1)[1:]
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "lang": [name], "ids": [_squeeze(ids)], "words": [[w.decode() for w in found]], "counts": [counts]}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "lang": [name], "ids": [pack([ids], steps=False)], "words": [[w.decode() for w in found]], "counts": [counts]}, schema=schema)
 
     read = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text <> ''")
     return read.mapInArrow(run, "shard long, lang string, ids binary, words array<string>, counts array<long>")
@@ -190,84 +210,139 @@ def within(starts: np.ndarray, n: np.ndarray, names: np.ndarray, places: np.ndar
     return names[held], (at >= 0) & (places < (starts + n)[held])
 
 
-def grow(index: dict, depth: int, names: np.ndarray, lo: np.ndarray, rlo: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-    """Phrases of ``depth`` words from frequent ones of a word less, whose other parent is frequent too."""
-    if depth % 2 == 0:  # to the right: the phrase is its first parent's extension
-        owner, new_rlo, new_lo, count = Side(index["rbwt"]).extend(rlo, lo, n)
+def grow(bwt: np.ndarray, depth: int, names: np.ndarray, lo: np.ndarray, rlo: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """Phrases of ``depth`` words from frequent ones of a word less, whose other parent is frequent too.
+
+    Even depths grow to the right and need the transform of the reversed words, odd ones to the left.
+    """
+    if depth % 2 == 0:  # the phrase is its first parent's extension
+        owner, new_rlo, new_lo, count = Side(bwt).extend(rlo, lo, n)
         other, known = within(rlo, n, names, new_rlo)
         left, right = names[owner], other
     else:
-        owner, new_lo, new_rlo, count = Side(index["bwt"]).extend(lo, rlo, n)
+        owner, new_lo, new_rlo, count = Side(bwt).extend(lo, rlo, n)
         other, known = within(lo, n, names, new_lo)
         left, right = other, names[owner]
-    return {k: v[known] for k, v in (("l", left), ("r", right), ("lo", new_lo.astype(np.int32)), ("rlo", new_rlo.astype(np.int32)), ("n", count))}
+    return {k: v[known] for k, v in (("l", left), ("r", right), ("lo", new_lo), ("rlo", new_rlo), ("n", count))}
 
 
-_EXTENSIONS = "shard long, l long, r long, lo int, rlo int, n long"
-_INDEX = "shard long, bwt binary, rbwt binary, names binary"
+# ---- across shards
 
+_SENT = "bucket int, shard long, sent binary"
+_LEVEL = "shard long, found binary, named binary"
+_INDEX = "shard long, length long, bwt binary, rbwt binary, names binary"
 
-def _table(shard: int, found: dict[str, np.ndarray]) -> pa.Table:
-    types = {"l": pa.int64(), "r": pa.int64(), "lo": pa.int32(), "rlo": pa.int32(), "n": pa.int64()}
-    return pa.table({"shard": pa.array(np.full(len(found["l"]), shard)), **{k: pa.array(found[k], type=t) for k, t in types.items()}})
+
+def frequent_words(words: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Rows ``(shard, lang, lo, word, n)`` of words with ``least`` occurrences over all shards, with number ``id`` and count ``a``.
+
+    Words are dealt to buckets by a hash and numbered within; a bucket's numbers are its own.
+    """
+    dealt = words.withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets))).repartition("bucket")
+    known = dealt.withColumn("a", F.sum("n").over(Window.partitionBy("bucket", "lang", "word"))).where(F.col("a") >= least)
+    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy("lang", "word"))
+    return known.withColumn("id", (place - 1) * buckets + F.col("bucket")).drop("bucket")
 
 
 def build(shards: DataFrame, words: DataFrame, max_words: int) -> DataFrame:
-    """Each shard's two transforms over its frequent words, and those words' names."""
+    """Each shard's two transforms over its frequent words, and those words' numbers."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"shard": pa.array([], pa.int64()), **{k: pa.array([], pa.binary()) for k in ("bwt", "rbwt", "names")}}
+        kinds = {"shard": pa.int64(), "length": pa.int64(), "bwt": pa.binary(), "rbwt": pa.binary(), "names": pa.binary()}
         if not left.num_rows or not right.num_rows:
-            return pa.table(empty)
+            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
         place, name = right["lo"].to_numpy(), right["id"].to_numpy()
         order = np.argsort(place)
-        seq = frequent_sequence(_spread(left["ids"][0].as_py()), place[order])
-        sides = [_squeeze(transform(s, max_words - 1)) for s in (seq, seq[::-1].copy())]
-        return pa.table({"shard": left["shard"], **{k: pa.array([v], pa.binary()) for k, v in (("bwt", sides[0]), ("rbwt", sides[1]), ("names", _squeeze(name[order])))}})
+        seq = frequent_sequence(unpack(left["ids"][0].as_py(), steps=False)[0], place[order])
+        sides = [pack([transform(s, max_words - 1)], steps=False) for s in (seq, seq[::-1].copy())]
+        row = {"shard": left["shard"][0].as_py(), "length": len(seq), "bwt": sides[0], "rbwt": sides[1], "names": pack([name[order]], steps=False)}
+        return pa.table({k: pa.array([row[k]], t) for k, t in kinds.items()})
 
     return shards.select("shard", "ids").groupBy("shard").cogroup(words.select("shard", "id", "lo").groupBy("shard")).applyInArrow(run, _INDEX)
 
 
-def pairs(indexes: DataFrame) -> DataFrame:
-    """Phrases of two words of each shard."""
+def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Borders of the runs of equal keys."""
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    return list(zip(cuts, cuts[1:], strict=False)) if len(keys) else []
+
+
+def _sent(shard: int, found: dict[str, np.ndarray], buckets: int) -> pa.RecordBatch:
+    """A shard's extensions by bucket, in the order of their intervals."""
+    mixed = found["l"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + found["r"].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    bucket = ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((found["lo"], bucket))
+    bucket = bucket[order]
+    runs = _runs(bucket)
+    columns = [found[k][order] for k in ("l", "r", "lo", "rlo", "n")]
+    blobs = [pack([c[a:b] for c in columns]) for a, b in runs]
+    return pa.RecordBatch.from_pydict({"bucket": pa.array([int(bucket[a]) for a, _ in runs], pa.int32()), "shard": pa.array([shard] * len(blobs), pa.int64()), "sent": pa.array(blobs, pa.binary())})
+
+
+def pairs(indexes: DataFrame, buckets: int) -> DataFrame:
+    """Phrases of two words of each shard, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                index = {k: _spread(batch.column(k)[row].as_py()) for k in ("bwt", "rbwt")}
-                names = _spread(batch.column("names")[row].as_py(), np.int64)
-                n = np.bincount(index["bwt"], minlength=len(names) + 1)
+                rbwt, names = (unpack(batch.column(k)[row].as_py(), steps=False)[0] for k in ("rbwt", "names"))
+                n = np.bincount(rbwt, minlength=len(names) + 1)
                 start = (np.cumsum(n) - n)[1:]
-                yield from _table(batch.column("shard")[row].as_py(), grow(index, 2, names, start, start, n[1:])).to_batches()
+                yield _sent(batch.column("shard")[row].as_py(), grow(rbwt, 2, names, start, start, n[1:]), buckets)
 
-    return indexes.mapInArrow(run, _EXTENSIONS)
+    return indexes.select("shard", "rbwt", "names").mapInArrow(run, _SENT)
 
 
-def longer(indexes: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
-    """Phrases of ``depth`` words of each shard from the frequent ones of a word less."""
+def longer(indexes: DataFrame, level: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """Phrases of ``depth`` words of each shard, by bucket, from the frequent ones of a word less."""
+    side = "rbwt" if depth % 2 == 0 else "bwt"
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return _table(0, {k: np.empty(0, dtype=np.int64) for k in ("l", "r", "lo", "rlo", "n")})
-        index = {k: _spread(left[k][0].as_py()) for k in ("bwt", "rbwt")}
-        got = {k: right[k].to_numpy() for k in ("id", "lo", "rlo", "n")}
-        return _table(left["shard"][0].as_py(), grow(index, depth, got["id"], got["lo"].astype(np.int64), got["rlo"].astype(np.int64), got["n"]))
-
-    return indexes.select("shard", "bwt", "rbwt").groupBy("shard").cogroup(frequent.select("shard", "id", "lo", "rlo", "n").groupBy("shard")).applyInArrow(run, _EXTENSIONS)
-
-
-# ---- across shards
-
-
-def _own_name() -> Column:
-    """What a shard would call a phrase: its place there. The phrase's name is the least of them."""
-    return F.shiftleft("shard", 31).bitwiseOR(F.col("lo").cast("long"))
+            return pa.table({"bucket": pa.array([], pa.int32()), "shard": pa.array([], pa.int64()), "sent": pa.array([], pa.binary())})
+        parts = [unpack(b, 4) for b in right["found"].to_pylist()]
+        names, lo, rlo, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+        found = grow(unpack(left[side][0].as_py(), steps=False)[0], depth, names, lo, rlo, n)
+        return pa.Table.from_batches([_sent(left["shard"][0].as_py(), found, buckets)])
+
+    known = level.where("found IS NOT NULL").select("shard", "found")
+    return indexes.select("shard", side).groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(run, _SENT)
+
+
+def summed(sent: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Frequent phrases of each bucket: per shard their numbers and intervals, and per bucket numbers, parents and counts."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        parts = [unpack(b, 5) for b in table["sent"].to_pylist()]
+        shard = np.repeat(table["shard"].to_numpy(), [len(p[0]) for p in parts])
+        l, r, lo, rlo, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((r, l))
+        l, r, lo, rlo, n, shard = (x[order] for x in (l, r, lo, rlo, n, shard))
+        starts = np.flatnonzero(np.append(True, (l[1:] != l[:-1]) | (r[1:] != r[:-1])))
+        total = np.add.reduceat(n, starts)
+        good = total >= least
+        number = np.full(len(starts), -1)
+        number[good] = key[0].as_py() + buckets * np.arange(good.sum())
+        name = np.repeat(number, np.diff(np.append(starts, len(l))))
+        kept = np.flatnonzero(name >= 0)
+        kept = kept[np.lexsort((lo[kept], shard[kept]))]
+        rows = [(int(shard[kept[a]]), pack([x[kept[a:b]] for x in (name, lo, rlo, n)]), None) for a, b in _runs(shard[kept])]
+        heads = starts[good]
+        rows.append((None, None, pack([number[good], l[heads], r[heads], total[good]])))
+        return pa.table({"shard": pa.array([x[0] for x in rows], pa.int64()), "found": pa.array([x[1] for x in rows], pa.binary()), "named": pa.array([x[2] for x in rows], pa.binary())})
+
+    return sent.groupBy("bucket").applyInArrow(run, _LEVEL)
+
+
+def named(level: DataFrame) -> DataFrame:
+    """``(id, l, r, a)``: number, parents and count of each frequent phrase."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("named").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in unpack(blob, 4)], names=["id", "l", "r", "a"])
 
-def frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of the phrases with ``least`` occurrences over all shards, with name ``id`` and count ``a``."""
-    all_shards = Window.partitionBy(*key)
-    return rows.withColumns({"a": F.sum("n").over(all_shards), "id": F.min(_own_name()).over(all_shards)}).where(F.col("a") >= least)
+    return level.where("named IS NOT NULL").select("named").mapInArrow(run, "id long, l long, r long, a long")
 
 
 def _score(depth: int, n: Column) -> Column:
@@ -289,18 +364,21 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
     """
     shards = stage(cut(df, text, lang, shard_bytes))
     words = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")).select("shard", "lang", (F.col("at") + 1).alias("lo"), F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    every = words.groupBy("lang").agg(F.sum("n").alias("every"))
-    level = stage(frequent(words, ["lang", "word"], least))
+    every = stage(words.groupBy("lang").agg(F.sum("n").alias("every")))
+    buckets = lambda total: max(1, -(-(total or 0) // BUCKET))
+    level = stage(frequent_words(words, least, buckets(every.agg(F.sum("every")).first()[0])))
     indexes = stage(build(shards, level, max_words))
-    named = F.col("id") == _own_name()
-    known = level.where(named).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("a").alias("firsts"), F.array("a").alias("lasts"), "a")
+    word = level.groupBy("id").agg(F.min("lang").alias("lang"), F.min("word").alias("phrase"), F.min("a").alias("a"))
+    known = stage(word.select("id", "lang", "phrase", F.col("phrase").alias("last"), F.array("a").alias("firsts"), F.array("a").alias("lasts"), "a"))
+    occurrences = indexes.agg(F.sum("length")).first()[0]
     counted, absorbed = [], []
     for depth in range(2, max_words + 1):
-        found = pairs(indexes) if depth == 2 else longer(indexes, level, depth)
-        level = stage(frequent(found, ["l", "r"], least))
-        one = level.where(named).select("id", "l", "r", "a")
+        n = buckets(occurrences)
+        level = stage(summed(pairs(indexes, n) if depth == 2 else longer(indexes, level, depth, n), least, n))
+        found = stage(named(level))
+        occurrences = found.agg(F.sum("a")).first()[0]
         x, y = known.alias("x"), known.alias("y")
-        joined = one.alias("p").join(x, F.col("p.l") == F.col("x.id")).join(y, F.col("p.r") == F.col("y.id"))
+        joined = found.alias("p").join(x, F.col("p.l") == F.col("x.id")).join(y, F.col("p.r") == F.col("y.id"))
         known = stage(
             joined.select(
                 "p.id", "p.l", "p.r", "x.lang", F.concat_ws(" ", "x.phrase", "y.last").alias("phrase"), "y.last",
@@ -308,7 +386,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", max_word
             )
         )
         counted.append((depth, known))
-        absorbed.append(one.select(F.explode(F.array("l", "r")).alias("inner"), "a").groupBy("inner").agg(F.max("a").alias("outer")))
+        absorbed.append(found.select(F.explode(F.array("l", "r")).alias("inner"), "a").groupBy("inner").agg(F.max("a").alias("outer")))
     scored = None
     for k, (depth, rows) in enumerate(counted):
         if k + 1 < len(counted):
