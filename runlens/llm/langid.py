@@ -1,10 +1,13 @@
 """Language identification by compression.
 
 A language is a zstandard raw-content dictionary: text of that language. A document belongs to the
-language whose dictionary makes it smallest. Learning looks at a bounded sample of labelled documents
-(two parameters); every document is then compressed whole, in blocks, with every dictionary.
+language whose dictionary makes it smallest. Learning looks at a bounded sample of labelled documents: of each
+language DOCS_PER_LANGUAGE different texts, chosen by hash, and of each of them one slice from a place chosen by
+hash, so that all slices fill DICTIONARY_BYTES. Every document is then compressed whole, in blocks, with every
+dictionary.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0 and is rejected. Rows
+Defined cases: a null text, or one without a letter (a character that is alphabetic; digits, fractions and
+raised numbers are not), is ``und`` with score 0 and is rejected. Rows
 without a label, or without text, teach nothing. Without any learned language every document is
 ``und``. Equal sizes go to the first language by name, with score 0. With one learned language the
 score is 1. Repeated rows give repeated results; other columns are carried along untouched.
@@ -13,6 +16,7 @@ score is 1. Repeated rows give repeated results; other columns are carried along
 from __future__ import annotations
 
 import re
+import sys
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +33,11 @@ LEVEL, MIN_MATCH = 12, 3
 #: Share by which the best dictionary must beat the second one.
 MIN_MARGIN = 0.01
 
-_OTHER = re.compile(r"[\W\d_]+")
+#: Numbers that are neither letters nor decimal digits, such as fractions.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_OTHER = re.compile(rf"[\W_{_NUMBERS}]+")
+#: Smallest hashes of a language that reach its choice, in multiples of what is chosen.
+SPARE = 10
 
 
 def letters(text: str) -> bytes:
@@ -40,17 +48,23 @@ def letters(text: str) -> bytes:
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Dictionaries by language from at most ``docs_per_language`` different texts of each.
 
-    The sample is the texts with the smallest hashes. The window keeps that many rows per task and
-    language before its shuffle, so a language with a third of all rows is no burden; what reaches the
-    driver is bounded by the parameters and the number of languages.
+    The sample is the texts with the smallest hashes. Texts are counted by language first, and only hashes under a
+    bound that leaves some SPARE times the sample are ordered, so a language with a third of all rows
+    is no burden. What reaches the driver is bounded by the parameters and the number of languages.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text")).withColumn("hash", F.xxhash64("text"))
-    first = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
-    picked = known.select("label", "hash").distinct().withColumn("n", first).where(F.col("n") <= docs_per_language).collect()
-    if not picked:
+    sizes = {r.label: r.n for r in known.groupBy("label").agg(F.approx_count_distinct("hash").alias("n")).collect()}
+    if not sizes:
         return {}
-    share = 2 * dictionary_bytes // docs_per_language
-    texts = known.where(F.col("hash").isin([r.hash for r in picked])).groupBy("label", "hash").agg(F.min(F.substring("text", 1, share)).alias("text"))
+    # the least 64-bit number and what to add to it for the wanted share of all hashes
+    bound = {name: -(2**63) + min(2**64 - 1, int(SPARE * docs_per_language / max(1, n) * 2**64)) for name, n in sizes.items()}
+    limit = F.coalesce(*[F.when(F.col("label") == name, F.lit(b)) for name, b in bound.items()])
+    first = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
+    picked = known.where(F.col("hash") <= limit).select("label", "hash").distinct().withColumn("n", first).where(F.col("n") <= docs_per_language).collect()
+    share = max(1, dictionary_bytes // docs_per_language)
+    # twice the bytes in characters: what is no letter goes
+    start = 1 + F.pmod("hash", F.greatest(F.length("text") - 2 * share + 1, F.lit(1)))
+    texts = known.where(F.col("hash").isin([r.hash for r in picked])).groupBy("label", "hash").agg(F.min(F.substr("text", start.cast("int"), F.lit(2 * share))).alias("text"))
     wanted = {(r.label, r.hash) for r in picked}
     found: dict[str, list[bytes]] = {}
     for r in sorted(r for r in texts.collect() if (r.label, r.hash) in wanted):
@@ -87,7 +101,7 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
 
         return work
 
-    return map_rows(docs, {"text": F.col(text)}, "lang_pred string, score double, rejected boolean", make, keep)
+    return map_rows(docs, {"text": text}, "lang_pred string, score double, rejected boolean", make, keep)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -168,7 +168,7 @@ def sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
 
         return work
 
-    made = map_rows(docs, {"text": F.col(text)}, "n_bytes long, n_shingles long, digest binary, bands array<long>", make, [doc_id])
+    made = map_rows(docs, {"text": text}, "n_bytes long, n_shingles long, digest binary, bands array<long>", make, [doc_id])
     return made.select(F.col("row")[doc_id].cast("long").alias("id"), "n_bytes", "n_shingles", "digest", "bands")
 
 

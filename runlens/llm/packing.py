@@ -98,7 +98,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", length: int = SE
         encode, end = encoder(tokenizer), struct.pack("<I", END_ID)
         return lambda columns: {"pieces": [cut(ids + end, length) for ids in encode([t or "" for t in columns["text"]])]}
 
-    found = map_rows(docs, {"text": F.col(text)}, "pieces array<struct<piece:int,start:long,length:long,ids_crc32:long>>", make, keep)
+    found = map_rows(docs, {"text": text}, "pieces array<struct<piece:int,start:long,length:long,ids_crc32:long>>", make, keep)
     return found.select("row", F.inline("pieces"))
 
 

@@ -40,6 +40,8 @@ from runlens.session import stage
 
 #: Bytes of text per part, and of chunks that a task hashes at once.
 PART_BYTES = 4 << 20
+#: Bytes of text per bucket of minimizers, of which there is one of some 5 bytes for every 14 of text.
+BUCKET_BYTES = 24 << 20
 CHUNK = 1 << 21
 GRAM = 24
 
@@ -158,7 +160,7 @@ _ROUTED = pa.schema([("to", pa.int32()), ("part", pa.int32()), ("blob", pa.binar
 _BACK = pa.schema([("part", pa.int32()), ("blob", pa.binary())])
 
 
-def _report(parts: int):
+def _report(buckets: int):
     """Step 1: the part's minimizers, each once, by bucket."""
 
     def work(key: tuple, docs: pa.Table, more: pa.Table) -> pa.Table:
@@ -174,7 +176,7 @@ def _report(parts: int):
         starts = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1]))) if len(name) else np.zeros(0, dtype=np.int64)
         several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts) if len(name) else np.zeros(0, dtype=bool)
         name = name[starts]
-        out = [(b, _pack(name=(name[p] // np.uint64(parts)).astype(np.uint32), several=several[p].astype(np.uint8))) for b, p in _split(np.arange(len(name)), name % np.uint64(parts))]
+        out = [(b, _pack(name=(name[p] // np.uint64(buckets)).astype(np.uint32), several=several[p].astype(np.uint8))) for b, p in _split(np.arange(len(name)), name % np.uint64(buckets))]
         return _table(_ROUTED, to=[b for b, _ in out], part=[key[0].as_py()] * len(out), blob=[x for _, x in out])
 
     return work
@@ -195,7 +197,7 @@ def _shared(table: pa.Table) -> pa.Table:
     return _table(_BACK, part=[s for s, _ in out], blob=[b for _, b in out])
 
 
-def _pieces(parts: int, shards: int):
+def _pieces(buckets: int, shards: int):
     """Step 3: pieces of text that another document may have, to the shards of their minimizers."""
 
     def work(key: tuple, docs: pa.Table, more: pa.Table) -> pa.Table:
@@ -207,7 +209,7 @@ def _pieces(parts: int, shards: int):
         sent: dict[int, list] = {}
         local: list[tuple[int, int, int]] = []
         for name, owner, place, count, joined in windows(texts):
-            wanted = ((name % np.uint64(parts)) << np.uint64(32)) | ((name // np.uint64(parts)) & np.uint64(0xFFFFFFFF))
+            wanted = ((name % np.uint64(buckets)) << np.uint64(32)) | ((name // np.uint64(buckets)) & np.uint64(0xFFFFFFFF))
             at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
             hit = np.flatnonzero(known[at] == wanted)
             begins = dict(zip(range(owner[0], owner[-1] + 1), np.cumsum([0, *[len(texts[o][2]) for o in range(owner[0], owner[-1])]]).tolist(), strict=True)) if len(owner) else {}
@@ -320,6 +322,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
     shards = parts
+    buckets = max(1, -(-total * PART_BYTES // (BUCKET_BYTES * part_bytes)))
     kept = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
     dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).cast("long").alias("id"), body.alias("text"), kept.alias("row"))
 
@@ -333,8 +336,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     result = StructType([StructField("row", dealt.schema["row"].dataType), StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("kept_text", StringType())])
 
     with_docs = lambda more: dealt.groupBy("part").cogroup(more.groupBy("part"))
-    reported = with_docs(copies).applyInArrow(_report(parts), routed)
+    reported = with_docs(copies).applyInArrow(_report(buckets), routed)
     shared = reported.groupBy("to").applyInArrow(_shared, back)
-    pieces = with_docs(found(shared)).applyInArrow(_pieces(parts, shards), routed)
+    pieces = with_docs(found(shared)).applyInArrow(_pieces(buckets, shards), routed)
     judged = pieces.groupBy("to").applyInArrow(_judge, back)
     return with_docs(found(judged)).applyInArrow(_remove(result), result)

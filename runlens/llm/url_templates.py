@@ -2,8 +2,9 @@
 
 Per host a path is a list of segments. Level by level, a segment becomes a wildcard if it looks like an
 id (digits, or a long token with a digit in it), or if its parent has at least MANY children and it
-holds less than one MANY-th of the parent's urls: what is rare among many is a variable. The first
-LEVELS segments are told apart; the rest of a path is one tail wildcard.
+holds less than one MANY-th of the parent's urls: what is rare among many is a variable. Every segment is
+decided, however deep: a round per level for templates that several paths share; a path alone under its
+template has no siblings to be rare among, so the rest of it is decided within its row.
 
 Templates of one host with the same shape (literals blanked) whose shares of bad urls can't be told
 apart (a two-sided test at Z_SQUARED against their pooled share) are merged. A template with too few known
@@ -27,12 +28,13 @@ rows. Without any known url nothing is rejected.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.session import stage
 
-LEVELS = 4
 MANY = 8
 Z_SQUARED = 3.84
 LEAST_KNOWN = 5
@@ -76,16 +78,30 @@ def _level(state: DataFrame, level: int) -> DataFrame:
     return told.withColumns({"template": F.concat("template", part), "shape": F.concat("shape", blank), "parts": parts}).drop("seg", "wild")
 
 
-def templates(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
+def _alone(state: DataFrame, level: int) -> DataFrame:
+    """Decide all segments from ``level`` on of paths that share their template with no other."""
+    rest = F.slice("segments", level, F.greatest(F.size("segments") - level + 1, F.lit(0)))
+    parts = F.transform(rest, lambda x: F.when(x.rlike(_ID), "/*").otherwise(F.concat(F.lit("/"), x)))
+    blanks = F.transform(rest, lambda x: F.when(x.rlike(_ID), "/*").otherwise("/+"))
+    return state.withColumns({"template": F.concat("template", F.array_join(parts, "")), "shape": F.concat("shape", F.array_join(blanks, "")), "parts": F.concat("parts", parts)})
+
+
+def templates(urls: DataFrame) -> DataFrame:
     """``urls`` (host, path, n, bad, good; distinct) with ``template``, its ``parts``, and ``shape``. Each level is staged: the next reads it twice."""
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
     state = stage(urls.withColumns({"segments": parts, "template": F.lit(""), "shape": F.lit(""), "parts": F.array().cast("array<string>")}))
-    deepest = state.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(1, min(levels, deepest) + 1):
+    done, level = [], 1
+    while True:
+        # templates with a segment left and more than one path go on
+        left = F.size("segments") >= level
+        shared = state.where(left).groupBy("host", "template").agg(F.count("*").alias("paths")).where("paths > 1").select("host", "template", F.lit(True).alias("shared"))
+        told = stage(state.join(shared, ["host", "template"], "left").withColumn("open", left & F.coalesce("shared", F.lit(False))).drop("shared"))
+        done.append(_alone(told.where("NOT open"), level).drop("open", "segments"))
+        state = told.where("open").drop("open")
+        if state.isEmpty():
+            return reduce(DataFrame.unionByName, done)
         state = stage(_level(state, level))
-    tail = F.when(F.size("segments") > levels, "/**").otherwise("")
-    ended = F.when(tail == "", F.col("parts")).otherwise(F.array_append("parts", tail))
-    return state.withColumns({"template": F.concat("template", tail), "shape": F.concat("shape", tail), "parts": ended}).drop("segments")
+        level += 1
 
 
 def _same_mean(stat: str) -> Column:

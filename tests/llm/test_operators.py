@@ -112,10 +112,101 @@ def test_url_rules_and_templates(spark):
         if u in want:
             assert got[i].rule == want[u]
     assert got[0].template == "/de/*" and got[0].verdict == "block" and got[45].template == "/item/*/x"
-    assert got[len(host)].host == got[len(host)].path == "" and got[len(host) + 11].template == "/*/*/*/*/**"
+    assert got[len(host)].host == got[len(host)].path == "" and got[len(host) + 11].template == "/*/*/*/*/*/*"
     assert url_templates.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def brute_urls(pages: list[tuple], rules: list[tuple]) -> list[tuple]:
+    """The method in plain Python: one tree per host, levels from the top."""
+    split = []
+    for i, u in pages:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
+        split.append((i, "".join(c.lower() if c.isascii() else c for c in m[1]) if m else "", m[2] if m else ""))
+    verdicts = {}
+    for h, p in {(h, p) for _, h, p in split}:
+        fits = [(len(a + b), a + b, act) for a, b, act in rules if (h == a or h.endswith("." + a)) and p.startswith(b)]
+        verdicts[h, p] = max(fits)[1:] if fits else (None, None)
+    n = Counter((h, p) for _, h, p in split)
+    tree = {u: ([x for x in u[1].split("/") if x], [], []) for u in n}  # segments, parts, blanks
+    depth = 0
+    while any(len(t[0]) > depth for t in tree.values()):
+        children: dict = {}
+        for (h, p), (segments, parts, _) in tree.items():
+            if len(segments) > depth:
+                children.setdefault((h, tuple(parts)), Counter())[segments[depth]] += n[h, p]
+        told = {k: c.copy() for k, c in children.items()}
+        for (h, p), (segments, parts, blanks) in tree.items():
+            if len(segments) > depth:
+                c, seg = told[h, tuple(parts)], segments[depth]
+                wild = re.search(url_templates._ID.replace(r"\z", r"\Z"), seg) or (len(c) >= url_templates.MANY and c[seg] * url_templates.MANY < sum(c.values()))
+                parts.append("/*" if wild else "/" + seg)
+                blanks.append("/*" if wild else "/+")
+        depth += 1
+    each: dict = {}
+    for (h, p), (_, parts, blanks) in tree.items():
+        t = "".join(parts)
+        e = each.setdefault((h, t), {"shape": "".join(blanks), "parts": parts, "bad": 0, "known": 0, "lengths": [], "digits": []})
+        e["bad"] += n[h, p] * (verdicts[h, p][1] == "block")
+        e["known"] += n[h, p] * (verdicts[h, p][1] is not None)
+        count = lambda x: sum(c in "0123456789" for c in x)
+        e["lengths"].append(len(p) - len(t))
+        e["digits"].append(count(p) - count(t))
+    least, z = url_templates.LEAST_KNOWN, url_templates.Z_SQUARED
+    by_shape: dict = {}
+    for (h, t), e in each.items():
+        by_shape.setdefault((h, e["shape"]), []).append((t, e))
+    group = {}
+    for (h, shape), members in by_shape.items():
+        many = [e for _, e in members if e["known"] >= least]
+        share = sum(e["bad"] for e in many) / sum(e["known"] for e in many) if many else None
+        alike = lambda e: share is not None and (e["bad"] - e["known"] * share) ** 2 <= z * e["known"] * share * (1 - share)
+        core = [e for e in many if alike(e)]
+
+        def near(e, stat):
+            x, y = e[stat], [v for c in core for v in c[stat]]
+            within = (sum(v * v for v in x) - sum(x) ** 2 / len(x) + sum(v * v for v in y) - sum(y) ** 2 / len(y)) / (len(x) + len(y))
+            return (sum(x) / len(x) - sum(y) / len(y)) ** 2 <= z * within * (1 / len(x) + 1 / len(y)) + 1e-9
+
+        for t, e in members:
+            group[h, t] = "=" + shape if alike(e) and core and (e["known"] >= least or (near(e, "lengths") and near(e, "digits"))) else t
+    below: dict = {}
+    for (h, _), e in each.items():
+        for k in range(len(e["parts"]) + 1):
+            below.setdefault((h, "".join(e["parts"][:k])), []).append(e)
+    sums = lambda es: (sum(e["bad"] for e in es), sum(e["known"] for e in es))
+    bad, known = sums(each.values())
+    purity = {}
+    for (h, t), e in each.items():
+        together = [x for (g, u), x in each.items() if g == h and group[g, u] == group[h, t]]
+        chain = [sums(below[h, "".join(e["parts"][:k])]) for k in range(len(e["parts"]) + 1)] + [(e["bad"], e["known"])]
+        if len(together) > 1:
+            chain = [chain[0], sums(together)]
+        s = bad / known if known else 0.0
+        for (b, k), (b2, k2) in zip(chain, [*chain[1:], (0, 0)], strict=True):
+            s = (b - b2 + url_templates.WEIGHT * s) / (k - k2 + url_templates.WEIGHT)
+        purity[h, t] = s
+    out = []
+    for i, h, p in split:
+        t = "".join(tree[h, p][1])
+        rule, act = verdicts[h, p]
+        out.append((i, h, p, rule, act or ("block" if purity[h, t] * 100 >= url_templates.REJECT_PERCENT else "allow"), t, f"{purity[h, t]:.9f}"))
+    return out
+
+
+def test_urls_like_brute_force(spark):
+    rng = random.Random(2)
+    hosts = ["a.net", "bad.example.com", "example.net", "o.org", "x.info", "EXAMPLE.com"]
+    parts = ["de", "fr", "en", "item", "2024", "ab12cd34ef", "p.html", "12.html", "ü"]
+    made = [f"http://{rng.choice(hosts)}/" + "/".join(rng.choice(parts) if rng.random() < 0.8 else f"{rng.choice('xyz')}{rng.randint(0, 60)}" for _ in range(rng.choice([0, 1, 2, 2, 3, 6]))) + rng.choice(["", "?q=/x", "/", "#f"]) for _ in range(1500)]
+    deep = ["http://x.info/" + "/".join(f"s{k}" for k in range(300)) + end for end in ("", "/a", "/b", "/7")] + ["http://x.info//d//e/" + "y" * 5000]
+    pages = list(enumerate([*made, *made[:50], *deep, None, "", "no scheme", "://", "a://", "http://h?x", None]))
+    given = [(r.page_id, r.url) for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url").collect()]
+    for rows in (pages, given):
+        df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, template string, n int").repartition(3)
+        got = url_templates.judge(df, queries.URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", F.format_string("%.9f", "purity").alias("p")).collect()
+        assert Counter(map(tuple, got)) == Counter(brute_urls(rows, queries.URL_RULES))
+
+
 def test_url_evidence_flows_to_branches_without_rules(spark):
     urls = [f"x://bad.example.com/de/{i}" for i in range(100, 160)]
     urls += [f"x://bad.example.com/fr/{i}" for i in range(300, 303)]  # same shape and statistics: merged
@@ -305,6 +396,28 @@ def test_pii_spans_equal_patterns():
         assert [s for s in pii.spans(t, anchors) if s[0] in pii.BASE] == brute_spans(t), t
 
 
+def test_pii_values_some_way_after_their_cue():
+    anchors = pii.automaton()
+    told = lambda t: [(k, t[a:b]) for k, a, b in pii.spans(t, anchors) if k not in pii.BASE]
+    hexes = "9c8bd01dcc7ec1a7e0cdc9f3b2a45e6d7f8091a2"
+    assert told(f'token = "{hexes}" of') == [("secret", hexes)]
+    assert told(f'TOKEN### =%%% "{hexes.upper()}"!!') == [("secret", hexes.upper())]
+    assert told("the API key: AbCd0123EfGh4567IjKl, then") == [("secret", "AbCd0123EfGh4567IjKl")]
+    assert told("password is hunter2!, PASSWORD='xY9#kk' and Pwd=abc12345") == [("secret", "hunter2!"), ("secret", "xY9#kk"), ("secret", "abc12345")]
+    assert told("IBAN is DE89 3704 0044 0532 0130 00 and more text here") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert told("account of X: DE89370400440532013000.") == [("iban", "DE89370400440532013000")]
+    assert told("ssn is 123-45-6789, ssn of the holder 219-09-9999") == [("ssn", "123-45-6789"), ("ssn", "219-09-9999")]
+    prose = ["a token of thanks is given to aaaaaaaaaaaaaaaaaaaaaaaa", "password is required.", "secret\n" + hexes, "token " + "x" * 45 + " " + hexes, "ssn 000-12-3456", "the key to internationalization1", "passwords are long: really", hexes]
+    assert [told(t) for t in prose] == [[]] * len(prose)
+
+
+def test_pii_cleaning_leaves_nothing():
+    anchors = pii.automaton()
+    t = "call +1 (826) 555-4081 10.1.2.3 now"  # the address's digits make the number too long at first
+    assert [k for k, _, _ in pii.spans(t, anchors)] == ["ip"]
+    assert pii.cleaned(t, pii.spans(t, anchors), anchors) == "call [phone] [ip] now"
+
+
 def test_pii_added_kinds_and_tables(docs, nothing):
     t = "IBAN: DE89 3704 0044 0532 0130 00, ssn 123-45-6789, http://me:pw@host/ account DE00 3704 0044 0532 0130 00"
     found = pii.spans(t, pii.automaton())
@@ -377,10 +490,25 @@ def test_language(spark, docs, nothing):
     tests = [(i, make(lang, 40), lang) for i, lang in enumerate(["en", "de", "fr"] * 20)] + [(100, None, "x"), (101, "12 ! 3", "x"), (102, "", "x")]
     got = langid.predict(spark.createDataFrame(tests, "doc_id long, text string, lang string"), learned).select("row.lang", "lang_pred", "score", "rejected").collect()
     assert all(r.lang_pred == (r.lang if r.lang != "x" else "und") and 0 <= r.score <= 1 and r.rejected == (r.lang == "x") for r in got)
+    odd = spark.createDataFrame([(1, "½ ² ① ½ Ⅷ ٣", "x"), (2, "١٢٣ ¾", "x"), (3, "½ der", "x"), (4, "中", "x")], "doc_id long, text string, lang string")
+    assert {r.doc_id: (r.lang_pred == "und", r.rejected) for r in langid.predict(odd, learned).select("row.doc_id", "lang_pred", "rejected").collect()}.items() >= {1: (True, True), 2: (True, True)}.items()
+    assert {r.lang_pred for r in langid.predict(odd.where("doc_id > 2"), learned).collect()} & {"de"} and "und" not in {r.lang_pred for r in langid.predict(odd.where("doc_id > 2"), learned).collect()}
     assert langid.fit(nothing) == {} and {r.lang_pred for r in langid.predict(docs, {}).collect()} == {"und"}
     assert langid.predict(nothing, learned).count() == 0
 
 
+def test_language_sample_fills_the_dictionary(spark):
+    rng = random.Random(90)
+    texts = ["".join(rng.choices("abcdefgh ", k=rng.choice([40, 500, 3000]))) for _ in range(3000)]
+    rows = [(i, t, "aa" if i % 3 else "bb") for i, t in enumerate(texts + texts[:1000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    found = langid.fit(docs, docs_per_language=50, dictionary_bytes=50 * 60)
+    assert {k: len(v) > 2000 for k, v in found.items()} == {"aa": True, "bb": True} and all(len(v) <= 3000 for v in found.values())
+    assert found == langid.fit(docs.repartition(3), docs_per_language=50, dictionary_bytes=50 * 60)
+    begins = [langid.letters(t)[:20] for t in texts if len(t) == 3000]
+    assert sum(b in found["aa"] for b in begins) < 10  # slices come from anywhere
+
+
 def test_held_out_accuracy(spark):
     got = queries.op9_langid(spark, SF_DIR).join(spark.read.parquet(f"{SF_DIR}/documents.parquet"), "doc_id").where("held_out")
     right, total = got.where("lang_pred = lang").count(), got.count()
