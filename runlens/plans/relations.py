@@ -131,10 +131,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = F.lit("Done")
     align_status = F.when(k % 11 == 6, None).when(failed, "Failed").otherwise(done)
     sub_root = F.concat(base, F.lit("/call-sub/sub/s"))
-    # sub-workflow calls read no files
+    # deep calls read no files
     deep = F.struct(F.struct(F.array(call("report", sub_root, done)).alias("deep.report")).alias("calls"))
     sub_calls = F.struct(
-        F.array(call("qc", sub_root, F.when(failed, "Failed").otherwise(done))).alias("sub.qc"),
+        F.array(call("qc", sub_root, F.when(failed, "Failed").otherwise(done), monitored=True)).alias("sub.qc"),
         F.array(F.struct(deep.alias("subWorkflowMetadata"))).alias("sub.deep"),
     )
     sub = F.struct(
@@ -183,7 +183,7 @@ leaf AS (
   SELECT *, 'main.sub', '', '2.0', 'Done', NULL, NULL, FALSE FROM base WHERE k % 5 = 1
   UNION ALL
   SELECT *, 'sub.qc', 'main.sub', '2.0.0.0', CASE WHEN failed THEN 'Failed' ELSE 'Done' END, -1,
-         root || '/call-sub/sub/s/call-qc', FALSE FROM base WHERE k % 5 NOT IN (1, 2)
+         root || '/call-sub/sub/s/call-qc', TRUE FROM base WHERE k % 5 NOT IN (1, 2)
   UNION ALL
   SELECT *, 'deep.report', 'main.sub,sub.deep', '2.0.1.0.0.0', 'Done', -1,
          root || '/call-sub/sub/s/call-report', FALSE FROM base WHERE k % 5 NOT IN (1, 2)
@@ -200,6 +200,40 @@ calls AS (
 )"""
 
 
+# --- documents that name their sub-workflows: those of order k name orders 10k + 1 to 10k + 7 --
+
+
+def naming_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, doc)``; not every sub-workflow that a document names has a document."""
+    k = F.col("o_orderkey")
+    sub = lambda i: F.struct(F.lit("Done").alias("executionStatus"), uuid_of(k * 10 + i).alias("subWorkflowId"))
+    calls = F.struct(
+        F.array(F.struct(F.col("o_custkey").alias("shardIndex"))).alias("main.run"),
+        F.transform(F.sequence(F.lit(1), F.lit(7)), sub).alias("main.sub"),
+    )
+    doc = F.to_json(F.struct(uuid_of(k).alias("id"), _status().alias("status"), calls.alias("calls")))
+    return table(spark, sf_dir, "orders").select(uuid_of(k).alias("id"), doc.alias("doc"))
+
+
+# The same with all sub-workflows inside: keys of d digits are named by keys of d - 1 digits.
+_DIGITS = 9
+NAMING_SQL = f"""
+own AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey = 0 THEN 0 ELSE length(CAST(o_orderkey AS VARCHAR)) END AS digits, {uuid_sql('o_orderkey')} AS id, {STATUS_SQL} AS status, o_custkey AS cust FROM orders
+),
+e{_DIGITS + 1} AS (SELECT CAST(0 AS BIGINT) AS k, '' AS doc, 0 AS levels WHERE FALSE),
+""" + ",".join(
+    f"""
+e{d} AS (
+  SELECT own.k, '{{"id":"' || any_value(id) || '","status":"' || any_value(status) || '","calls":{{"main.run":[{{"shardIndex":' || CAST(any_value(cust) AS VARCHAR) || '}}],"main.sub":[' ||
+         string_agg('{{"executionStatus":"Done",' || CASE WHEN e.k IS NULL THEN '"subWorkflowId":"' || {uuid_sql('(own.k * 10 + j)')} || '"' ELSE '"subWorkflowMetadata":' || e.doc END || '}}', ',' ORDER BY j) || ']}}}}' AS doc,
+         coalesce(max(e.levels) + 1, 0) AS levels
+  FROM own CROSS JOIN range(1, 8) AS u(j) LEFT JOIN e{d + 1} AS e ON e.k = own.k * 10 + j WHERE digits = {d} GROUP BY own.k
+)"""
+    for d in range(_DIGITS, -1, -1)
+)
+
+
 # --- file catalogue: one file per part -----------------------------------------------
 
 

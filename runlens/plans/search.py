@@ -131,6 +131,10 @@ def subworkflow_closure(spark, sf_dir):
     return closure.expand_subworkflows(R.listing(spark, sf_dir))
 
 
+def embedded_documents(spark, sf_dir):
+    return closure.embed_subworkflows(R.naming_documents(spark, sf_dir))
+
+
 def uri_parts(spark, sf_dir):
     """Parts of web addresses, and of the same addresses as bucket and local paths."""
     pages = R.table(spark, sf_dir, "pages").select("page_id", "url")
@@ -164,6 +168,7 @@ QUERIES = {
     "uuid_valid": uuid_valid,
     "has_wildcard": has_wildcard,
     "subworkflow_closure": subworkflow_closure,
+    "embedded_documents": embedded_documents,
     "uri_parts": uri_parts,
 }
 
@@ -237,6 +242,11 @@ ORACLES = {
           SELECT root_id, wf.id, depth + 1 FROM tree JOIN wf ON wf.parent = descendant_id
         )
         SELECT root_id, descendant_id, depth FROM tree WHERE depth > 0""",
+    "embedded_documents": f"""
+        WITH {R.NAMING_SQL},
+        every AS ({' UNION ALL '.join(f'SELECT * FROM e{d}' for d in range(R._DIGITS + 1))})
+        SELECT own.id, doc, CAST(levels AS INTEGER) AS levels FROM every JOIN own ON own.k = every.k
+        WHERE NOT (own.k % 10 BETWEEN 1 AND 7 AND own.k // 10 IN (SELECT k FROM own))""",
     "uri_parts": r"""
         WITH b AS (SELECT page_id, url, regexp_replace(url, '^https?://', '') AS bare FROM pages),
         f AS (SELECT page_id, 0 AS form, url AS uri FROM b UNION ALL SELECT page_id, 1, 'gs://' || bare FROM b

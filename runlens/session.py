@@ -48,6 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def shared_place(spark: SparkSession, kind: str) -> str:
+    """A new folder of its own name in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that a lost executor never replays earlier rounds of a loop."""
     shared_dir(df.sparkSession)
@@ -61,6 +66,6 @@ def stage(df: DataFrame) -> DataFrame:
     outlives executors. The folder is the cluster's to clean up, like its checkpoints.
     """
     spark = df.sparkSession
-    place = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    place = shared_place(spark, "stage")
     df.write.parquet(place)
     return spark.read.schema(df.schema).parquet(place)

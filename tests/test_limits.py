@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from runlens.operators import closure, monitor, search
@@ -28,6 +30,49 @@ def test_repeated_listing_rows_and_long_chains(spark):
     assert sorted((r.root_id, int(r.descendant_id), r.depth) for r in tree) == [("0", i, i) for i in range(1, 40)]
 
 
+def test_two_parents_of_an_id_fail_and_are_listed(spark):
+    wf = spark.createDataFrame([("a", "r"), ("a", "r"), ("b", "a"), ("b", "q"), ("c", None)], "id string, parentWorkflowId string")
+    assert [(r.id, r.parents) for r in closure.parent_conflicts(wf).collect()] == [("b", ["a", "q"])]
+    with pytest.raises(Exception, match="two parents of b"):
+        closure.expand_subworkflows(wf)
+
+
+def _naming(name, subs, **more):
+    return json.dumps({"id": name, **more, "calls": {"m.s": [{"shardIndex": i, "subWorkflowId": s} for i, s in enumerate(subs)]}}, indent=1)
+
+
+def _embedded(name, docs):
+    def fill(value):
+        if isinstance(value, dict):
+            return {"subWorkflowMetadata" if k == "subWorkflowId" and v in docs else k: _embedded(v, docs) if k == "subWorkflowId" and v in docs else fill(v) for k, v in value.items()}
+        return [fill(v) for v in value] if isinstance(value, list) else value
+
+    return fill(json.loads(docs[name]))
+
+
+def test_embedding_puts_documents_together_from_the_leaves(spark):
+    docs = {
+        "root": _naming("root", ["a", "gone", "b", "a"], note='"subWorkflowId": "b" and $1 \\ ü'),
+        "a": _naming("a", ["c"]), "b": _naming("b", ["c", "d"]), "c": _naming("c", []), "d": _naming("d", ["e"]), "e": "{}", "alone": _naming("alone", ["gone"]),
+    }
+    docs |= {f"n{i}": _naming(f"n{i}", [f"n{i + 1}"]) for i in range(12)}
+    rows = [*docs.items(), (None, _naming("x", ["e"])), ("nothing", None), ("e", "")]
+    got = closure.embed_subworkflows(spark.createDataFrame(rows, "id string, doc string").repartition(3)).collect()
+    by = {r.id: r for r in got}
+    assert set(by) == {"root", "alone", "n0", None, "nothing"} and len(got) == 5
+    assert all(json.loads(by[i].doc) == _embedded(i, docs) for i in ("root", "alone", "n0")) and by["nothing"].doc is None
+    assert json.loads(by[None].doc)["calls"]["m.s"][0]["subWorkflowMetadata"] == {}
+    assert {i: r.levels for i, r in by.items()} == {"root": 3, "alone": 0, "n0": 11, None: 1, "nothing": 0}
+    assert by["alone"].doc == docs["alone"]
+
+
+def test_embedding_of_nothing_and_of_a_cycle(spark):
+    schema = "id string, doc string"
+    assert closure.embed_subworkflows(spark.createDataFrame([], schema)).count() == 0
+    with pytest.raises(ValueError, match="cycle"):
+        closure.embed_subworkflows(spark.createDataFrame([("a", _naming("a", ["b"])), ("b", _naming("b", ["a"])), ("r", _naming("r", ["a"]))], schema))
+
+
 @pytest.mark.parametrize("rows", [[("a", "a")], [("a", "c"), ("b", "a"), ("c", "b"), ("d", "c")]])
 def test_cycle_of_parents_fails(spark, rows):
     with pytest.raises(ValueError, match="cycle"):
