@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runlens.functions.labels import DEFAULT_NAMING, Naming
@@ -24,6 +26,12 @@ def parse_host_port(text: Column) -> Column:
     )
 
 
+def is_host_port(text: str | None) -> bool:
+    """Whether :func:`parse_host_port` gives a value; for per-server state functions."""
+    parts = re.sub(r"^\n+|\n+\Z", "", text).split(":") if text is not None else []
+    return len(parts) == 2 and re.fullmatch(r" *[+-]?[0-9]+ *", parts[1]) is not None and -(2**31) <= int(parts[1]) < 2**31
+
+
 def latest_heartbeats(heartbeats: DataFrame) -> DataFrame:
     """``(server, text, ts)`` of each server's last write."""
     return heartbeats.groupBy("server").agg(F.max_by("text", "ts").alias("text"), F.max("ts").alias("ts"))

@@ -1,4 +1,4 @@
-"""Log streams: events, status machine, sub-workflows, metadata on completion, liveness."""
+"""Log streams: events, status machine, current status, sub-workflows, metadata on completion, liveness."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from runlens.functions import loglines
-from runlens.operators import jobs, logs
+from runlens.operators import calls, jobs, logs
 from runlens.sources import sinks
 
 
@@ -95,9 +95,38 @@ def subworkflow_stream(events: DataFrame) -> DataFrame:
     return events.where("kind = 'subworkflow'").select("workflow_id", "seq").dropDuplicates(["workflow_id"])
 
 
-def current_status_stream(transitions: DataFrame) -> DataFrame:
-    """Latest status per workflow of a transition stream, for output mode ``update``."""
-    return logs.current_status(transitions)
+def current_status_stream(events: DataFrame) -> DataFrame:
+    """Status of each workflow that a micro-batch changed: ``(workflow_id, status, seq)``, output mode ``update``.
+
+    The state is the status and its line, so only the workflows of a batch give rows. Write
+    them with :func:`keep_newest` to have the table of all.
+    """
+    seq_type = dict(events.dtypes)["seq"]
+    schema = f"workflow_id string, status string, seq {seq_type}"
+
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values(["seq", "pattern"], kind="stable")
+        status, at = state.get if state.exists else (None, None)
+        for seq, event in zip(rows["seq"], rows["event"]):
+            new = next_status(status, event)
+            if new is not None:
+                status, at = new, seq
+        if status is None:
+            return
+        at = at if isinstance(at, str) else int(at)
+        state.update((status, at))
+        yield pd.DataFrame([(key[0], status, at)], columns=["workflow_id", "status", "seq"])
+
+    return (
+        logs.workflow_events(events)
+        .groupBy("workflow_id")
+        .applyInPandasWithState(advance, schema, f"status string, seq {seq_type}", "update", GroupStateTimeout.NoTimeout)
+    )
+
+
+def keep_newest(root: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of a keyed table: read it with :func:`runlens.sources.sinks.newest`."""
+    return lambda batch, batch_id: sinks.write_batch(batch, batch_id, root)
 
 
 def on_terminal(
@@ -105,11 +134,15 @@ def on_terminal(
     root: str,
     subworkflows: Callable[[], DataFrame] | None = None,
     callback: Callable[[DataFrame, int], None] | None = None,
+    ledger: str | None = None,
+    pause: float = sinks.PAUSE,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: store the documents of workflows that just ended.
 
     ``fetch`` maps ``(workflow_id)`` rows to ``(workflow_id, doc)``. ``subworkflows``
     gives the ids to skip when sub-workflows are embedded in their parent's document.
+    With ``ledger`` each document is also written under its workflow's own root, and the
+    attempts are recorded there. ``callback`` gets the documents of a batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -118,15 +151,107 @@ def on_terminal(
             ended = ended.join(subworkflows(), "workflow_id", "left_anti")
         docs = fetch(ended)
         sinks.write_metadata(docs, batch_id, root)
+        stored = docs.sparkSession.read.schema(docs.schema).parquet(sinks.batch_folder(root, batch_id))
+        if ledger is not None:
+            headers = calls.workflow_header(stored.withColumn("text", F.col("doc")), mode="PERMISSIVE").withColumn("id", F.col("workflow_id"))
+            roots = calls.workflow_root(headers).withColumnRenamed("id", "workflow_id")
+            sinks.write_on_roots(stored.join(roots, "workflow_id", "left"), batch_id, ledger, pause=pause)
         if callback is not None:
-            callback(docs, batch_id)
+            callback(stored, batch_id)
 
     return write
 
 
+def server_start_stream(events: DataFrame) -> DataFrame:
+    """``(seq)`` of the line by which the server is first seen to be up; one row in all."""
+    return events.where("kind = 'server'").select("kind", "seq").dropDuplicates(["kind"]).select("seq")
+
+
+def on_server_start(callback: Callable[[], None]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for :func:`server_start_stream`: calls back once, when the server is up."""
+
+    def call(batch: DataFrame, batch_id: int) -> None:
+        if batch.count():  # the whole batch, as its state has to be written
+            callback()
+
+    return call
+
+
 def alive_stream(heartbeats: DataFrame) -> DataFrame:
     """Last write per server of a heartbeat stream, for output mode ``complete`` or ``update``.
 
     Compare its ``ts`` with the clock when it is read, as :func:`runlens.operators.jobs.alive` does.
     """
     return jobs.latest_heartbeats(heartbeats)
+
+
+def silence_stream(heartbeats: DataFrame, timeout_ms: int = jobs.HEARTBEAT_TIMEOUT_MS, delay: str = "0 seconds") -> DataFrame:
+    """``(server, host, port, ts, alive)`` each time a server falls silent, by the heartbeats' own clock.
+
+    A heartbeat expires when the next of its server comes more than the timeout later, or when the
+    watermark (greatest ``ts`` less ``delay``) passes it without one. So the rows don't depend on how
+    heartbeats are dealt to micro-batches, as long as none comes later than ``delay``.
+    """
+    late = heartbeats.withWatermark("ts", delay)
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, text, pending = state.get if state.exists else (None, None, False)
+        expired = []
+        if not state.hasTimedOut:
+            beats = pd.concat(list(batches))
+            micros = beats["ts"].astype("datetime64[us, UTC]").astype("int64") if beats["ts"].dt.tz is not None else beats["ts"].astype("datetime64[us]").astype("int64")
+            for new, said in sorted(zip(micros.tolist(), beats["text"].tolist()), key=lambda b: (b[0], b[1] or "")):
+                if at is not None and new <= at:
+                    continue
+                if pending and new - at > timeout_ms * 1000:
+                    expired.append((key[0], text, at))
+                at, text, pending = new, said, True
+        due = at // 1000 + timeout_ms + 1
+        if pending and (state.hasTimedOut or due <= state.getCurrentWatermarkMs()):
+            expired.append((key[0], text, at))
+            pending = False
+        state.update((at, text, pending))
+        if pending:
+            state.setTimeoutTimestamp(due)
+        yield pd.DataFrame(expired, columns=["server", "text", "at"])
+
+    server = dict(heartbeats.dtypes)["server"]
+    found = late.groupBy("server").applyInPandasWithState(
+        step, f"server {server}, text string, at long", "at long, text string, pending boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return _told(found.withColumn("alive", F.lit(False)))
+
+
+def liveness_stream(heartbeats: DataFrame, timeout_ms: int = jobs.HEARTBEAT_TIMEOUT_MS) -> DataFrame:
+    """``(server, host, port, ts, alive)`` when a server comes up, falls silent or comes back, by the clock.
+
+    A timer per server fires without any input, so a server that stops writing gives one row when
+    its last heartbeat expires. A text that is no ``host:port`` is not alive.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, text, was = state.get if state.exists else (None, None, None)
+        if not state.hasTimedOut:
+            beats = pd.concat(list(batches))
+            last = beats.loc[beats["ts"].idxmax()]
+            new = int(last["ts"].timestamp() * 1_000_000)
+            if at is None or new >= at:
+                at, text = new, last["text"]
+        left = at // 1000 + timeout_ms - state.getCurrentProcessingTimeMs()
+        alive = not state.hasTimedOut and left >= 0 and jobs.is_host_port(text)
+        state.update((at, text, alive))
+        if alive:
+            state.setTimeoutDuration(left + 1)
+        changed = [(key[0], text, at, alive)] if alive != was else []
+        yield pd.DataFrame(changed, columns=["server", "text", "at", "alive"])
+
+    server = dict(heartbeats.dtypes)["server"]
+    found = heartbeats.groupBy("server").applyInPandasWithState(
+        step, f"server {server}, text string, at long, alive boolean", "at long, text string, alive boolean", "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
+    return _told(found)
+
+
+def _told(found: DataFrame) -> DataFrame:
+    parsed = found.withColumn("_hp", jobs.parse_host_port(F.col("text")))
+    return parsed.select("server", F.col("_hp.host").alias("host"), F.col("_hp.port").alias("port"), F.timestamp_micros("at").alias("ts"), "alive")
