@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from runlens.functions import sizes, uris
 from runlens.operators import nested
-from runlens.operators.running import running
 from runlens.session import stage
 
 DEFAULT_STATS = ("mean", "std", "max", "min", "last")
@@ -37,9 +37,13 @@ STATS: dict[str, Callable[[str, str], Column]] = {
     "sem": lambda val, row: F.stddev_samp(val) / F.sqrt(F.count(val)),
     "skew": lambda val, row: _bias_corrected_skew(val),
     "kurt": lambda val, row: _bias_corrected_kurt(val),
-    # counts distinct values of one log's column; ``series_quantile`` splits longer series
-    "median": lambda val, row: F.median(val),
 }
+# statistics by rank, besides any ``quantile(q)``
+RANKED = {"median": 0.5}
+#: Distinct values of a series that a task ranks at most, but for what sampled borders miss.
+ROWS_PER_TASK = 1_000_000
+#: Statistics that are integers where all values of a series are; a count always is.
+WHOLE = ("max", "min", "last", "sum")
 # sample statistics that have no value for a single row
 _NEEDS_TWO = ("std", "var", "sem")
 
@@ -60,37 +64,89 @@ def resource_stats(
     """``(log, col, n_rows, <one column per statistic>)``.
 
     ``long`` is ``(log, row_no, col_no, col, val)``. A log with a header only (``row_no``
-    NULL) keeps its rows, with NULL statistics.
+    NULL) keeps its rows, with NULL statistics. A statistic is a name of ``STATS``, ``median`` or
+    ``quantile(q)``; the last two are exact, see :func:`series_quantiles`.
     """
-    return (
-        drop_columns_at(long, excluded_cols)
-        .groupBy("log", "col")
-        .agg(F.count("row_no").alias("n_rows"), *[STATS[s]("val", "row_no").alias(s) for s in stats])
-    )
+    ranked = {s: q for s in stats if (q := _rank_of(s)) is not None}
+    plain = [STATS[s]("val", "row_no").alias(s) for s in stats if s not in ranked]
+    out = drop_columns_at(long, excluded_cols).groupBy("log", "col").agg(F.count("row_no").alias("n_rows"), *plain)
+    if ranked:
+        found = series_quantiles(long, list(ranked.values()), excluded_cols)
+        named = found.select("log", "col", *[F.get("quantiles", F.lit(i)).alias(s) for i, s in enumerate(ranked)])
+        out = out.join(named, ["log", "col"], "left")
+    return out.select("log", "col", "n_rows", *[f"`{s}`" for s in stats])
+
+
+def whole_columns(long: DataFrame, excluded_cols: Sequence[int] = (0,)) -> DataFrame:
+    """``(log, col, n_rows, whole)``: whether every row of a series has an integer; without the flag in ``long``, a whole number."""
+    flag = F.col("whole") if "whole" in long.columns else (F.col("val") == F.floor("val"))
+    flag = F.coalesce(flag, F.lit(False)) | F.col("row_no").isNull()
+    return drop_columns_at(long, excluded_cols).groupBy("log", "col").agg(F.count("row_no").alias("n_rows"), F.min(flag).alias("whole"))
+
 
+def _rank_of(stat: str) -> float | None:
+    """The share of ranks below a statistic's value; None for one that is an aggregate."""
+    if stat in RANKED and stat not in STATS:
+        return RANKED[stat]
+    found = re.fullmatch(r"quantile\((0(?:\.[0-9]+)?|1(?:\.0+)?|\.[0-9]+)\)", stat)
+    return float(found[1]) if found else None
 
-def series_quantile(long: DataFrame, q: float = 0.5, excluded_cols: Sequence[int] = (0,)) -> DataFrame:
-    """``(log, col, quantile)``: exact quantile with linear interpolation.
 
-    Equal values are counted first; ranks are running counts over value ranges, so no
-    task holds or sorts the whole series of a log.
+def by_rank(counts: DataFrame, keys: Sequence[str], value: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows ``(*keys, value, ...)`` in parts of about ``rows_per_task``, with ``_part``; written once.
+
+    Parts are ranges of (keys, value) between sampled borders, so neither a key with most rows nor values
+    that lie close together fill a part. Parts are numbered in the order of their ranges.
+    """
+    rows = stage(counts)
+    parts = max(1, -(-rows.count() // rows_per_task))
+    return stage(rows.repartitionByRange(parts, *keys, value).withColumn("_part", F.spark_partition_id()))
+
+
+def series_quantiles(
+    long: DataFrame, qs: Sequence[float], excluded_cols: Sequence[int] = (0,), rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``(log, col, quantiles ARRAY<DOUBLE>)``: exact quantiles with linear interpolation, one for each of ``qs``.
+
+    Equal values are counted first and dealt to ranges between sampled borders. Counts per range tell which
+    ranges hold the wanted ranks, and only those are ranked within: no task sorts more than a range.
     """
     keys = ["log", "col"]
     counts = drop_columns_at(long, excluded_cols).where("val IS NOT NULL").groupBy(*keys, "val").agg(
         F.count("*").alias("n")
     )
-    # a non-decreasing integer of the value: 4096 steps per doubling
-    step = F.floor(F.signum("val") * F.log2(F.abs("val") + 1) * 4096).cast("bigint")
-    ranked = running(counts.withColumn("_step", step), keys, "_step", ["val"], {"upto": ("sum", F.col("n"))}, span=64)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    at = (F.col("total") - 1) * F.lit(q)
-    placed = ranked.join(totals, keys).withColumns({"_lo": F.floor(at), "_hi": F.ceil(at), "_w": at - F.floor(at)})
-
-    def value_at(rank: str) -> Column:
-        return F.max(F.when((F.col("upto") > F.col(rank)) & (F.col("upto") - F.col("n") <= F.col(rank)), F.col("val")))
-
-    ends = placed.groupBy(*keys).agg(value_at("_lo").alias("a"), value_at("_hi").alias("b"), F.max("_w").alias("w"))
-    return ends.select(*keys, (F.col("a") + (F.col("b") - F.col("a")) * F.col("w")).alias("quantile"))
+    placed = by_rank(counts, keys, "val", rows_per_task)
+    sums = placed.groupBy(*keys, "_part").agg(F.sum("n").alias("held"))
+    # one row per key and range that holds values of it
+    of_key = Window.partitionBy(*keys)
+    before = of_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sums.select(*keys, "_part", "held", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("before"), F.sum("held").over(of_key).alias("total"))
+
+    def ends(i: int, q: float) -> list[Column]:
+        at = (F.col("total") - 1) * F.lit(float(q))
+        return [
+            F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), rank.cast("bigint").alias("rank"), (at - F.floor(at)).alias("w"))
+            for side, rank in enumerate((F.floor(at), F.ceil(at)))
+        ]
+
+    wanted = F.array(*[e for i, q in enumerate(qs) for e in ends(i, q)])
+    here = F.filter(wanted, lambda e: (e["rank"] >= F.col("before")) & (e["rank"] < F.col("before") + F.col("held")))
+    looked = ranges.select(*keys, "_part", "before", here.alias("wanted")).where(F.size("wanted") > 0)
+    within = Window.partitionBy("_part", *keys).orderBy("val").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.join(looked, [*keys, "_part"]).withColumn("upto", F.col("before") + F.sum("n").over(within))
+    hits = F.filter("wanted", lambda e: (e["rank"] < F.col("upto")) & (e["rank"] >= F.col("upto") - F.col("n")))
+    found = ranked.select(*keys, "val", F.inline(hits))
+    side = lambda k: F.max(F.when(F.col("side") == k, F.col("val")))
+    pairs = found.groupBy(*keys, "q").agg(side(0).alias("a"), side(1).alias("b"), F.max("w").alias("w"))
+    each = pairs.select(*keys, "q", (F.col("a") + (F.col("b") - F.col("a")) * F.col("w")).alias("value"))
+    return each.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda e: e["value"]).alias("quantiles"))
+
+
+def series_quantile(
+    long: DataFrame, q: float = 0.5, excluded_cols: Sequence[int] = (0,), rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``(log, col, quantile)``: one exact quantile; see :func:`series_quantiles`."""
+    return series_quantiles(long, [q], excluded_cols, rows_per_task).select("log", "col", F.get("quantiles", F.lit(0)).alias("quantile"))
 
 
 def stat_metrics(stats: DataFrame) -> DataFrame:
@@ -104,7 +160,7 @@ def stat_metrics(stats: DataFrame) -> DataFrame:
     def value(name: str) -> Column:
         if name in _NEEDS_TWO:
             return F.when(F.col("n_rows") == 1, F.lit(float("nan"))).otherwise(F.col(name))
-        return F.col(name).cast("double")
+        return F.col(f"`{name}`").cast("double")
 
     pairs = [F.struct(F.lit(n).alias("stat"), value(n).alias("val")) for n in names]
     rows = stats.select("log", "col", F.inline(F.array(*pairs)))
@@ -115,11 +171,11 @@ def stats_map(stats: DataFrame) -> DataFrame:
     """``(log, stats MAP<stat, MAP<col, value>>)``; a log has few columns, so groups are small."""
     names = [c for c in stats.columns if c not in ("log", "col", "n_rows")]
     by_stat = [
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("col", F.col(n).cast("double"))))).alias(n)
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("col", F.col(f"`{n}`").cast("double"))))).alias(n)
         for n in names
     ]
     maps = stats.groupBy("log").agg(*by_stat)
-    entries = [x for n in names for x in (F.lit(n), F.col(n))]
+    entries = [x for n in names for x in (F.lit(n), F.col(f"`{n}`"))]
     return maps.select("log", F.create_map(*entries).alias("stats"))
 
 
@@ -229,8 +285,14 @@ def monitor_records(
     excluded_cols: Sequence[int] = (0,),
     task_name: str | None = None,
 ) -> DataFrame:
-    """One nested resource record per call that has a monitoring log."""
-    summary = stats_map(resource_stats(long, stats, excluded_cols))
+    """One nested resource record per call that has a monitoring log.
+
+    ``series`` tells for each column of the log how many rows it has and whether all are integers.
+    """
+    shapes = whole_columns(long, excluded_cols).groupBy("log").agg(
+        F.map_from_entries(F.collect_list(F.struct("col", F.struct("n_rows", "whole")))).alias("series")
+    )
+    summary = stats_map(resource_stats(long, stats, excluded_cols)).join(shapes, "log")
     # read by two branches, and made from whole documents
     monitored = stage(attach_stats(instance(filter_task(calls, task_name)), summary))
     sized, _ = attach_sizes(file_leaves(input_leaves(monitored, keys)), catalog)
@@ -243,6 +305,7 @@ def monitor_records(
         "attempt",
         F.struct("cpu", "disk", "mem").alias("instance"),
         "stats",
+        "series",
         F.coalesce("input_file_sizes", F.create_map().cast("map<string,array<bigint>>")).alias("input_file_sizes"),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runlens.operators import calls as C, monitor as M, regress as G
 from runlens.plans import relations as R
 from runlens.plans.calls import _calls, _dotted
-from runlens.session import stage
+from runlens.session import shared_place, stage
 from runlens.sources import readers, sinks
 
 TARGETS = ("stats.max.mem", "stats.mean.cpu_pct")
@@ -50,6 +50,11 @@ def monitor_median(spark, sf_dir):
     return M.series_quantile(R.series(spark, sf_dir)).select("log", "col", _r("quantile"))
 
 
+def monitor_quantiles(spark, sf_dir):
+    stats = M.resource_stats(R.series(spark, sf_dir), ["max", "quantile(0.05)", "median", "quantile(0.99)"])
+    return stats.select("log", "col", _r("max"), F.round("`quantile(0.05)`", DIGITS).alias("q05"), _r("median"), F.round("`quantile(0.99)`", DIGITS).alias("q99"))
+
+
 def monitor_scan(spark, sf_dir):
     """Logs as text, one per event, with 0 to 3 samples; the text is split and typed again."""
     e = F.col("event_id")
@@ -74,7 +79,6 @@ def _monitored(spark, sf_dir):
 
 def _sized(spark, sf_dir):
     calls = _calls(spark, sf_dir).where("monitoringLog IS NOT NULL")
-    calls = M.filter_task(calls, "main.*", wildcard=True)
     leaves = M.file_leaves(M.input_leaves(calls, ["id", "ord", "call_name", "monitoringLog"]))
     return M.attach_sizes(leaves, R.catalog(spark, sf_dir))
 
@@ -99,16 +103,6 @@ def missing_files(spark, sf_dir):
     return missing.groupBy("var").agg(F.count("*").alias("n"), F.countDistinct("value").alias("files"))
 
 
-def instance_shape(spark, sf_dir):
-    calls = M.instance(M.filter_task(_calls(spark, sf_dir), "main.prep"))
-    return calls.select("id", "cpu", "disk", "mem")
-
-
-def record_metrics(spark, sf_dir):
-    calls = M.instance(M.filter_task(_calls(spark, sf_dir), "main.prep"))
-    return M.record_metrics(calls, ["id"]).where("val IS NOT NULL")
-
-
 def instance_shape_all(spark, sf_dir):
     """Every call, those of sub-workflows too."""
     return M.instance(_calls(spark, sf_dir)).select("id", _dotted("ord").alias("ord"), "cpu", "disk", "mem")
@@ -120,12 +114,15 @@ def record_metrics_all(spark, sf_dir):
     return M.record_metrics(calls, ["id", "ord"]).where("val IS NOT NULL")
 
 
+SERIES = ("mem", "disk", "cpu_pct")
+
+
 def ragged_tsv(spark, sf_dir):
-    records = M.monitor_records(
-        _calls(spark, sf_dir), R.series(spark, sf_dir), R.catalog(spark, sf_dir), stats=["max", "last"]
-    )
-    _, lines = sinks.monitor_lines(records, ["disk"], ["id", "ord"], ["max", "last"])
-    return lines.select("id", _dotted("ord").alias("ord"), "line")
+    """All series and statistics; numbers that are no integers are compared to ten digits."""
+    records = M.monitor_records(_calls(spark, sf_dir), R.series(spark, sf_dir), R.catalog(spark, sf_dir))
+    _, lines = sinks.monitor_lines(records, SERIES, ["id", "ord"])
+    near = lambda c: F.when(c.rlike(r"^-?[0-9]+\.[0-9]+$|e[+-][0-9]+$"), F.format_string("%.9e", c.try_cast("double"))).otherwise(c)
+    return lines.select("id", _dotted("ord").alias("ord"), F.array_join(F.transform(F.split("line", "\t"), near), "\t").alias("line"))
 
 
 def _fit_tables(spark, sf_dir):
@@ -164,6 +161,50 @@ def ols_multi(spark, sf_dir):
     return named.select("task", "metric", "n", _significant("b_fastqs"), _significant("b_ref"), _significant("intercept"))
 
 
+def rule_table(spark, sf_dir):
+    """The rules of RULES and others that match no task, as many rows as there are parts."""
+    k = F.col("p_partkey") % 4
+    rules = list(RULES.items())
+    pattern, names = F.concat("p_brand", F.lit("["), F.col("p_partkey").cast("string"), F.lit("]*.prep")), F.array(F.lit("ref"))
+    for i, (text, variables) in enumerate(rules):
+        pattern = F.when(k == i, text).otherwise(pattern)
+        names = F.when(k == i, F.array(*[F.lit(v) for v in variables]).cast("array<string>")).otherwise(names)
+    return R.table(spark, sf_dir, "part").select(pattern.alias("pattern"), names.alias("vars"))
+
+
+def ols_rule_table(spark, sf_dir):
+    sized, targets = _fit_tables(spark, sf_dir)
+    fits = G.analyze(sized, targets, rule_table(spark, sf_dir), "sum", TARGETS)
+    return fits.select("task", "metric", "x_name", "n", _significant("slope"), _significant("intercept"), "reason")
+
+
+RIDGE = 1e12
+
+
+def ols_ridge(spark, sf_dir):
+    sized, targets = _fit_tables(spark, sf_dir)
+    fits = G.analyze_multi(sized, targets, {"main.*": ["fastqs", "ref"]}, TARGETS, solver=G.ridge(RIDGE))
+    named = fits.select("task", "metric", "n", "intercept", F.get("coeffs", F.lit(0)).alias("b_fastqs"), F.get("coeffs", F.lit(1)).alias("b_ref"))
+    return named.select("task", "metric", "n", _significant("b_fastqs"), _significant("b_ref"), _significant("intercept"))
+
+
+def analysis_documents(spark, sf_dir):
+    """A document per task with all its values, written from sorted rows and read again."""
+    sized, targets = _fit_tables(spark, sf_dir)
+    rows = stage(G.fit_input(sized, targets, None, TARGETS))
+    fits = G.simple_fit(rows.withColumn("x", G.REDUCTIONS["sum"](F.col("xs"))), TARGETS, G._x_name("sum", F.col("vars")))
+    place = shared_place(spark, "analysis")
+    sinks.write_documents(sinks.analysis_parts(rows, fits, TARGETS, "sum"), place)
+    schema = "task string, x map<string,array<double>>, y map<string,array<double>>, coeffs map<string,struct<coeffs:array<double>,intercept:double>>"
+    docs = readers.read_files(spark, place).select(F.inline(F.array(F.from_json("text", schema, {"mode": "FAILFAST"}))))
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    x = F.get(F.map_values("x"), F.lit(0))
+    each = docs.select("task", F.get(F.map_keys("x"), F.lit(0)).alias("x_name"), F.size(x).alias("n_x"), total(x).alias("sum_x"), "coeffs", F.explode("y").alias("metric", "ys"))
+    fit = F.try_element_at("coeffs", F.col("metric"))
+    told = each.select("task", "x_name", "n_x", "sum_x", "metric", F.size("ys").alias("n"), total(F.col("ys")).alias("sum_y"), F.get(fit["coeffs"], F.lit(0)).alias("slope"), fit["intercept"].alias("intercept"))
+    return told.select("task", "x_name", "n_x", _significant("sum_x"), "metric", "n", _significant("sum_y"), _significant("slope"), _significant("intercept"))
+
+
 def x_cells(spark, sf_dir):
     sized, _ = _fit_tables(spark, sf_dir)
     return G.x_cells(sized)
@@ -205,12 +246,13 @@ QUERIES = {
     "monitor_last": monitor_last,
     "monitor_more_stats": monitor_more_stats,
     "monitor_median": monitor_median,
+    "monitor_quantiles": monitor_quantiles,
     "monitor_scan": monitor_scan,
     "with_monitor_log": with_monitor_log,
     "input_sizes": input_sizes,
     "missing_files": missing_files,
-    "instance_shape": instance_shape,
-    "record_metrics": record_metrics,
+    "instance_shape": instance_shape_all,
+    "record_metrics": record_metrics_all,
     "instance_shape_all": instance_shape_all,
     "record_metrics_all": record_metrics_all,
     "ragged_tsv": ragged_tsv,
@@ -219,6 +261,9 @@ QUERIES = {
     "ols_min": _fit("min"),
     "ols_rules": _fit("sum", RULES),
     "ols_multi": ols_multi,
+    "analysis_documents": analysis_documents,
+    "ols_rule_table": ols_rule_table,
+    "ols_ridge": ols_ridge,
     "ols_points": ols_points,
     "x_cells": x_cells,
     "found_vars": found_vars,
@@ -283,6 +328,14 @@ def _rounded(expr: str, name: str, digits: int = DIGITS) -> str:
     return f"round({expr}, {digits}) AS {name}"
 
 
+def _stat_cell(stat: str, col: str) -> str:
+    """Text of a statistic: integers of the integer series, other numbers to ten digits."""
+    value = {"mean": f"avg({col})", "std": f"stddev_samp({col})", "last": f"arg_max({col}, row_no)"}.get(stat, f"{stat}({col})")
+    if col != "cpu_pct" and stat in M.WHOLE:
+        return f"CAST(CAST({value} AS BIGINT) AS VARCHAR)"
+    return f"coalesce(printf('%.9e', {value}), 'nan')"
+
+
 ORACLES = {
     "monitor_stats": f"""
         WITH {R.SERIES_SQL}
@@ -301,6 +354,10 @@ ORACLES = {
     "monitor_median": f"""
         WITH {R.SERIES_SQL}
         SELECT log, col, {_rounded('median(val)', 'quantile')} FROM series GROUP BY log, col""",
+    "monitor_quantiles": f"""
+        WITH {R.SERIES_SQL}
+        SELECT log, col, {_rounded('max(val)', 'max')}, {_rounded('quantile_cont(val, 0.05)', 'q05')}, {_rounded('median(val)', 'median')},
+               {_rounded('quantile_cont(val, 0.99)', 'q99')} FROM series GROUP BY log, col""",
     "monitor_scan": """
         WITH s AS (SELECT event_id AS e, value, i FROM events LEFT JOIN UNNEST(range(1, 4)) AS u(i) ON i <= event_id % 4),
         v AS (SELECT e, i, 'mem' AS col, CAST(e * i AS DOUBLE) AS val FROM s
@@ -320,18 +377,6 @@ ORACLES = {
         WITH {R.SIZES_SQL}
         SELECT var, count(*) AS n, count(DISTINCT part) AS files FROM named JOIN calls USING (id, ord)
         WHERE k % 6 <> 2 AND part NOT IN (SELECT p_partkey FROM part) GROUP BY var""",
-    "instance_shape": f"""
-        SELECT {R.uuid_sql('o_orderkey')} AS id, CAST(o_orderkey % 4 + 1 AS INTEGER) AS cpu,
-               (o_orderkey % 90 + 10) * 1073741824 AS disk,
-               (o_orderkey % 7 + 1) * CASE WHEN o_orderkey % 2 = 0 THEN 1000000000 ELSE 1073741824 END AS mem
-        FROM orders""",
-    "record_metrics": f"""
-        WITH o AS (SELECT {R.uuid_sql('o_orderkey')} AS id, o_orderkey AS k FROM orders)
-        SELECT id, 'shard_idx' AS metric, CAST(-1 AS DOUBLE) AS val FROM o
-        UNION ALL SELECT id, 'attempt', k % 2 + 1 FROM o
-        UNION ALL SELECT id, 'instance.cpu', k % 4 + 1 FROM o
-        UNION ALL SELECT id, 'instance.disk', (k % 90 + 10) * 1073741824 FROM o
-        UNION ALL SELECT id, 'instance.mem', (k % 7 + 1) * CASE WHEN k % 2 = 0 THEN 1000000000 ELSE 1073741824 END FROM o""",
     "instance_shape_all": f"""
         WITH {R.CALLS_SQL}
         SELECT id, ord, CASE WHEN call_name <> 'main.sub' THEN CAST(k % 4 + 1 AS INTEGER) END AS cpu,
@@ -352,7 +397,7 @@ ORACLES = {
     "ragged_tsv": f"""
         WITH {R.SIZES_SQL},
         {R.SERIES_SQL},
-        stat AS (SELECT log, max(disk) AS mx, arg_max(disk, row_no) AS lst FROM sample GROUP BY log),
+        stat AS (SELECT log, concat_ws(chr(9), {', '.join(_stat_cell(s, c) for s in M.DEFAULT_STATS for c in SERIES)}) AS cells FROM sample GROUP BY log),
         counted AS (SELECT *, row_number() OVER (PARTITION BY id, ord, var ORDER BY idx) - 1 AS i,
                            count(*) OVER (PARTITION BY id, ord, var) AS c FROM sized),
         pairs AS (
@@ -362,8 +407,7 @@ ORACLES = {
         )
         SELECT calls.id, calls.ord, concat_ws(chr(9), calls.id, call_name, CAST(shard AS VARCHAR), coalesce(status, 'None'), CAST(attempt AS VARCHAR),
                  CAST(k % 4 + 1 AS VARCHAR), CAST((k % 90 + 10) * 1073741824 AS VARCHAR),
-                 CAST((k % 7 + 1) * CASE WHEN k % 2 = 0 THEN 1000000000 ELSE 1073741824 END AS VARCHAR),
-                 CAST(mx AS VARCHAR), CAST(lst AS VARCHAR)) || coalesce(p, '') AS line
+                 CAST((k % 7 + 1) * CASE WHEN k % 2 = 0 THEN 1000000000 ELSE 1073741824 END AS VARCHAR), cells) || coalesce(p, '') AS line
         FROM calls JOIN stat ON stat.log = calls.mon LEFT JOIN pairs ON pairs.id = calls.id AND pairs.ord = calls.ord""",
     "ols_sum": _fit_oracle("sum"),
     "ols_max": _fit_oracle("max"),
@@ -375,6 +419,7 @@ ORACLES = {
           SELECT metric, y, coalesce(f.size, 0) AS a, coalesce(r.size, 0) AS b
           FROM ys LEFT JOIN sums f ON f.id || '/' || f.ord = call_id AND f.var = 'fastqs'
                   LEFT JOIN sums r ON r.id || '/' || r.ord = call_id AND r.var = 'ref'
+          WHERE ys.call_name LIKE 'main.%'
         ),
         m AS (
           SELECT metric, count(*) AS n, var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) AS sab,
@@ -385,6 +430,31 @@ ORACLES = {
                         (sby * saa - say * sab) / (saa * sbb - sab * sab) AS bb FROM m)
         SELECT 'main.*' AS task, metric, n, {_significant_sql('ba', 'b_fastqs')}, {_significant_sql('bb', 'b_ref')},
                {_significant_sql('my - ba * ma - bb * mb', 'intercept')} FROM s""",
+    "ols_ridge": f"""
+        WITH {_STATS},
+        wide AS (
+          SELECT metric, y, coalesce(f.size, 0) AS a, coalesce(r.size, 0) AS b
+          FROM ys LEFT JOIN sums f ON f.id || '/' || f.ord = call_id AND f.var = 'fastqs'
+                  LEFT JOIN sums r ON r.id || '/' || r.ord = call_id AND r.var = 'ref'
+          WHERE ys.call_name LIKE 'main.%'
+        ),
+        m AS (
+          SELECT metric, count(*) AS n, var_pop(a) + {RIDGE} AS saa, var_pop(b) + {RIDGE} AS sbb, covar_pop(a, b) AS sab,
+                 covar_pop(a, y) AS say, covar_pop(b, y) AS sby, avg(a) AS ma, avg(b) AS mb, avg(y) AS my
+          FROM wide GROUP BY metric
+        ),
+        s AS (SELECT *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS ba,
+                        (sby * saa - say * sab) / (saa * sbb - sab * sab) AS bb FROM m)
+        SELECT 'main.*' AS task, metric, n, {_significant_sql('ba', 'b_fastqs')}, {_significant_sql('bb', 'b_ref')},
+               {_significant_sql('my - ba * ma - bb * mb', 'intercept')} FROM s""",
+    "ols_rule_table": _fit_oracle("sum", _BY_RULE, _RULE_VARS),
+    "analysis_documents": f"""
+        WITH {_fit_sql('sum', _BY_NAME)},
+        x AS (SELECT task, count(*) AS n_x, sum(x) AS sum_x FROM (SELECT DISTINCT task, call_id, x FROM xy) GROUP BY task),
+        y AS (SELECT task, metric, sum(y) AS sum_y FROM xy GROUP BY ALL)
+        SELECT task, x_name, CAST(n_x AS INTEGER) AS n_x, {_significant_sql('sum_x', 'sum_x')}, metric, CAST(n AS INTEGER) AS n, {_significant_sql('sum_y', 'sum_y')},
+               {_significant_sql('slope', 'slope')}, {_significant_sql('my - slope * mx', 'intercept')}
+        FROM fit JOIN names USING (task) JOIN x USING (task) JOIN y USING (task, metric)""",
     "ols_points": f"""
         WITH {_fit_sql('sum', _BY_NAME)}
         SELECT task, metric, call_id, x, {_significant_sql('y', 'y')}, {_significant_sql('my - slope * mx + slope * x', 'y_fit', 5)}
@@ -407,3 +477,5 @@ ORACLES = {
                WHEN 8 THEN p_size * 1048576.0 END AS BIGINT) AS bytes
         FROM part""",
 }
+# every call, under the names that these two had first
+ORACLES |= {name: ORACLES[f"{name}_all"] for name in ("instance_shape", "record_metrics")}

@@ -1,4 +1,4 @@
-"""Readers. All of them are lazy and name the file each row came from.
+"""Readers. They name the file each row came from; all but ``read_log`` and ``input_files`` are lazy.
 
 An archive has one small file per run or task; copy it once into a parquet table of
 ``(file, doc)`` or ``(log, ...)`` rows and read that on later runs.
@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType, _parse_datatype_string
 
 from runlens.functions import uris
 from runlens.operators import nested
@@ -43,10 +44,11 @@ def read_labels(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def monitor_long(files: DataFrame) -> DataFrame:
-    """``(log, row_no, col_no, col, val)`` from ``(path, text)`` of tab-separated logs.
+    """``(log, row_no, col_no, col, val, whole)`` from ``(path, text)`` of tab-separated logs.
 
     The first line names the columns. Blank lines do not count as rows; a text that is
-    no number is NULL. A log with a header only gives its columns with NULL ``row_no``.
+    no number is NULL, and ``whole`` tells whether it is an integer. A log with a header only gives its
+    columns with NULL ``row_no``.
     """
     lines = F.filter(F.split("text", r"\r?\n"), lambda s: F.trim(s) != "")
     logs = files.select(F.col("path").alias("log"), lines.alias("_lines")).where(F.size("_lines") > 0)
@@ -57,7 +59,8 @@ def monitor_long(files: DataFrame) -> DataFrame:
     )
     cells = rows.select("log", "row_no", F.split("_line", "\t").alias("_cells"), F.posexplode("_header").alias("col_no", "col"))
     number = F.get("_cells", F.col("col_no")).try_cast("double")
-    return cells.select("log", "row_no", "col_no", "col", F.when(~F.isnan(number), number).alias("val"))
+    whole = F.coalesce(F.get("_cells", F.col("col_no")).rlike(r"^\s*[+-]?[0-9]+\s*$"), F.lit(False))
+    return cells.select("log", "row_no", "col_no", "col", F.when(~F.isnan(number), number).alias("val"), whole.alias("whole"))
 
 
 def read_monitor_logs(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -71,31 +74,47 @@ MONITOR_SCHEMA = "time BIGINT, mem BIGINT, disk BIGINT, cpu_pct DOUBLE"
 def read_monitor_table(spark: SparkSession, paths: Paths, schema: str = MONITOR_SCHEMA) -> DataFrame:
     """Monitoring logs with known columns, one row per sample, plus ``log`` and ``row_no``.
 
-    ``row_no`` orders the rows of a log but is not dense.
+    ``row_no`` orders the rows of a log but is not dense. A log with a header only gives one row with NULL
+    ``row_no`` and values, as in :func:`monitor_long`; to find them, names of logs are compared, not samples.
     """
-    rows = spark.read.csv(_paths(paths), sep="\t", header=True, schema=schema)
-    return rows.select(
-        _file_path().alias("log"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("row_no"),
-        "*",
-    )
+    types = _parse_datatype_string(schema)
+    first = f"`{types.fieldNames()[0]}`"
+    texts = StructType([StructField(f.name, StringType()) for f in types])
+    rows = spark.read.csv(_paths(paths), sep="\t", header=False, schema=texts)
+    is_header = (F.trim(first) == types.fieldNames()[0]) & (F.col("_metadata.file_block_start") == 0)
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    cells = [F.trim(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in types]
+    named = rows.select(_file_path().alias("log"), place.alias("row_no"), F.coalesce(is_header, F.lit(False)).alias("_header"), *cells)
+    samples = named.where("NOT _header").drop("_header")
+    bare = named.where("_header").select("log").distinct().join(samples.select("log").distinct(), "log", "left_anti")
+    return samples.unionByName(bare, allowMissingColumns=True)
 
 
 def wide_to_long(table: DataFrame) -> DataFrame:
-    """Long form ``(log, row_no, col_no, col, val)`` of a table of samples."""
-    names = [c for c in table.columns if c not in ("log", "row_no")]
+    """Long form ``(log, row_no, col_no, col, val, whole)`` of a table of samples; integer columns hold whole values."""
+    fields = [f for f in table.schema.fields if f.name not in ("log", "row_no")]
     cells = [
-        F.struct(F.lit(i).alias("col_no"), F.lit(c).alias("col"), F.col(c).cast("double").alias("val"))
-        for i, c in enumerate(names)
+        F.struct(
+            F.lit(i).alias("col_no"),
+            F.lit(f.name).alias("col"),
+            F.col(f"`{f.name}`").cast("double").alias("val"),
+            (F.col(f"`{f.name}`").isNotNull() if isinstance(f.dataType, IntegralType) else F.lit(False)).alias("whole"),
+        )
+        for i, f in enumerate(fields)
     ]
     return table.select("log", "row_no", F.inline(F.array(*cells)))
 
 
-def read_log(spark: SparkSession, paths: Paths) -> DataFrame:
+#: Splits whose offsets are handed to all tasks: a row of some hundred bytes each. More are joined by shuffles.
+HANDED_SPLITS = 50_000
+
+
+def read_log(spark: SparkSession, paths: Paths, handed_splits: int = HANDED_SPLITS) -> DataFrame:
     """``(seq, line)``: server log lines numbered from 0 over all files, oldest file first.
 
-    Files are read in splits. Counting lines per split first gives each split its offset,
-    so numbering needs no shuffle of lines and no task sees a whole file.
+    Files are read in splits. Lines per split are counted first, when this is called, and give each split
+    its offset. The offsets are then handed to the tasks that scan, so lines stay where they
+    are read; only beyond ``handed_splits`` splits are lines and offsets joined by a shuffle.
     """
     lines = spark.read.text(_paths(paths)).select(
         F.col("value").alias("line"),
@@ -107,8 +126,9 @@ def read_log(spark: SparkSession, paths: Paths) -> DataFrame:
     splits = lines.groupBy("_time", "_path", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     # one row per split
     before = Window.orderBy("_time", "_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("_path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return lines.join(offsets, ["_path", "_start"]).select((F.col("_offset") + F.col("_id") - F.col("_first")).alias("seq"), "line")
+    offsets = cut_lineage(splits.select("_path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    side = F.broadcast(offsets) if offsets.count() <= handed_splits else offsets
+    return lines.join(side, ["_path", "_start"]).select((F.col("_offset") + F.col("_id") - F.col("_first")).alias("seq"), "line")
 
 
 LISTING_SCHEMA = (
@@ -170,12 +190,12 @@ def input_files(docs: DataFrame, texts: DataFrame) -> DataFrame:
     many documents name it, and joins its entries to those documents. A round that finds
     nothing new ends the loop, which lists that name each other reach too.
     """
-    found = cut_lineage(_named_files(docs.withColumn("_path", F.concat("doc", F.lit(".json")))).distinct())
+    found = cut_lineage(named_files(docs.withColumn("_path", F.concat("doc", F.lit(".json")))).distinct())
     seen = found
     while True:
         lists = found.where(uris.extension(F.col("path")).isin(*LIST_EXTENSIONS))
         opened = texts.join(lists.select("path").distinct(), "path").select(F.col("path").alias("doc"), F.col("path").alias("_path"), "text")
-        entries = _named_files(opened).distinct().select(F.col("doc").alias("_list"), F.col("path").alias("_entry"))
+        entries = named_files(opened).distinct().select(F.col("doc").alias("_list"), F.col("path").alias("_entry"))
         named = lists.join(entries, F.col("path") == F.col("_list")).select("doc", F.col("_entry").alias("path")).distinct()
         found = cut_lineage(named.join(seen, ["doc", "path"], "left_anti"))
         if found.isEmpty():
@@ -183,7 +203,28 @@ def input_files(docs: DataFrame, texts: DataFrame) -> DataFrame:
         seen = seen.unionByName(found)
 
 
-def _named_files(rows: DataFrame) -> DataFrame:
+def input_edges(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(node, is_doc, path)``: each file URI with the document or list file that names it.
+
+    As :func:`input_files`, but a list file's entries stay its own, once each: what all documents
+    reach through it is not spelled out per document.
+    """
+    named = named_files(docs.withColumn("_path", F.concat("doc", F.lit(".json")))).distinct()
+    edges = cut_lineage(named.select(F.col("doc").alias("node"), F.lit(True).alias("is_doc"), "path"))
+    found = edges
+    seen = edges.where("false").select("path")
+    while True:
+        lists = found.where(uris.extension(F.col("path")).isin(*LIST_EXTENSIONS)).select("path").distinct()
+        new = cut_lineage(lists.join(seen, "path", "left_anti"))
+        opened = texts.join(new, "path").select(F.col("path").alias("doc"), F.col("path").alias("_path"), "text")
+        found = cut_lineage(named_files(opened).distinct().select(F.col("doc").alias("node"), F.lit(False).alias("is_doc"), "path"))
+        if found.isEmpty():
+            return edges
+        seen = seen.unionByName(new)
+        edges = edges.unionByName(found)
+
+
+def named_files(rows: DataFrame) -> DataFrame:
     """URIs in texts ``(doc, _path, text)``, read as JSON or as separated values by extension."""
     kind = uris.extension(F.col("_path"))
     separator = F.when(kind == ".tsv", F.lit(r"[\t\r\n]")).otherwise(F.lit(r"[,\r\n]"))

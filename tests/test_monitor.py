@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import fnmatch
 import json
 import math
 import random
@@ -9,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from runlens.functions import numbers
 from runlens.operators import calls as C, monitor as M, regress as G
 from runlens.sources import readers, sinks
 
@@ -34,6 +36,37 @@ def test_stats_like_pandas(spark):
     assert empty.n_rows == 0 and empty.mean is None and empty["last"] is None
 
 
+def test_numbers_are_printed_like_python(spark):
+    rng = random.Random(1)
+    values = [0.0, -0.0, 1.0, -2.5, 30.0, 1e7, 37580963840.0, 1.5e15, 1e16, 1.25e16, 9999999999999998.0, 1e22, 1e100, 1e-3, 1e-4, 1.5e-4, 1e-5, -2.5e-7, 123456789.125, float("nan"), float("inf"), float("-inf")]
+    values += [round(rng.uniform(-1, 1) * 10 ** rng.randint(-8, 18), 3) for _ in range(300)] + [rng.uniform(-1, 1) * 10 ** rng.randint(-8, 20) for _ in range(300)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate([*values, None])], "i int, v double").select("i", numbers.float_text(F.col("v")).alias("t"))
+    got = {r.i: r.t for r in rows.collect()}
+    assert got[len(values)] is None
+    assert all(float(got[i]) == v or v != v for i, v in enumerate(values))
+    assert [(repr(v), got[i]) for i, v in enumerate(values) if got[i] != repr(v)] == []
+    whole = spark.createDataFrame([(9007199254740992.0, True), (-3.0, True), (-3.0, False), (math.nan, True), (None, True)], "v double, w boolean")
+    assert [r.t for r in whole.select(numbers.number_text(F.col("v"), F.col("w")).alias("t")).collect()] == ["9007199254740992", "-3", "-3.0", "nan", None]
+
+
+def test_table_text(spark):
+    texts = [*TEXTS, ("gs://l/mixed", "time\tmem\tcpu_pct\n1\t10000000\t1\n2\t20000000\t2.0\n"), ("gs://l/gap", "time\tmem\tcpu_pct\n1\t5\t\n2\t\t\n")]
+    long = readers.monitor_long(spark.createDataFrame(texts, "path string, text string"))
+    call = lambda log: {"executionStatus": 'a"b', "shardIndex": -1, "monitoringLog": log, "inputs": {}, "runtimeAttributes": {}}
+    doc = {"id": "w\tx", "calls": {"t": [call(f"gs://l/{n}") for n in ("many", "one", "header", "mixed", "gap")]}}
+    calls = C.flatten_calls(C.workflow_header(spark.createDataFrame([(json.dumps(doc),)], "doc string")))
+    records = M.monitor_records(calls, long, spark.createDataFrame(CATALOG, "path string, length bigint"), stats=["max", "std", "count", "last", "mean"])
+    _, lines = sinks.monitor_lines(records, ["mem", "cpu_pct"], ["ord"], ["max", "std", "count", "last", "mean"])
+    got = {r.ord[1]: r.line.split("\t") for r in lines.collect()}
+    assert ["\t".join(got[0][:2]), got[0][4]] == ['"w\tx"', '"a""b"']
+    cells = {k: v[9:] for k, v in got.items()}
+    assert cells[0][:8] == ["30", "2.5", "10.0", "0.7071067811865476", "3", "2", "20", "nan"] and cells[0][8:] == ["20.0", "2.0"]
+    assert cells[1] == ["10", "1.5", "nan", "nan", "1", "1", "10", "1.5", "10.0", "1.5"]
+    assert cells[2] == ["None"] * 4 + ["0", "0"] + ["None"] * 4
+    assert cells[3] == ["20000000", "2.0", "7071067.811865475", "0.7071067811865476", "2", "2", "20000000", "2.0", "15000000.0", "1.5"]
+    assert cells[4] == ["5.0", "nan", "nan", "nan", "1", "0", "nan", "nan", "5.0", "nan"]
+
+
 def test_more_stats_and_quantiles(spark):
     rng = random.Random(2)
     rows = [("a", i, 1, "x", rng.choice([rng.gauss(0, 1e6), 5.0])) for i in range(400)] + [("b", 0, 1, "x", 3.0)]
@@ -47,6 +80,34 @@ def test_more_stats_and_quantiles(spark):
         assert got == {"a": pytest.approx(series.quantile(q)), "b": 3.0}
 
 
+def test_quantiles_among_statistics(spark):
+    rng = random.Random(3)
+    rows = [(f"l{i % 3}", i, c, f"c{c}", rng.choice([rng.random(), 0.5, None, -1e9])) for i in range(300) for c in (1, 2)] + [("void", None, 1, "c1", None), ("null", 0, 1, "c1", None)]
+    long = spark.createDataFrame(rows, "log string, row_no int, col_no int, col string, val double")
+    names = ["max", "quantile(0.1)", "median", "quantile(1)"]
+    for size in (7, 10**6):
+        plain = M.resource_stats(long, ["count"])
+        got = {(r.log, r.col): list(r.quantiles) for r in M.series_quantiles(long, [0.1, 0.5, 1.0], rows_per_task=size).collect()}
+        for key in {(r.log, r.col) for r in plain.collect()} - {("void", "c1"), ("null", "c1")}:
+            series = pd.Series([r[4] for r in rows if (r[0], r[3]) == key])
+            assert got[key] == pytest.approx([series.quantile(q) for q in (0.1, 0.5, 1.0)]), (size, key)
+        assert len(got) == 6
+    table = {(r.log, r.col): r for r in M.resource_stats(long, names).collect()}
+    assert len(table) == 8 and table["void", "c1"]["quantile(0.1)"] is None and table["l0", "c1"]["quantile(1)"] == table["l0", "c1"]["max"]
+    metrics = {r.metric for r in M.stat_metrics(M.resource_stats(long, names)).collect()}
+    assert "stats.quantile(0.1).c1" in metrics and M.stats_map(M.resource_stats(long, names)).count() == 5
+
+
+def test_no_task_ranks_a_whole_series_of_close_values(spark):
+    n, size = 1_000_000, 50_000
+    values = spark.range(n).select(F.lit("hot").alias("log"), F.col("id").alias("row_no"), F.lit(1).alias("col_no"), F.lit("mem").alias("col"), (1e9 + F.col("id")).alias("val"))
+    counts = values.groupBy("log", "col", "val").agg(F.count("*").alias("n"))
+    held = [r["count"] for r in M.by_rank(counts, ["log", "col"], "val", size).groupBy("_part").count().collect()]
+    assert sum(held) == n and max(held) <= 2 * size
+    got = M.series_quantiles(values, [0.25, 0.999], rows_per_task=size).first().quantiles
+    assert got == [1e9 + 0.25 * (n - 1), pytest.approx(1e9 + 0.999 * (n - 1))]
+
+
 def _calls(spark):
     def call(log, cpu="2", **inputs):
         return {
@@ -78,7 +139,7 @@ def test_records(spark, tmp_path):
     header, lines = sinks.monitor_lines(records, ["mem"], ["id"], ["max"])
     assert header.split("\t")[-2:] == ["stats.max.mem", "input_file_var_size_pairs"]
     texts = sorted(r.line for r in lines.collect())
-    assert texts[0].split("\t")[8:] == ["30.0", "b[0]", "100", "b[1]", "200", "z", "200"]
+    assert texts[0].split("\t")[8:] == ["30", "b[0]", "100", "b[1]", "200", "z", "200"]
     assert texts[1].split("\t")[8:] == ["None"]
     sinks.write_monitor_tsv(records, str(tmp_path / "t"), ["mem"], ["max"])
     sinks.write_records_json(records, str(tmp_path / "j"))
@@ -202,6 +263,48 @@ def test_analysis_json(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "a" / "points")).count() == 2
 
 
+def test_documents_are_written_from_sorted_rows(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [("a/x.json", [1, i], f"{i:05d}", f"{i}", True) for i in range(3000)] + [("a/x.json", [0], "", "[", False), ("a/x.json", [2], "", "]", False), ("b.txt", [0], "", None, False)]
+    rows = [("a/x.json", [1], f"{i:05d}", f"{i}", True) if r[1][0] == 1 else r for i, r in enumerate(rows)]
+    rng.shuffle(rows)
+    schema = "path string, section array<int>, ord string, text string, listed boolean"
+    parts = spark.createDataFrame(rows, schema).repartition(7)
+    for _ in range(2):
+        made = {r.path: (r.n_rows, r.n_bytes) for r in sinks.write_documents(parts, str(tmp_path / "d")).collect()}
+    assert json.loads((tmp_path / "d" / "a" / "x.json").read_text()) == list(range(3000))
+    assert made == {"a/x.json": (3002, (tmp_path / "d" / "a" / "x.json").stat().st_size), "b.txt": (1, 0)}
+    assert sorted(p.name for p in (tmp_path / "d").rglob("*") if p.is_file() and not p.name.endswith(".crc")) == ["b.txt", "x.json"]
+    assert sinks.write_documents(parts.limit(0), str(tmp_path / "e")).count() == 0
+
+
+def test_a_document_of_very_many_parts(spark, tmp_path):
+    n = 1_000_000
+    rows = spark.range(n).select(F.lit("big.json").alias("path"), F.lit(1).alias("section"), F.col("id").alias("ord"), F.col("id").cast("string").alias("text"), F.lit(True).alias("listed"))
+    frame = spark.createDataFrame([("big.json", 0, 0, "[", False), ("big.json", 2, 0, "]", False)], "path string, section int, ord long, text string, listed boolean")
+    sinks.write_documents(rows.unionByName(frame), str(tmp_path), ",")
+    assert json.loads((tmp_path / "big.json").read_text()) == list(range(n))
+
+
+def test_analysis_documents(spark, tmp_path):
+    calls = [*_golden_calls(), ("z", "atac.align", {"fastqs_R1": [5]}, {"stats.max.mem": 0.5}), ("y", "od/d *", {}, {"stats.max.mem": 2.0})]
+    sized, targets = _fit_tables(spark, calls)
+    metrics = ("stats.max.mem", "stats.max.disk", "none")
+    rows = G.fit_input(sized, targets, None, metrics)
+    for reduce, place in (("sum", "r"), (None, "m")):
+        fits = G.analyze(sized, targets, None, "sum", metrics) if reduce else G.analyze_multi(sized, targets, None, metrics)
+        sinks.write_documents(sinks.analysis_parts(rows, fits, metrics, reduce), str(tmp_path / place))
+        docs = {d["task"]: d for d in (json.loads(p.read_text()) for p in (tmp_path / place).glob("*.json"))}
+        assert set(docs) == {c[1] for c in calls} and list(docs["od/d *"]["y"]) == ["stats.max.mem"] and "none" not in docs["atac.align"]["y"]
+        align = docs["atac.align"]
+        if reduce:
+            assert align["x"] == {"sum(fastqs_R1,fastqs_R2)": [X1[0] + X2[0], X1[1] + X2[1], 5]}
+            assert align["coeffs"]["stats.max.disk"] is None and docs["od/d *"]["x"] == {"sum()": [0]}
+        else:
+            assert align["x"] == {"fastqs_R1": [*X1, 5], "fastqs_R2": [*X2, 0]} and docs["od/d *"]["x"] == {}
+        assert align["y"]["stats.max.disk"] == [5, 5] and align["y"]["stats.max.mem"][2] == 0.5
+
+
 def test_named_stat_and_task_filter(spark):
     M.register_stat("range", lambda val, row: F.max(val) - F.min(val))
     row = M.resource_stats(_long(spark), ["range"]).where("log = 'gs://l/many' AND col = 'mem'").first()
@@ -210,3 +313,51 @@ def test_named_stat_and_task_filter(spark):
     assert M.filter_task(_calls(spark), "t.*", wildcard=True).count() == 5
     metrics = {r.metric: r.val for r in M.stat_metrics(M.resource_stats(_long(spark))).where("log = 'gs://l/one'").collect()}
     assert metrics["stats.max.mem"] == 10 and math.isnan(metrics["stats.std.mem"])
+
+
+def test_rule_table_equals_literal_rules(spark):
+    rng = random.Random(6)
+    pieces = ["main.", "sub", "align", "a", "b", ".", "*", "?", "[ab]", "[!a]", "[", "]", "[]a]", "[a-c]", "qc", "ü", "\\"]
+    patterns = {"".join(rng.choices(pieces, k=rng.randint(1, 6))) for _ in range(1500)} | {"", "*", "??", "main.align"}
+    names = sorted({"".join(rng.choices([p for p in pieces if p[0] not in "*?["] + ["[", "c"], k=rng.randint(1, 6))) for _ in range(150)})
+    df = spark.createDataFrame([(n, i) for i, n in enumerate([*names, names[0], None])], "task_name string, i int")
+    more = [(f"main.x{i}*", ["v"]) for i in range(10_000)]
+    rules = spark.createDataFrame([(p, None) for p in sorted(patterns)] + more, "pattern string, vars array<string>")
+    matched = G.match_rules(df, rules)
+    want = {(n, i, p) for i, n in enumerate([*names, names[0]]) for p in patterns if fnmatch.fnmatchcase(n, p)}
+    got = matched.collect()
+    assert {(r.task_name, r.i, r.task) for r in got} == want and len(got) == len(want) > 300
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_rule_table_with_variables(spark):
+    rules = {"atac.align*": ["fastqs_R1", "fastqs_R2"], "*filter": ["bam"], "atac.*": [], "none": ["x"]}
+    sized, targets = _fit_tables(spark, _golden_calls())
+    rows = [(p, v[:1]) for p, v in rules.items()] + [(p, v[1:]) for p, v in rules.items() if v[1:]] + [(None, ["x"])]
+    table = spark.createDataFrame(rows, "pattern string, vars array<string>")
+    key = lambda rows: sorted((r.task, r.metric, r.x_name, r.n, f"{r.slope:.6e}", f"{r.intercept:.6e}") for r in rows.collect())
+    assert key(G.analyze(sized, targets, table)) == key(G.analyze(sized, targets, rules)) != []
+    assert G.analyze(sized, targets, table.limit(0)).count() == 0
+
+
+def test_another_solver(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(10**6, 10**7, (40, 2)).astype(float)
+    y = x @ [2.0, -1.0] + 5e6 + rng.normal(0, 1e5, 40)
+    calls = [(str(i), "t", {"a": [int(x[i, 0])], "b": [int(x[i, 1])]}, {"m": y[i]}) for i in range(40)]
+    tables = _fit_tables(spark, calls)
+    penalty = 1e12
+    row = G.analyze_multi(*tables, None, ("m",), solver=G.ridge(penalty)).first()
+    centred = x - x.mean(0)
+    want = np.linalg.solve(centred.T @ centred / 40 + penalty * np.eye(2), centred.T @ (y - y.mean()) / 40)
+    assert row.coeffs == pytest.approx(want, rel=1e-6) and row.intercept == pytest.approx(y.mean() - x.mean(0) @ want, rel=1e-6)
+    none = G.analyze_multi(*tables, None, ("m",), solver=lambda m: None if m.n == 40 and m.names == ["a", "b"] else ([], 0.0)).first()
+    assert (none.coeffs, none.intercept, none.reason) == (None, None, "not_solved")
+
+
+def test_named_reduction(spark):
+    G.register_reduction("spread", lambda xs: F.array_max(xs) - F.array_min(xs))
+    sized, targets = _fit_tables(spark, [("1", "t", {"a": [1], "b": [5]}, {"m": 1}), ("2", "t", {"a": [7], "b": [2]}, {"m": 3})])
+    fit = G.analyze(sized, targets, None, "spread", ("m",)).first()
+    assert fit.x_name == "spread(a,b)" and fit.slope == pytest.approx(2.0)
