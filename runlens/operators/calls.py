@@ -146,19 +146,28 @@ def not_completed(details: DataFrame, show_completed: bool = False) -> DataFrame
     return details.where(F.col("status").isNull() | ~F.col("status").isin(*COMPLETED))
 
 
+#: Number of a document among those that a query reads; ids may be missing or repeated.
+DOC_NO = "doc_no"
+
+
+def numbered(workflows: DataFrame) -> DataFrame:
+    """Add ``doc_no``, a number that no other document has; one that is there stays."""
+    return workflows if DOC_NO in workflows.columns else workflows.withColumn(DOC_NO, F.monotonically_increasing_id())
+
+
 def workflow_root(workflows: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``(id, workflow_root)``: the given root, else one guessed from the calls' directories.
+    """``(id, workflow_root)`` of each document: the given root, else one guessed from the calls' directories.
 
-    The guess is the longest common character prefix of all call roots' parents, taken
+    Documents are told apart by themselves, not by their id, which may be missing or repeated. The guess is the longest common character prefix of all call roots' parents, taken
     only when its last component is the workflow id. The prefix of a set of strings is
     the prefix of its least and greatest member, so a map-side combined min/max does.
     """
     # calls of workflows with a given root need no look
-    unknown = workflows.withColumn("calls", F.when(F.col("workflowRoot").isNull(), F.col("calls")))
-    rows = flatten_calls(unknown, ("id", "workflowRoot"), levels, marker=True)
+    unknown = numbered(workflows).withColumn("calls", F.when(F.col("workflowRoot").isNull(), F.col("calls")))
+    rows = flatten_calls(unknown, (DOC_NO, "id", "workflowRoot"), levels, marker=True)
     root = uris.workflow_root_of_call(F.col("callRoot"))
-    bounds = rows.groupBy("id").agg(
-        F.max("workflowRoot").alias("_given"), F.min(root).alias("_lo"), F.max(root).alias("_hi")
+    bounds = rows.groupBy(DOC_NO).agg(
+        F.max("id").alias("id"), F.max("workflowRoot").alias("_given"), F.min(root).alias("_lo"), F.max(root).alias("_hi")
     )
     guess = bounds.withColumn("_guess", uris.common_prefix(F.col("_lo"), F.col("_hi")))
     accepted = F.when(uris.workflow_id_of_root(F.col("_guess")) == F.col("id"), F.col("_guess"))
@@ -211,6 +220,7 @@ def _text(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("None"))
 
 
+# Fixed values below: sentences of a report's header.
 def report_parts(
     workflows: DataFrame,
     logs: DataFrame,
@@ -218,7 +228,7 @@ def report_parts(
     show_stdout: bool = False,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """Failure report as ordered pieces of text: ``(id, ord, part, text)``.
+    """Failure report as ordered pieces of text: ``(doc_no, id, ord, part, text)``, one report per document.
 
     The header has an empty ``ord``; each inspected call adds a block and the contents of
     its log files, in document order. One pass over the documents and one join with
@@ -238,9 +248,9 @@ def report_parts(
             )
         ),
     )
-    prepared = workflows.withColumn("_failures", _indented(F.when(has_failures & ~succeeded, F.col("failures"))))
+    prepared = numbered(workflows).withColumn("_failures", _indented(F.when(has_failures & ~succeeded, F.col("failures"))))
     prepared = prepared.withColumn("_header", header).withColumn("calls", F.when(~succeeded, F.col("calls")))
-    rows = flatten_calls(prepared, ("id", "_header"), levels, marker=True)
+    rows = flatten_calls(prepared, (DOC_NO, "id", "_header"), levels, marker=True)
     return _with_contents(rows, F.col("call_name").isNull(), logs, show_completed, show_stdout)
 
 
@@ -283,13 +293,13 @@ def _with_contents(
         pieces.append(piece(2, "STDOUT", F.col("stdout")))
     pieces.append(piece(3, "STDERR_BACKGROUND", F.concat("stderr", F.lit(".background"))))
     wanted = F.when(is_header, F.array(header)).when(inspected, F.array(*pieces))
-    long = rows.select("id", "ord", F.inline(wanted)).where("text IS NOT NULL OR path IS NOT NULL")
+    long = rows.select(DOC_NO, "id", "ord", F.inline(wanted)).where("text IS NOT NULL OR path IS NOT NULL")
     # finished pieces get a key of their own, so that they do not meet in one partition
-    key = F.coalesce("path", F.concat_ws("\0", F.lit(""), "id", F.array_join(F.transform("ord", lambda i: i.cast("string")), ".")))
+    key = F.coalesce("path", F.concat_ws("\0", F.lit(""), F.col(DOC_NO).cast("string"), F.array_join(F.transform("ord", lambda i: i.cast("string")), ".")))
     contents = logs.select(F.col("path").alias("_key"), "contents")
     joined = long.withColumn("_key", key).join(contents, "_key", "left")
     read = F.concat("label", F.lit("_CONTENTS=\n"), "contents", F.lit("\n"))
-    return joined.select("id", "ord", "part", F.coalesce("text", read).alias("text")).where("text IS NOT NULL")
+    return joined.select(DOC_NO, "id", "ord", "part", F.coalesce("text", read).alias("text")).where("text IS NOT NULL")
 
 
 def troubleshoot(
@@ -299,7 +309,11 @@ def troubleshoot(
     show_stdout: bool = False,
     levels: int = LEVELS,
 ) -> DataFrame:
-    """``(id, report)``: the whole report of each workflow as one text value."""
+    """``(id, report)``: the whole report of each document as one text value.
+
+    A report that is too long for one value is written by :func:`runlens.sources.sinks.write_report_documents`.
+    """
     parts = report_parts(workflows, logs, show_completed, show_stdout, levels)
     ordered = F.sort_array(F.collect_list(F.struct("ord", "part", "text")))
-    return parts.groupBy("id").agg(F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("report"))
+    whole = F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("report")
+    return parts.groupBy(DOC_NO).agg(F.max("id").alias("id"), whole).drop(DOC_NO)

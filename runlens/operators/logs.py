@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from runlens.functions import loglines
 from runlens.operators.running import SPAN, running
+from runlens.session import stage
 
 
 def log_events(lines: DataFrame) -> DataFrame:
@@ -36,9 +37,9 @@ def status_transitions(events: DataFrame, collapse_terminal: bool = False, span:
     after a failure, ``Aborted`` directly after an abort request, else ``Succeeded``. So
     two facts about earlier lines of the workflow decide: the last non-terminal event
     and the last event of any kind. ``collapse_terminal`` keeps only the first of
-    several terminal lines in a row.
+    several terminal lines in a row. The events are written once and read twice, so lines are parsed once.
     """
-    flow = workflow_events(events)
+    flow = stage(workflow_events(events))
     terminal = F.col("event") == "TERM"
     seen = running(
         flow,
@@ -85,7 +86,8 @@ def resolve_short_ids(tasks: DataFrame, known: DataFrame, span: int = SPAN) -> D
     """Add ``workflow_id``: the least id known by then that starts with the task's short id.
 
     The answer only ever changes when a smaller id appears, so it is a running minimum
-    over known ids and task lines of one short id; no task meets every known id.
+    over known ids and task lines of one short id; no task meets every known id. Both are written
+    once, as they are read twice; give them from staged events so that lines are parsed once.
     """
     rows = tasks.withColumn("_known", F.lit(None).cast("string")).withColumn("_kind", F.lit(1))
     ids = known.select(
@@ -94,7 +96,7 @@ def resolve_short_ids(tasks: DataFrame, known: DataFrame, span: int = SPAN) -> D
         F.col("workflow_id").alias("_known"),
         F.lit(0).alias("_kind"),
     )
-    both = rows.unionByName(ids, allowMissingColumns=True)
+    both = stage(rows.unionByName(ids, allowMissingColumns=True))
     resolved = running(
         both, ["short_id"], "seq", ["_kind"], {"workflow_id": ("min", F.col("_known"))}, inclusive=True, span=span
     )

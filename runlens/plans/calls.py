@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from runlens.operators import calls as C
 from runlens.plans import relations as R
+from runlens.session import shared_place
+from runlens.sources import readers, sinks
 
 
 def _workflows(spark, sf_dir):
@@ -74,6 +76,30 @@ def troubleshoot_report(spark, sf_dir):
     return C.troubleshoot(_workflows(spark, sf_dir), task_logs(spark, sf_dir), show_stdout=True)
 
 
+def report_documents(spark, sf_dir):
+    """Each report as a file of its own, written from sorted rows and read again."""
+    place = shared_place(spark, "reports")
+    workflows = _workflows(spark, sf_dir).withColumn("doc_no", F.col("k"))
+    sinks.write_report_documents(C.report_parts(workflows, task_logs(spark, sf_dir), show_stdout=True), place)
+    files = readers.read_files(spark, place)
+    return files.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("bigint").alias("k"), F.col("text").alias("report"))
+
+
+def _unnamed(spark, sf_dir):
+    """Documents of which some have no id and others all the same."""
+    k, opening = F.col("k"), r'^\{"id":"[^"]*",'
+    text = F.when(k % 7 == 0, F.regexp_replace("doc", opening, "{")).when(k % 7 == 1, F.regexp_replace("doc", opening, '{"id":"same",')).otherwise(F.col("doc"))
+    return C.workflow_header(R.documents(spark, sf_dir).select(text.alias("doc")))
+
+
+def unnamed_roots(spark, sf_dir):
+    return C.workflow_root(_unnamed(spark, sf_dir))
+
+
+def unnamed_reports(spark, sf_dir):
+    return C.troubleshoot(_unnamed(spark, sf_dir), task_logs(spark, sf_dir), show_stdout=True)
+
+
 def failure_class(spark, sf_dir):
     """Whole document texts as stderr; some carry a marker at the end."""
     d = F.col("doc_id")
@@ -97,6 +123,9 @@ QUERIES = {
     "call_details": call_details,
     "failed_calls": not_completed,
     "troubleshoot_report": troubleshoot_report,
+    "report_documents": report_documents,
+    "unnamed_roots": unnamed_roots,
+    "unnamed_reports": unnamed_reports,
     "failure_class": failure_class,
     "lcp": lcp,
 }
@@ -112,6 +141,26 @@ _BLOCK = """
   CASE WHEN stderr IS NOT NULL AND call_name = 'sub.qc' THEN 'STDERR_BACKGROUND_CONTENTS=' || chr(10) || 'bg' || chr(10) ELSE '' END
 """
 
+_UNNAMED = "CASE base.k % 7 WHEN 0 THEN NULL WHEN 1 THEN 'same' ELSE base.id END"
+
+
+def _report_sql(columns: str, name: str) -> str:
+    return f"""
+        WITH {R.CALLS_SQL},
+        bad AS (
+          SELECT calls.*, o_orderpriority AS prio FROM calls JOIN orders ON o_orderkey = k
+          WHERE wf_status <> 'Succeeded' AND (status IS NULL OR status NOT IN ('Done', 'Succeeded'))
+        ),
+        blocks AS (SELECT k, string_agg({_BLOCK}, '' ORDER BY ord) AS body FROM bad GROUP BY k)
+        SELECT {columns}, '* Started troubleshooting workflow: id=' || {name} || ', status=' || wf_status || chr(10) ||
+               CASE WHEN wf_status = 'Succeeded' THEN '* Workflow ran Successfully.' || chr(10)
+                    ELSE CASE WHEN failed THEN '* Found failures JSON object.' || chr(10) || '[' || chr(10) || '    {{' || chr(10) ||
+                                   '        "message": "boom ' || CAST(base.k AS VARCHAR) || '",' || chr(10) ||
+                                   '        "causedBy": []' || chr(10) || '    }}' || chr(10) || ']' || chr(10) ELSE '' END ||
+                         '* Recursively finding failures in calls (tasks)...' || chr(10) || coalesce(body, '') END AS report
+        FROM base LEFT JOIN blocks ON blocks.k = base.k"""
+
+
 ORACLES = {
     "flatten_calls": f"WITH {R.CALLS_SQL} SELECT id, call_name, parents, ord, status, call_root FROM calls",
     "workflow_header": f"""
@@ -132,20 +181,12 @@ ORACLES = {
     "failed_calls": f"""
         WITH {R.CALLS_SQL}
         SELECT id, call_name, ord, status FROM calls WHERE status IS NULL OR status NOT IN ('Done', 'Succeeded')""",
-    "troubleshoot_report": f"""
-        WITH {R.CALLS_SQL},
-        bad AS (
-          SELECT calls.*, o_orderpriority AS prio FROM calls JOIN orders ON o_orderkey = k
-          WHERE wf_status <> 'Succeeded' AND (status IS NULL OR status NOT IN ('Done', 'Succeeded'))
-        ),
-        blocks AS (SELECT id, string_agg({_BLOCK}, '' ORDER BY ord) AS body FROM bad GROUP BY id)
-        SELECT base.id, '* Started troubleshooting workflow: id=' || base.id || ', status=' || wf_status || chr(10) ||
-               CASE WHEN wf_status = 'Succeeded' THEN '* Workflow ran Successfully.' || chr(10)
-                    ELSE CASE WHEN failed THEN '* Found failures JSON object.' || chr(10) || '[' || chr(10) || '    {{' || chr(10) ||
-                                   '        "message": "boom ' || CAST(k AS VARCHAR) || '",' || chr(10) ||
-                                   '        "causedBy": []' || chr(10) || '    }}' || chr(10) || ']' || chr(10) ELSE '' END ||
-                         '* Recursively finding failures in calls (tasks)...' || chr(10) || coalesce(body, '') END AS report
-        FROM base LEFT JOIN blocks ON blocks.id = base.id""",
+    "troubleshoot_report": _report_sql("base.id", "base.id"),
+    "report_documents": _report_sql("base.k", "base.id"),
+    "unnamed_reports": _report_sql(f"{_UNNAMED} AS id", f"coalesce({_UNNAMED}, 'None')"),
+    "unnamed_roots": f"""
+        WITH {R.CALLS_SQL}
+        SELECT {_UNNAMED} AS id, CASE WHEN k % 4 = 0 OR (k % 4 <> 1 AND k % 7 > 1) THEN root END AS workflow_root FROM base""",
     "failure_class": """
         SELECT doc_id, CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 OR contains(text, 'Killed') OR contains(text, 'OutOfMemory')
                             THEN 'out_of_memory' ELSE 'other' END AS failure_class,

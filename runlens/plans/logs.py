@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from runlens.operators import logs as G
 from runlens.plans import relations as R
+from runlens.session import stage
 
 
 def _events(spark, sf_dir):
@@ -34,7 +35,7 @@ def task_events(spark, sf_dir):
 
 
 def shortid_resolve(spark, sf_dir):
-    events = _events(spark, sf_dir)
+    events = stage(_events(spark, sf_dir).where("kind <> 'server'"))
     resolved = G.resolve_short_ids(G.task_events(events), G.known_ids(events))
     return resolved.select("seq", "short_id", "task_name", "workflow_id")
 

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from runlens.operators import calls as C, closure, search as S
+from runlens.sources import sinks
 
 W = "00000001-0000-4000-a000-000000000001"
 
@@ -193,3 +194,20 @@ def test_listing_and_labels(spark):
     assert S.get_label(wf, W, "run-user").first().value == "u"
     docs = spark.createDataFrame([(W, "doc")], "id string, doc string")
     assert S.get_metadata(S.find(wf, ["*"]), docs).collect()[0].doc == "doc"
+
+
+def test_each_document_has_its_own_root_and_report(spark, tmp_path):
+    def doc(name, root, status="Failed"):
+        calls = {"m.a": [{"callRoot": f"{root}/call-a", "executionStatus": status}], "m.b": [{"callRoot": f"{root}/call-b", "executionStatus": status}]}
+        return json.dumps({"status": "Failed", "calls": calls} | ({"id": name} if name else {}))
+
+    docs = [doc("w1", "gs://o/m/w1"), doc("w1", "gs://p/m/w1", "Aborted"), doc(None, "gs://o/m/x"), doc(None, "gs://o/m/y", "Running"), json.dumps({"id": "w2"})]
+    workflows = C.workflow_header(spark.createDataFrame([(d,) for d in docs], "doc string").repartition(3))
+    roots = sorted(((r.id, r.workflow_root) for r in C.workflow_root(workflows).collect()), key=str)
+    assert roots == sorted([("w1", "gs://o/m/w1"), ("w1", "gs://p/m/w1"), (None, None), (None, None), ("w2", None)], key=str)
+    logs = spark.createDataFrame([], "path string, contents string")
+    reports = C.troubleshoot(workflows, logs).collect()
+    assert len(reports) == 5 and sorted(r.report.count("==== NAME=") for r in reports) == [0, 2, 2, 2, 2]
+    assert sum("STATUS=Aborted" in r.report for r in reports) == sum("STATUS=Running" in r.report for r in reports) == 1
+    written = sinks.write_report_documents(C.report_parts(workflows, logs), str(tmp_path / "r"))
+    assert written.count() == 5 and sorted(p.read_text() for p in (tmp_path / "r").glob("*.txt")) == sorted(r.report for r in reports)

@@ -7,7 +7,7 @@ import random
 import pytest
 
 from runlens.functions.labels import Naming
-from runlens.operators import corpus as O, files as B, search as S
+from runlens.operators import corpus as O, files as B, monitor as M, search as S
 from runlens.session import shared_dir
 from runlens.sources import readers as R, sinks
 
@@ -64,6 +64,34 @@ def test_localize_plan(spark):
     assert {r.dst for r in B.localize_plan(leaves, "slurm", "/cache").collect()} == {"/x/y.txt", "/cache/b/c"}
 
 
+def test_localize_through_nested_lists(spark):
+    docs = [("/w/in.json", '{"a": "gs://l/one.json", "k": ["gs://l/one.json", 7], "t": "text"}'), ("/w/other.json", '{"a": "gs://l/same.tsv", "b": "gs://b/c"}'), ("/w/direct.json", '{"a": "/x/y.bam"}')]
+    texts = [
+        ("gs://l/one.json", '{"gs://l/two.tsv": "gs://l/two.tsv", "n": null}'), ("gs://l/two.tsv", "h\t/l/three.csv\r\n\tgs://b/c"), ("/l/three.csv", "/x/y.bam,gs://b/c\n"),
+        ("gs://l/same.tsv", "gs://b/c\tgs://l/leaf.csv"), ("gs://l/leaf.csv", "plain,gs://b/d"), ("gs://l/unread.csv", "/never"),
+    ]
+    plan, new = B.localize_inputs(spark.createDataFrame(docs, "doc string, text string"), spark.createDataFrame(texts, "path string, text string"), "gcp", "gs://cache/")
+    moved = {(r.node, r.src): (r.dst, r.action) for r in plan.collect()}
+    assert moved["/w/in.json", "gs://l/one.json"] == ("gs://cache/l/one.gcs.json", "rewrite")
+    assert moved["gs://l/one.json", "gs://l/two.tsv"] == ("gs://cache/l/two.gcs.tsv", "rewrite")
+    assert moved["gs://l/two.tsv", "/l/three.csv"] == ("gs://cache/l/three.gcs.csv", "rewrite")
+    assert moved["/l/three.csv", "/x/y.bam"] == moved["/w/direct.json", "/x/y.bam"] == ("gs://cache/x/y.bam", "copy")
+    assert {a for (n, _), (_, a) in moved.items() if n in ("/w/other.json", "gs://l/same.tsv", "gs://l/leaf.csv")} == {"keep"} and "gs://l/unread.csv" not in {n for n, _ in moved}
+    got = {r.node: r for r in new.collect()}
+    assert set(got) == {"/w/in.json", "/w/direct.json", "gs://l/one.json", "gs://l/two.tsv", "/l/three.csv"}
+    assert json.loads(got["/w/in.json"].text) == {"a": "gs://cache/l/one.gcs.json", "k": ["gs://cache/l/one.gcs.json", 7], "t": "text"}
+    assert json.loads(got["gs://l/one.json"].text) == {"gs://l/two.tsv": "gs://cache/l/two.gcs.tsv", "n": None}
+    assert got["gs://l/two.tsv"].text == "h\tgs://cache/l/three.gcs.csv\r\n\tgs://b/c" and got["/l/three.csv"].text == "gs://cache/x/y.bam,gs://b/c\n"
+    assert [got[n].level for n in ("/l/three.csv", "gs://l/two.tsv", "gs://l/one.json")] == [0, 1, 2] and got["/w/in.json"].dst == "gs://cache/w/in.gcs.json"
+
+
+def test_localize_names_lists_that_name_each_other(spark):
+    docs = spark.createDataFrame([("/w/in.json", '{"a": "/l/top.tsv"}')], "doc string, text string")
+    texts = [("/l/top.tsv", "/l/a.tsv"), ("/l/a.tsv", "/l/b.tsv\t/x"), ("/l/b.tsv", "/l/a.tsv\t/l/end.tsv"), ("/l/end.tsv", "/y")]
+    with pytest.raises(ValueError, match="list files form a cycle: /l/a.tsv, /l/b.tsv$"):
+        B.localize_inputs(docs, spark.createDataFrame(texts, "path string, text string"), "gcp", "gs://c")
+
+
 def _corpus(spark, files):
     return spark.createDataFrame(list(files.items()), "path string, text string")
 
@@ -146,6 +174,15 @@ def test_readers(spark, tmp_path):
     cells = lambda df: sorted((r.log, r.col_no, r.col, r.val) for r in df.collect())
     assert cells(long) == cells(wide) and cells(long)[0] == (log, 0, "time", 1.0)
 
+    put("mon2/m.log", "time\tmem\tdisk\tcpu_pct\n1\t5\t6\t7.5\n2\t8\tx\t\n")
+    put("mon2/bare.log", "time\tmem\tdisk\tcpu_pct\n\n\n")
+    put("mon2/none.log", "time\tmem\tdisk\tcpu_pct")
+    both = [R.read_monitor_logs(spark, str(tmp_path / "mon2")), R.wide_to_long(R.read_monitor_table(spark, str(tmp_path / "mon2")))]
+    nulls = lambda df: sorted(((r.log, r.col_no, r.row_no is None, r.val) for r in df.collect()), key=str)
+    assert nulls(both[0]) == nulls(both[1])
+    stats = {(os.path.basename(r.log), r.col): (r.n_rows, r.max) for r in M.resource_stats(both[1]).collect()}
+    assert stats["bare.log", "mem"] == stats["none.log", "mem"] == (0, None) and stats["m.log", "disk"] == (2, 6) and len(stats) == 9
+
     put("list/w.json", '{"id":"a","labels":{"k":"v"},"parentWorkflowId":null}\n{"id":"b","parentWorkflowId":"a"}\n')
     wf = R.read_workflows(spark, str(tmp_path / "list"))
     assert S.exclude_subworkflows(wf).first().labels == {"k": "v"}
@@ -181,10 +218,15 @@ def test_log_lines_are_numbered_over_splits_and_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
-        rows = R.read_log(spark, str(tmp_path)).orderBy("seq").collect()
+        handed = R.read_log(spark, str(tmp_path))
+        rows = handed.orderBy("seq").collect()
+        joined = R.read_log(spark, str(tmp_path), handed_splits=0).orderBy("seq").collect()
+        plan = handed._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert [(r.seq, r.line) for r in rows] == list(enumerate(want))
+    assert [(r.seq, r.line) for r in rows] == [(r.seq, r.line) for r in joined] == list(enumerate(want))
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and all("BroadcastExchange" in line for line in exchanges)
 
 
 def test_input_files_through_lists(spark):
