@@ -68,38 +68,38 @@ def import_closure(
     missing ones are not followed. Rows at ``max_depth + 1`` mean an endless import;
     with ``strict`` they fail the query.
 
-    One round per import level. Each round joins the new files, each once per root,
-    with the import lines on equality, and its result is checkpointed.
+    Where a file's imports lead depends on the file alone, so they are resolved and looked up once; only those of
+    a file imported by URL depend on the root and are looked up in the round that meets them. One round per
+    import level joins the new files, each once per root, with the resolved lines, and checkpoints its result.
     """
-    lines = cut_lineage(edges.select("src", "target").distinct().repartition("src"))
-    known = cut_lineage(files.select("path").distinct().repartition("path"))
-    start = (roots or files).select(F.col("path").alias("root")).distinct()
-    frontier = start.select(
-        "root", uris.path_dirname(F.col("root")).alias("root_dir"), F.col("root").alias("file"), F.lit(False).alias("by_url")
+    known = files.select(F.col("path").alias("dst")).distinct().withColumn("present", F.lit(True))
+    written = edges.select("src", "target").distinct().withColumn("kind", _kind(F.col("target")))
+    by_url = (uris.uri_scheme(F.col("src")) == "http") & (F.col("kind") == "relative")
+    relative = lambda base: uris.normalise_path(F.concat_ws("/", base, "target"))
+    placed = written.withColumns(
+        {"by_root": F.coalesce(by_url, F.lit(False)), "dst": F.when(F.col("kind") == "relative", relative(uris.path_dirname(F.col("src")))).otherwise(F.col("target"))}
     )
+    lines = cut_lineage(placed.join(known, "dst", "left").select("src", "target", "kind", "by_root", "dst", F.coalesce("present", F.lit(False)).alias("present")))
+    from_urls = not lines.where("by_root").isEmpty()
+    start = (roots or files).select(F.col("path").alias("root")).distinct()
+    frontier = start.select("root", uris.path_dirname(F.col("root")).alias("root_dir"), F.col("root").alias("file"))
     levels = []
     for depth in range(1, max_depth + 2):
-        steps = frontier.join(lines, F.col("file") == F.col("src")).withColumn("kind", _kind(F.col("target")))
-        base = F.when(F.col("by_url"), F.col("root_dir")).otherwise(uris.path_dirname(F.col("file")))
-        relative = uris.normalise_path(F.concat_ws("/", base, "target"))
-        reached = steps.select(
-            "root",
-            "root_dir",
-            F.when(F.col("kind") == "relative", relative).otherwise(F.col("target")).alias("file"),
-            "kind",
-        ).distinct()
-        present = known.select(F.col("path").alias("file"), F.lit(True).alias("_present"))
-        checked = reached.join(present, "file", "left").withColumn(
+        steps = frontier.join(lines, F.col("file") == F.col("src")).select("root", "root_dir", "target", "kind", "by_root", "dst", "present")
+        if from_urls:
+            own = steps.where("by_root").withColumn("dst", relative(F.col("root_dir"))).drop("present")
+            looked = own.join(known, "dst", "left").withColumn("present", F.coalesce("present", F.lit(False)))
+            steps = steps.where("NOT by_root").unionByName(looked)
+        reached = steps.select("root", "root_dir", F.col("dst").alias("file"), "kind", "present").distinct()
+        checked = reached.withColumn(
             "violation",
             F.when(F.col("kind") == "absolute", ABSOLUTE)
             .when(F.col("kind") == "url", None)
-            .when(F.col("_present").isNull(), MISSING)
+            .when(~F.col("present"), MISSING)
             .when(~F.col("file").startswith(F.col("root_dir")), OUTSIDE),
         )
         level = cut_lineage(checked.withColumn("depth", F.lit(depth)))
-        frontier = level.where("violation IS NULL AND _present").select(
-            "root", "root_dir", "file", (F.col("kind") == "url").alias("by_url")
-        )
+        frontier = level.where("violation IS NULL AND present").select("root", "root_dir", "file")
         levels.append(level.select("root", "file", "depth", "kind", "violation"))
         if level.isEmpty():
             break

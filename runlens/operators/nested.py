@@ -45,15 +45,18 @@ def _members(value: Column, lists: bool) -> Column:
     return F.coalesce(fields, elements)
 
 
-def _unroll(path: Column, pos: Column, value: Column, lists: bool) -> Column:
-    """Array with an item per leaf below a value.
+def _container(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
+
+
+def _unroll(path: Column, pos: Column, value: Column, text: Column, lists: bool) -> Column:
+    """Array with an item per leaf below a value, whose JSON text is given.
 
     A step opens the items found last, once each. A value can't nest deeper than its text
     has opening brackets, and a step without open items costs nothing.
     """
     empty = F.array().cast(_ITEMS)
     item = F.struct(path.alias("_path"), pos.alias("_pos"), value.alias("_v"))
-    text = F.to_json(value)
     depth = F.length(text) - F.length(F.translate(text, "{[", ""))
 
     def opened(x: Column) -> Column:
@@ -77,7 +80,7 @@ def _unroll(path: Column, pos: Column, value: Column, lists: bool) -> Column:
 
     start = F.struct(empty.alias("done"), F.array(item).cast(_ITEMS).alias("todo"))
     leaves = F.aggregate(F.sequence(F.lit(0), depth), start, step, lambda found: F.concat(found["done"], found["todo"]))
-    return F.when(text.startswith("{") | text.startswith("["), leaves).otherwise(F.array(item).cast(_ITEMS))
+    return F.when(_container(text), leaves).otherwise(F.array(item).cast(_ITEMS))
 
 
 def _walk(df: DataFrame, doc: str, keep: Sequence[str], levels: int, lists: bool, drop: Sequence[str]) -> DataFrame:
@@ -93,12 +96,14 @@ def _walk(df: DataFrame, doc: str, keep: Sequence[str], levels: int, lists: bool
     rows = rows.withColumn("_into", into)
     for _ in range(levels):
         rows = _descend(rows, keep, F.col("_into")).withColumn("_into", into)
-    leaves = rows.select(*keep, F.inline(_unroll(F.col("_path"), F.col("_pos"), F.col("_v"), lists))).select(
+    # nearly all are scalars by now: their text is made once
+    rows = rows.withColumn("_text", F.to_json("_v"))
+    leaves = rows.select(*keep, "_text", F.inline(_unroll(F.col("_path"), F.col("_pos"), F.col("_v"), F.col("_text"), lists))).select(
         *keep,
         F.col("_path").alias("path"),
         F.col("_pos").alias("pos"),
         F.try_variant_get("_v", "$", "string").alias("value"),
-        F.to_json("_v").alias("json"),
+        F.when(_container(F.col("_text")), F.to_json("_v")).otherwise(F.col("_text")).alias("json"),
     )
     return leaves.where(~F.col("json").isin(*drop)) if drop else leaves
 
@@ -161,6 +166,8 @@ def merged_leaves(layers: DataFrame, key: str, layer: str, doc: str = "doc", lev
     tops = leaves.groupBy(key, "path", empty.alias("_empty")).agg(
         F.max_by("value", layer).alias("value"), F.max(layer).alias(layer)
     )
+    # what is left of a key becomes one document: all further groups lie within this exchange
+    tops = tops.repartition(key)
     steps = tops.select("*", F.explode(F.sequence(F.lit(1), F.size("path"))).alias("_n"))
     here = F.col("_n") == F.size("path")
     steps = steps.withColumn("_at", F.slice("path", F.lit(1), F.col("_n"))).withColumn("_here", here)
