@@ -60,19 +60,28 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: number and checksum of its piece ids, and the digest of the text that they decode to."""
+def _pieces(spark: SparkSession, sf_dir: str, fold: str) -> DataFrame:
     import public_tokenizers
     import sentencepiece
 
     file = str(public_tokenizers.path("piece_bpe_32k.model"))
     model = sentencepiece.SentencePieceProcessor(model_file=file)
     ids = F.array_join("ids", ",")
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), pieces.piece_table(spark, file)).withColumns({"n_pieces": F.size("ids").cast("long"), "ids_crc32": F.crc32(ids.cast("binary"))})
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), pieces.piece_table(spark, file), fold=fold).withColumns({"n_pieces": F.size("ids").cast("long"), "ids_crc32": F.crc32(ids.cast("binary"))})
     back = pieces.decode(encoded, [model.id_to_piece(i) for i in range(model.vocab_size())], keep=["doc_id", "n_pieces", "ids_crc32"])
     return back.select("row.*", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and checksum of its piece ids, and the digest of the text that they decode to."""
+    return _pieces(spark, sf_dir, "merge")
+
+
+def op7_pieces_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the best path through the lattice, folded by ``aggregate``."""
+    return _pieces(spark, sf_dir, "viterbi")
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.quantised(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
 
@@ -206,5 +215,5 @@ SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BI
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup, "op11_infill": op11_infill, "op12_licenses": op12_licenses, "op13_collocations": op13_collocations}
+QUERIES = {"op1_warc": op1_warc, "op2_url_templates": op2_url_templates, "op3_packing": op3_packing, "op4_quality": op4_quality, "op5_suffix_dedup": op5_suffix_dedup, "op6_pii": op6_pii, "op7_pieces": op7_pieces, "op7_pieces_viterbi": op7_pieces_viterbi, "op8_topk": op8_topk, "op9_langid": op9_langid, "op10_near_dedup": op10_near_dedup, "op11_infill": op11_infill, "op12_licenses": op12_licenses, "op13_collocations": op13_collocations}
 ORACLES = {"op1_warc": OP1_WARC, "op8_topk": OP8_TOPK, "op10_near_dedup": OP10_NEAR_DEDUP, "op11_infill": OP11_INFILL, "op12_licenses": OP12_LICENSES, "op13_collocations": OP13_COLLOCATIONS}

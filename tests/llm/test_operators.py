@@ -461,6 +461,13 @@ def test_viterbi_fold(spark):
         assert got[i] == best[len(w)][1]
 
 
+def test_both_folds_decode_to_the_text(spark):
+    merged, best = ({r.doc_id: r for r in query(spark, SF_DIR).collect()} for query in (queries.op7_pieces, queries.op7_pieces_viterbi))
+    assert merged.keys() == best.keys() and all(merged[i].text_sha256 == best[i].text_sha256 for i in merged)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    assert all(best[i].text_sha256 == hashlib.sha256((t or "").encode()).hexdigest() for i, t in texts.items())
+
+
 # ---- 8
 
 
