@@ -16,7 +16,6 @@ score is 1. Repeated rows give repeated results; other columns are carried along
 from __future__ import annotations
 
 import re
-import sys
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,16 +32,21 @@ LEVEL, MIN_MATCH = 12, 3
 #: Share by which the best dictionary must beat the second one.
 MIN_MARGIN = 0.01
 
-#: Numbers that are neither letters nor decimal digits, such as fractions.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_OTHER = re.compile(rf"[\W_{_NUMBERS}]+")
+_OTHER = re.compile(r"[\W\d_]+")
+_BLANKS = re.compile("  +")
 #: Smallest hashes of a language that reach its choice, in multiples of what is chosen.
 SPARE = 10
 
 
 def letters(text: str) -> bytes:
     """Lower-case words, single spaces between: what is compressed."""
-    return _OTHER.sub(" ", text.lower()).strip().encode()
+    plain = _OTHER.sub(" ", text.lower())
+    if not plain.isascii():
+        # fractions, raised and Roman numbers count as word signs, but not as letters
+        for c in {c for c in set(plain) if not c.isalpha()} - {" "}:
+            plain = plain.replace(c, " ")
+        plain = _BLANKS.sub(" ", plain)
+    return plain.strip().encode()
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:

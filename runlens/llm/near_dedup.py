@@ -41,9 +41,9 @@ WORDS = 5
 SIMILARITY = 85
 BAND, MISS = 3, 0.00015
 #: Members, and bytes of their texts, that one task compares with a leader.
-PART_MEMBERS, PART_BYTES = 256, 8 << 20
+PART_MEMBERS, PART_BYTES = 256, 4 << 20
 #: Bytes of text that are shingled at once.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -12,9 +12,9 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 #: Rows that one call of a row function gets at most; long texts come fewer at a time through SLICE_BYTES.
 SLICE_ROWS = 4096
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of an Arrow batch, unless the session says so itself: texts differ too much for a bound of rows alone.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
