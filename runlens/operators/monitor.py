@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from runlens.functions import sizes, uris
 from runlens.operators import nested
@@ -221,11 +223,33 @@ def attach_stats(calls: DataFrame, stats: DataFrame) -> DataFrame:
     return calls.join(stats, F.col("monitoringLog") == F.col("log"), "inner").drop("log")
 
 
+@F.pandas_udf(T.StringType())
+def _values_in_order(texts: pd.Series) -> pd.Series:
+    """JSON objects with each object inside a member's value as the list of its values."""
+
+    def listed(value):
+        if isinstance(value, dict):
+            return [listed(v) for v in value.values()]
+        return [listed(v) for v in value] if isinstance(value, list) else value
+
+    def one(text: str | None) -> str | None:
+        doc = json.loads(text) if text is not None else None
+        return json.dumps({k: listed(v) for k, v in doc.items()}) if isinstance(doc, dict) else text
+
+    return texts.map(one)
+
+
 def input_leaves(
     calls: DataFrame, keys: Sequence[str], inputs: str = "inputs", levels: int = nested.LEVELS
 ) -> DataFrame:
-    """``(*keys, var, pos, value)`` for every scalar in the calls' inputs."""
-    docs = calls.select(*keys, F.parse_json(inputs).alias("_doc"))
+    """``(*keys, var, pos, value)`` for every scalar in the calls' inputs; ``pos`` is its order in the document.
+
+    A parsed object has its members by name. Only the order of values is wanted here, so inputs that hold
+    an object of several members, which are few, have it turned into a list before they are parsed.
+    """
+    nested_object = F.col(inputs).rlike(r"(?s)[:\[,]\s*\{[^}]*,")
+    ordered = F.coalesce(_values_in_order(F.when(nested_object, F.col(inputs))), F.col(inputs))
+    docs = calls.select(*keys, F.parse_json(ordered).alias("_doc"))
     leaves = nested.leaf_values(docs, "_doc", keys, levels)
     return leaves.select(*keys, F.get("path", F.lit(0)).alias("var"), "pos", "value").where("value IS NOT NULL")
 

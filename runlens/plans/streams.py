@@ -78,6 +78,20 @@ def stream_current_status(spark, sf_dir):
     return _status_table(spark, R.table(spark, sf_dir, "events")).select("workflow_id", "status", "seq")
 
 
+def stream_status_backlog(spark, sf_dir):
+    """The status machine by the batch operator, over several micro-batches."""
+    events = R.table(spark, sf_dir, "events")
+    place = shared_place(spark, "backlog")
+
+    def run(source: str) -> None:
+        arrived = spark.readStream.schema(events.schema).parquet(f"{source}/part=*")
+        writer = S.log_event_stream(R.log_lines_of(arrived)).writeStream.foreachBatch(S.status_batches(place))
+        writer.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+
+    _in_parts(spark, events, "event_id", run)
+    return spark.read.parquet(f"{place}/transitions").select("workflow_id", "seq", "status", "write_metadata")
+
+
 def stream_silences(spark, sf_dir):
     """Every time a server was silent for longer than the timeout, found over several micro-batches."""
     beats = J.heartbeats(spark, sf_dir).withColumn("micros", F.unix_micros("ts"))
@@ -98,12 +112,14 @@ QUERIES = {
     "stream_status": stream_status,
     "stream_subworkflows": stream_subworkflows,
     "stream_current_status": stream_current_status,
+    "stream_status_backlog": stream_status_backlog,
     "stream_silences": stream_silences,
 }
 
 ORACLES = {
     "stream_log_events": batch.ORACLES["log_events"],
     "stream_status": batch.ORACLES["status_transitions"],
+    "stream_status_backlog": batch.ORACLES["status_transitions"],
     "stream_subworkflows": f"WITH {R.EVENTS_SQL} SELECT workflow_id FROM subs",
     "stream_current_status": batch.ORACLES["current_status"],
     "stream_silences": f"""

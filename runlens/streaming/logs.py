@@ -10,6 +10,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from runlens.functions import loglines
 from runlens.operators import calls, jobs, logs
+from runlens.session import stage
 from runlens.sources import sinks
 
 
@@ -90,6 +91,35 @@ def status_stream(events: DataFrame) -> DataFrame:
     )
 
 
+# pattern number of a status that a workflow had before a batch: it comes after all events of its line
+_SEED = 2**31 - 1
+
+
+def status_batches(root: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for a stream of events with integral ``seq``: the status machine over any backlog.
+
+    :func:`status_stream` orders all of a workflow's events of a micro-batch in one task. Here the batch
+    operator works on them, which splits a workflow over tasks; the status that a workflow had is put before its
+    events. Transitions go to ``root/transitions``, statuses to ``root/statuses``, both by batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        events = stage(logs.workflow_events(batch))
+        had = sinks.read_before(spark, f"{root.rstrip('/')}/statuses", batch_id, "workflow_id string, status string, seq long")
+        earlier = sinks.newest(had, ["workflow_id"]).join(events.select("workflow_id").distinct(), "workflow_id", "left_semi")
+        # after a terminal status, the next terminal line is like one after running
+        known = F.when(F.col("status").isin("Aborted", "Succeeded"), "Running").otherwise(F.col("status"))
+        seeds = earlier.select("workflow_id", "seq", F.lit(_SEED).alias("pattern"), known.alias("event"))
+        both = events.unionByName(seeds).withColumn("kind", F.lit("workflow"))
+        told = logs.status_transitions(both)
+        out = stage(told.where(F.col("pattern") != _SEED))
+        sinks.write_batch(out, batch_id, f"{root.rstrip('/')}/transitions")
+        sinks.write_batch(logs.current_status(out), batch_id, f"{root.rstrip('/')}/statuses")
+
+    return write
+
+
 def subworkflow_stream(events: DataFrame) -> DataFrame:
     """Each sub-workflow once, when it is first seen."""
     return events.where("kind = 'subworkflow'").select("workflow_id", "seq").dropDuplicates(["workflow_id"])

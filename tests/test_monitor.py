@@ -36,6 +36,15 @@ def test_stats_like_pandas(spark):
     assert empty.n_rows == 0 and empty.mean is None and empty["last"] is None
 
 
+def test_sizes_come_in_document_order(spark):
+    inputs = '{"z": {"b": "gs://f/2", "a": ["gs://f/1", {"y": "gs://f/3", "x": {"q": "gs://f/1"}}], "0": "gs://f/2"}, "a": {"only": "gs://f/3"}, "n": null}'
+    catalog = spark.createDataFrame([("gs://f/1", 1), ("gs://f/2", 2), ("gs://f/3", 3)], "path string, length bigint")
+    calls = spark.createDataFrame([("w", inputs), ("v", '{"l": ["gs://f/3", "gs://f/1"]}'), ("e", "{}"), ("none", None)], "id string, inputs string")
+    sized, _ = M.attach_sizes(M.file_leaves(M.input_leaves(calls, ["id"])), catalog)
+    got = {r.id: r.input_file_sizes for r in M.input_sizes(sized, ["id"]).collect()}
+    assert got == {"w": {"a": [3], "z": [2, 1, 3, 1, 2]}, "v": {"l": [3, 1]}} and list(got["w"]) == ["a", "z"]
+
+
 def test_numbers_are_printed_like_python(spark):
     rng = random.Random(1)
     values = [0.0, -0.0, 1.0, -2.5, 30.0, 1e7, 37580963840.0, 1.5e15, 1e16, 1.25e16, 9999999999999998.0, 1e22, 1e100, 1e-3, 1e-4, 1.5e-4, 1e-5, -2.5e-7, 123456789.125, float("nan"), float("inf"), float("-inf")]

@@ -52,6 +52,26 @@ def test_current_status_over_batches(spark, tmp_path):
     assert changed[-2] <= {r[4] for r in rows[80:90]} and len(changed) >= 3
 
 
+def test_backlog_equals_a_replay(spark, tmp_path):
+    rng = random.Random(18)
+    rows = [(i, "workflow", i % 3, rng.choice(["Submitted", "Running", "Failed", "Aborting", "TERM", "TERM"]), "hot" if i % 2 else f"w{rng.randint(0, 4)}") for i in range(400)]
+    write = S.status_batches(str(tmp_path))
+    for batch_id, (a, b) in enumerate([(0, 150), (150, 151), (151, 260), (260, 400)]):
+        batch = spark.createDataFrame(rows[a:b], EVENTS)
+        for _ in range(2):  # a repeated batch changes nothing
+            write(batch, batch_id)
+    status, want = {}, []
+    for seq, _, _, event, key in rows:
+        new = S.next_status(status.get(key), event)
+        if new is not None:
+            status[key] = new
+            want.append((key, seq, new, event == "TERM"))
+    got = spark.read.parquet(f"{tmp_path}/transitions").collect()
+    assert sorted((r.workflow_id, r.seq, r.status, r.write_metadata) for r in got) == sorted(want)
+    last = sinks.newest(spark.read.parquet(f"{tmp_path}/statuses"), ["workflow_id"]).collect()
+    assert {r.workflow_id: r.status for r in last} == status
+
+
 BEATS = "server string, text string, ts timestamp"
 START = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
 
