@@ -12,7 +12,8 @@ the ratios (BUCKETS numbers, one row) reach the scoring pass as a scalar subquer
 Defined cases: a null text has no words and fails the base rules; n_words, the counts and the score are
 then 0. Labels of a document that appears several times in ``labels`` count once; it is good if any
 row says so. Documents without label or id belong to the raw corpus alone. Without any good document, or
-any document, all ratios are 0. Repeated rows count as often as they come.
+any document, all ratios are 0. Repeated rows count as often as they come. Very long texts are scored whole,
+within their row. Columns other than id and text are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ key that adaptive execution splits, and no window holds a host.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; these share one template.
 Rows of equal urls get equal verdicts, each its own row, rows without id too. An empty table gives no
-rows. Without any known url nothing is rejected.
+rows. Without any known url nothing is rejected. Very long and very deep paths are told apart whole; they take a
+round per level only as long as another path shares their template. Columns other than page_id and url are not
+read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ import re
 import zipfile
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -323,6 +324,48 @@ def test_likelihood_ratio(spark):
     assert all(abs(a - b) <= 1 for a, b in zip(ratios, want, strict=True)) and grams[3] == []
 
 
+def brute_quality(rows: list[tuple], good: set) -> list[tuple]:
+    """Scores from both multinomials in plain Python, with the hashes that the engine has."""
+    import xxhash
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    first = cache(lambda w: xxhash.xxh64_intdigest(w.encode(), 42))
+    place = lambda h: signed(h) % quality.BUCKETS
+
+    def grams(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        return [place(first(x)) for x in w] + [place(xxhash.xxh64_intdigest(b.encode(), first(a))) for a, b in zip(w, w[1:], strict=False)]
+
+    told = [(i, t or "", grams(t)) for i, t in rows]
+    raw, trusted = Counter(), Counter()
+    for i, _, g in told:
+        raw.update(g)
+        if i is not None and i in good:
+            trusted.update(g)
+    raws, goods = raw.total() + quality.BUCKETS, trusted.total() + quality.BUCKETS
+    ratio = cache(lambda b: math.log((trusted[b] + 1) / goods) - math.log((raw[b] + 1) / raws) if trusted else 0.0)
+    out = []
+    for i, t, g in told:
+        n_words, *_, repeated = brute_counts(t)
+        score = sum(map(ratio, g)) / len(g) if g else 0.0
+        out.append((i, n_words < 20 or 100 * repeated > 30 * n_words, score))
+    return out
+
+
+def test_quality_scores_like_brute_force(spark, docs):
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    for rows in (given, docs.withColumn("doc_id", F.col("doc_id") + 1).withColumn("score", F.lit("clash")).withColumn("kept", F.lit(1))):
+        got = sorted(((r.doc_id, r.base_failed, r.score, r.kept) for r in quality.judge(rows, labels, F.col("quality") == 1).collect()), key=str)
+        want = sorted(brute_quality([(r.doc_id, r.text) for r in rows.collect()], good), key=str)
+        near = quality.THRESHOLD / quality.SCALE
+        assert len(got) == len(want) > 10
+        for (i, failed, score, kept), (j, w_failed, w_score) in zip(sorted(got, key=lambda r: (str(r[0]), r[1])), sorted(want, key=lambda r: (str(r[0]), r[1])), strict=True):
+            assert (i, failed) == (j, w_failed) and score == pytest.approx(w_score, abs=3e-6)
+            assert kept == (not failed and w_score >= near) or abs(w_score - near) < 3e-6
+
+
 # ---- 5
 
 
