@@ -1,11 +1,13 @@
 """Exact top-k by inner product over KD-trees.
 
-Vectors are dealt by a hash to shards of about SHARD_ROWS; queries, a stated set, to blocks. A shard is
-a KD-tree: median splits along the widest side, each node with the tight box of its points. The score
-of a query against a point in a box is at most the sum of the larger of q * low and q * high over the
-dimensions; nodes are visited from the best bound on, and the search ends when the best bound left is
-under the k-th score. A first round searches one shard per block; its k-th scores go along into the
-second round over all other shards, which mostly ends at a few leaves where the data allow it.
+Vectors are dealt to shards of about SHARD_ROWS by median splits of a bounded sample, so a shard is a region;
+one with far more rows, such as many equal vectors, is split further by a hash. Each shard has the tight box
+of its points. The score of a query against a point in a box is at most the sum of the larger of q * low
+and q * high over the dimensions. A query, of a stated set, first searches the shard whose box promises most; its
+k-th score then tells which other boxes can still hold a better point, and only to those shards it goes. Within a
+shard a KD-tree is searched the same way: median splits along the widest side, each node with its tight box;
+nodes are visited from the best bound on, and the search ends when the best bound left is under the k-th
+score. A task holds one shard and one part of the queries that reach it.
 
 Defined cases: components become floor(1024 * x); vectors that are null, empty or hold null or
 non-finite components, and rows without id, take no part. Of several vectors of one id the smallest
@@ -22,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from runlens.session import stage
 
@@ -29,6 +32,9 @@ SHARD_ROWS = 8192
 QUERY_BLOCK = 2048
 LEAF = 64
 SCALE = 1024
+#: Vectors of the sample that the borders of shards come from, boxes that a task looks through at once.
+SAMPLE, BOXES = 1 << 14, 1 << 12
+_SPLITS = 1 << 20  # parts of one region at most
 
 
 def quantised(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -101,15 +107,13 @@ def _searcher(k: int):
         out: list[tuple[int, int, int]] = []
         if len(queries) and len(vectors):
             points, asked = np.stack(vectors["v"].to_numpy()), np.stack(queries["v"].to_numpy())
-            size = points.shape[1] * float(np.abs(points.astype(float)).max()) * float(np.abs(asked.astype(float)).max())
-            kind = np.float64 if size < 2**53 else object
+            kind = _kind(points, asked)
             tree, ids = Tree(points.astype(kind)), vectors["vec_id"].to_numpy()
             asked = asked.astype(kind)
             for a in range(0, len(asked), 256):
                 part = asked[a : a + 256]
                 for q, bound, own, least in zip(part, tree.bounds(part), queries["query_id"].iloc[a : a + 256].tolist(), queries["least"].iloc[a : a + 256].tolist(), strict=True):
-                    known = None if least is None or least != least else int(least) - (abs(int(least)) >> 50)  # pandas may hold it as a float
-                    out += [(own, -i, int(s)) for s, i in tree.search(q, bound, ids, own, k, known)]
+                    out += [(own, -i, int(s)) for s, i in tree.search(q, bound, ids, own, k, _least(least))]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     return search
@@ -120,30 +124,146 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+class Regions:
+    """Median splits of a sample along the widest side into ``n`` regions."""
+
+    def __init__(self, sample: np.ndarray, n: int):
+        self.side, self.border, self.child = [], [], []
+        self.n = 0
+        todo = [(sample.astype(float), n, -1, 0)]
+        while todo:
+            rows, wanted, parent, branch = todo.pop()
+            low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (np.zeros(1), np.zeros(1))
+            side = int((high - low).argmax())
+            if wanted == 1 or high[side] <= low[side]:
+                at, self.n = -self.n - 1, self.n + 1
+            else:
+                left = wanted // 2
+                border = np.partition(rows[:, side], len(rows) * left // wanted)[len(rows) * left // wanted]
+                border = border if border > low[side] else np.nextafter(border, np.inf)
+                at = len(self.side)
+                self.side.append(side), self.border.append(border), self.child.append([0, 0])
+                under = rows[:, side] < border
+                todo += [(rows[under], left, at, 0), (rows[~under], wanted - left, at, 1)]
+            if parent >= 0:
+                self.child[parent][branch] = at
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        if not self.side:
+            return np.zeros(len(points), dtype=np.int64)
+        side, border, child = np.array(self.side), np.array(self.border), np.array(self.child)
+        at, rows = np.zeros(len(points), dtype=np.int64), np.arange(len(points))
+        while (open_ := at >= 0).any():
+            node = at[open_]
+            at[open_] = child[node, (points[rows[open_], side[node]] >= border[node]).astype(int)]
+        return -at - 1
+
+
+def _placed(held: DataFrame, rows: int, shards: int, shard_rows: int) -> DataFrame:
+    """``dim``, ``shard``, ``vec_id``, ``v``: each vector's shard."""
+    few = held.where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, rows // SAMPLE))) == 0).select("dim", "v").collect()
+    samples: dict[int, list] = {}
+    for r in few:
+        samples.setdefault(r.dim, []).append(r.v)
+    regions = {d: Regions(np.array(v), max(1, round(shards * len(v) / len(few)))) for d, v in samples.items()}
+
+    def region(vectors: pd.Series) -> pd.Series:
+        out = np.zeros(len(vectors), dtype=np.int64)
+        sizes = vectors.map(len).to_numpy()
+        for d in np.unique(sizes):
+            if d in regions:
+                here = np.flatnonzero(sizes == d)
+                out[here] = regions[d].of(np.stack(vectors.iloc[here].to_numpy()).astype(float))
+        return pd.Series(out)
+
+    found = stage(held.withColumn("region", F.pandas_udf(region, LongType())("v")))
+    parts = found.groupBy("dim", "region").agg(F.least(F.ceil(F.count("*") / (2 * shard_rows)), F.lit(_SPLITS)).alias("parts"))
+    shard = F.col("region") * _SPLITS + F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts"))
+    return stage(found.join(parts, ["dim", "region"]).select("dim", shard.alias("shard"), "vec_id", "v"))
+
+
+def _kind(*sides: np.ndarray) -> type:
+    """float64 where products of the sides and their sums are exact, else whole numbers of Python."""
+    size = float(sides[0].shape[1])
+    for x in sides:
+        size *= float(np.abs(x.astype(float)).max())
+    return np.float64 if size < 2**53 else object
+
+
+def _boxes(points: DataFrame) -> DataFrame:
+    def box(group: pd.DataFrame) -> pd.DataFrame:
+        own = np.stack(group["v"].to_numpy())
+        return pd.DataFrame({"dim": group["dim"].iloc[:1], "shard": group["shard"].iloc[:1], "low": [own.min(axis=0).tolist()], "high": [own.max(axis=0).tolist()]})
+
+    return points.groupBy("dim", "shard").applyInPandas(box, "dim int, shard long, low array<long>, high array<long>")
+
+
+def _least(value) -> int | None:
+    """The k-th score that is known, or a little less where pandas holds it as a float."""
+    return None if value is None or value != value else int(value) - (abs(int(value)) >> 50)
+
+
+def _reach(queries: DataFrame, boxes: DataFrame, n_boxes: int, blocks: int, best_only: bool) -> DataFrame:
+    """``dim``, ``query_id``, ``shard``: boxes that can reach the query's ``least`` score, or (``best_only``) the one that promises most."""
+    chunks = max(1, -(-n_boxes // BOXES))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = queries.withColumn("block", deal("query_id", blocks)).withColumn("chunk", every(chunks))
+    dealt = boxes.withColumn("chunk", deal("shard", chunks)).withColumn("block", every(blocks))
+
+    def look(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple] = []
+        if len(mine) and len(theirs):
+            low, high, q = (np.stack(x.to_numpy()) for x in (theirs["low"], theirs["high"], mine["v"]))
+            kind = np.float64 if _kind(low, q) is _kind(high, q) is np.float64 else object
+            low, high, q, shard = low.astype(kind).T, high.astype(kind).T, q.astype(kind), theirs["shard"].to_numpy()
+            dim, ids, least = int(mine["dim"].iloc[0]), mine["query_id"].tolist(), mine["least"].tolist()
+            for a in range(0, len(q), 256):
+                part = q[a : a + 256]
+                bounds = np.maximum(part, 0) @ high + np.minimum(part, 0) @ low
+                for i, row in enumerate(bounds, a):
+                    floor = _least(least[i])
+                    good = [int(row.argmax())] if best_only else np.flatnonzero(row >= floor) if floor is not None else range(len(row))
+                    found += [(dim, ids[i], int(shard[k]), float(row[k])) for k in good]
+        return pd.DataFrame(found, columns=["dim", "query_id", "shard", "bound"])
+
+    keys = ["dim", "block", "chunk"]
+    reached = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(look, "dim int, query_id long, shard long, bound double")
+    if not best_only:
+        return reached.select("dim", "query_id", "shard")
+    return reached.groupBy("dim", "query_id").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard"))
+
+
+def _search(points: DataFrame, targets: DataFrame, queries: DataFrame, k: int, query_block: int) -> DataFrame:
+    """Best points of each (query, shard) of ``targets``. Queries of a shard are dealt to parts, and its points go to each part."""
+    parts = targets.groupBy("dim", "shard").agg(F.ceil(F.count("*") / query_block).cast("int").alias("parts"))
+    # names of their own for the cogroups
+    here = points.join(parts, ["dim", "shard"]).select(F.col("dim").alias("dim"), F.col("shard").alias("shard"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("vec_id").alias("vec_id"), F.col("v").alias("v"))
+    sent = targets.join(parts, ["dim", "shard"]).select("dim", "shard", F.pmod(F.xxhash64("query_id"), "parts").cast("int").alias("part"), "query_id")
+    asked = sent.join(queries.select("query_id", "v", "least"), "query_id")
+    keys = ["dim", "shard", "part"]
+    return _best(asked.groupBy(*keys).cogroup(here.groupBy(*keys)).applyInPandas(_searcher(k), "query_id long, vec_id long, score long"), k)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the k best other vectors of each row of ``quantised`` that is a query.
 
-    A task holds one shard and one block. Shards go to each block and blocks to each shard: the product
-    is what exact search of a stated query set costs, and only k rows per query and shard leave a task.
+    A vector moves once to its shard, and again only for more than ``query_block`` queries that reach it;
+    a query moves to the shards that can hold one of its k best. Only k rows per query and shard leave a task.
     """
     held = stage(vectors.withColumn("dim", F.size("v")))
     rows, asked = held.count(), held.where(is_query).count()
     shards, blocks = max(1, -(-rows // shard_rows)), max(1, -(-asked // query_block))
-    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    points = held.select("dim", deal(shards).alias("shard"), "vec_id", "v")
-    queries = held.where(is_query).select(F.col("dim").alias("dim"), deal(blocks).alias("block"), F.col("vec_id").alias("query_id"), F.col("v").alias("v"))  # names of their own for the cogroups
-    home = F.col("block") % shards
-    keys = ["dim", "shard", "block"]
-    search, schema = _searcher(k), "query_id long, vec_id long, score long"
-
-    first_points = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).where(home == F.col("shard"))
-    first_queries = queries.withColumn("shard", home).withColumn("least", F.lit(None).cast("long"))
-    first = stage(_best(first_queries.groupBy(*keys).cogroup(first_points.groupBy(*keys)).applyInPandas(search, schema), k))
-    if shards == 1:
-        return first.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    nothing = F.lit(None).cast("long")
+    queries = stage(held.where(is_query).select("dim", F.col("vec_id").alias("query_id"), "v"))
+    points = _placed(held, rows, shards, shard_rows)
+    boxes = stage(_boxes(points))
+    n_boxes = boxes.count()
+    home = stage(_reach(queries.withColumn("least", nothing), boxes, n_boxes, blocks, best_only=True))
+    first = stage(_search(points, home, queries.withColumn("least", nothing), k, query_block))
     kth = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-    rest_queries = queries.join(kth, "query_id", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(home != F.col("shard"))
-    rest_points = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).where(home != F.col("shard"))
-    rest = rest_queries.groupBy(*keys).cogroup(rest_points.groupBy(*keys)).applyInPandas(search, schema)
-    found = first.select("query_id", "vec_id", "score").union(rest)
+    known = stage(queries.join(kth, "query_id", "left"))
+    others = stage(_reach(known, boxes, n_boxes, blocks, best_only=False).join(home, ["dim", "query_id", "shard"], "left_anti"))
+    rest = _search(points, others, known, k, query_block)
+    found = first.select("query_id", "vec_id", "score").union(rest.select("query_id", "vec_id", "score"))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -528,6 +528,24 @@ def test_top_k(spark, shard_rows):
     assert topk.top_k(topk.quantised(df.limit(0)), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_regions_and_what_reaches_them(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 5)) * 40
+    rows = [(i, (centres[i % 12] + rng.normal(size=5)).tolist()) for i in range(3000)] + [(3000 + i, centres[0].tolist()) for i in range(700)]
+    df = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).withColumn("dim", F.size("v"))
+    placed = topk._placed(df, 3700, 24, 150)
+    sizes = {r.shard: r["count"] for r in placed.groupBy("shard").count().collect()}
+    assert sum(sizes.values()) == 3700 and max(sizes.values()) <= 600 and len(sizes) >= 15
+    pairs = []
+    search = topk._search
+    monkeypatch.setattr(topk, "_search", lambda points, targets, *more: (pairs.append(targets.select("query_id", "shard").distinct().count()), search(points, targets, *more))[1])
+    got = [tuple(r) for r in topk.top_k(df.drop("dim"), F.col("vec_id") % 100 == 0, shard_rows=150, query_block=5).collect()]
+    v = {i: np.floor(1024 * np.array(x)).astype(int) for i, x in rows}
+    want = [(q, k + 1, -j, int(s)) for q in v if q % 100 == 0 for k, (s, j) in enumerate(sorted(((int(v[q] @ v[c]), -c) for c in v if c != q), reverse=True)[:10])]
+    assert sorted(got) == sorted(want)
+    assert sum(pairs) < 37 * len(sizes) / 2  # far from all queries meet all shards
+
+
 # ---- 9
 
 
