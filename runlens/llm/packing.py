@@ -33,7 +33,7 @@ SHARD_PIECES = 1 << 16
 #: Pieces up to this length are placed last, the longest first.
 SHORT = 256
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 250_000
 
 # The pre-tokenizer splits these texts at the same places as this pattern; any text with another
 # character goes to the tokenizer whole.
