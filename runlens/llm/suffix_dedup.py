@@ -245,8 +245,22 @@ def _spans(ordinal: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
     return _pack(ordinal=ordinal.astype(np.uint32), start=start.astype(np.uint32), count=count.astype(np.uint32))
 
 
+def _later_copies(owner: np.ndarray, length: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Pieces of which a smaller owner has an equal one: all their windows go, and nobody is judged by them."""
+    raw, ends = text.tobytes(), np.cumsum(length).tolist()
+    pieces = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    least: dict[bytes, int] = {}
+    for piece, own in zip(pieces, owner.tolist(), strict=True):
+        if least.setdefault(piece, own) > own:
+            least[piece] = own
+    return owner > np.array([least[p] for p in pieces], dtype=np.int64)
+
+
 def _judge(table: pa.Table) -> pa.Table:
-    """Step 4: runs of windows in a shard's pieces that a smaller owner has too; known runs pass through."""
+    """Step 4: runs of windows in a shard's pieces that a smaller owner has too; known runs pass through.
+
+    Equal pieces are told first: of a passage that many parts have, only one piece enters the suffix arrays.
+    """
     out: list[tuple[int, bytes]] = []
     found, parts = [], []
     for part, blob in zip(table.column("part").to_pylist(), table.column("blob").to_pylist(), strict=True):
@@ -259,6 +273,10 @@ def _judge(table: pa.Table) -> pa.Table:
         column = lambda k: np.concatenate([f[k] for f in found])
         part = np.repeat(parts, [len(f["id"]) for f in found])
         ordinal, owner, start, length, text = column("ordinal"), column("id"), column("start"), column("length").astype(np.int64), column("text")
+        later = _later_copies(owner, length, text)
+        out += [(p, _spans(ordinal[i], start[i], length[i] - DEPTH + 1)) for p, i in _split(np.flatnonzero(later), part[later])]
+        text = text[np.repeat(~later, length)]
+        part, ordinal, owner, start, length = (x[~later] for x in (part, ordinal, owner, start, length))
         ends = np.cumsum(length)
         blocks, cuts, a = [], [], 0
         while a < len(ends):
