@@ -248,7 +248,7 @@ def write_packages(rows: DataFrame, folder: str, package_records: int = PACKAGE_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, made, open_one = TaskContext.get(), [], None
         for batch in batches:
-            for part in slices(batch, "payload"):
+            for part in slices(batch, batch.column("payload")):
                 for r in part.to_pylist():
                     if open_one is None:
                         open_one = Package(f"{folder}/part-{context.partitionId():06d}-{context.taskAttemptId()}-{len(made)}.wacz")

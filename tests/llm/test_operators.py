@@ -72,6 +72,12 @@ def test_packages_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_packages_hold_every_record_of_a_batch(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", None if i == 3 else "é" * 300_000 * (i % 2)) for i in range(8)], "page_id long, url string, html string").coalesce(1)
+    made = warc.write_packages(warc.revisits(pages, pages.page_id, pages.html, url=pages.url).coalesce(1), str(tmp_path), 3).collect()
+    assert sorted(m.records for m in made) == [2, 3, 3]
+
+
 def test_zip_directory_with_zip64(monkeypatch):
     for limit in (None, 10):
         if limit:
