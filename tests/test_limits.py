@@ -104,3 +104,17 @@ def test_malformed_custom_labels_fail(spark):
 def test_median_is_a_named_statistic(spark):
     long = spark.createDataFrame([("l", i, 1, "mem", float(v)) for i, v in enumerate([5, 1, 3, 8])], "log string, row_no long, col_no int, col string, val double")
     assert monitor.resource_stats(long, ["median"]).first()["median"] == 4.0
+
+
+def test_plan_of_the_ragged_table_stays_small(spark):
+    from pyspark.sql import functions as F
+
+    from runlens.sources import sinks
+
+    stats, series = "map('max', map('mem', 1e16D, 'x', 2.5D)) AS stats", "map('mem', named_struct('n_rows', 1L, 'whole', true), 'x', named_struct('n_rows', 1L, 'whole', false)) AS series"
+    record = spark.range(1).selectExpr("'w' AS id", "'t' AS task_name", "1 AS shard_idx", "'Done' AS status", "1 AS attempt", "named_struct('cpu', 1, 'disk', 2L, 'mem', 3L) AS instance", stats, series, "map('v', array(5L)) AS input_file_sizes")
+    header, lines = sinks.monitor_lines(record, ("mem", "x"), ["id"], ["max", "count"])
+    assert header.split("\t")[8:] == ["stats.max.mem", "stats.max.x", "stats.count.mem", "stats.count.x", "input_file_var_size_pairs"]
+    assert lines.first().line.split("\t")[8:] == ["10000000000000000", "2.5", "nan", "nan", "v", "5"]
+    wide = sinks.monitor_lines(record, [f"c{i}" for i in range(20)], ["id"])[1].select(F.length("line"))
+    assert len(wide._jdf.queryExecution().optimizedPlan().toString()) < 100_000
