@@ -118,3 +118,16 @@ def test_plan_of_the_ragged_table_stays_small(spark):
     assert lines.first().line.split("\t")[8:] == ["10000000000000000", "2.5", "nan", "nan", "v", "5"]
     wide = sinks.monitor_lines(record, [f"c{i}" for i in range(20)], ["id"])[1].select(F.length("line"))
     assert len(wide._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+
+
+def test_expanded_rows_are_dealt_to_tasks_of_bounded_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from runlens.plans import relations
+
+    # more splits than cores, but all rows in the row group of one of them
+    spark.range(5000).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    for i in range(20):
+        spark.range(1).where("id > 0").coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    dealt = relations.spread(spark, str(tmp_path), "orders", rows=100).groupBy(F.spark_partition_id()).count()
+    assert dealt.agg(F.max("count"), F.sum("count")).first()[:] == (100, 5000)
