@@ -38,11 +38,12 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 from runlens.llm.suffix_array import BLOCK, DEPTH, Block, merge
 from runlens.session import stage
 
-#: Bytes of text per part, and of chunks that a task hashes at once.
+#: Bytes of text per part.
 PART_BYTES = 4 << 20
 #: Bytes of text per bucket of minimizers, of which there is one of some 5 bytes for every 14 of text.
 BUCKET_BYTES = 24 << 20
-CHUNK = 1 << 21
+#: Bytes of text that a task hashes at once: some ten arrays of 8 bytes for each of them are alive.
+CHUNK = 1 << 19
 GRAM = 24
 
 _BASE = 0x9E3779B97F4A7C15

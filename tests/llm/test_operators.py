@@ -771,3 +771,17 @@ def test_index_extends_both_ways():
         assert Counter(dict(zip(grown, count.tolist(), strict=True))) == want
         assert len(set(lo.tolist())) == len(lo) == len(set(rlo.tolist()))
         phrases = grown
+
+
+def test_hashing_windows_takes_bounded_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    made = np.random.default_rng(1).integers(97, 123, (1000, 2000), dtype=np.uint8)
+    texts = [(i, 0, row.tobytes()) for i, row in enumerate(made)]
+    tracemalloc.start()
+    runs = sum(int(count.sum()) for *_, count, _ in suffix_dedup.windows(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert runs == 1000 * (2000 - 49) and peak < 64 << 20
