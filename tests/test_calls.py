@@ -211,3 +211,13 @@ def test_each_document_has_its_own_root_and_report(spark, tmp_path):
     assert sum("STATUS=Aborted" in r.report for r in reports) == sum("STATUS=Running" in r.report for r in reports) == 1
     written = sinks.write_report_documents(C.report_parts(workflows, logs), str(tmp_path / "r"))
     assert written.count() == 5 and sorted(p.read_text() for p in (tmp_path / "r").glob("*.txt")) == sorted(r.report for r in reports)
+
+
+def test_members_of_calls(spark):
+    doc = _three_levels()
+    wanted = ["callRoot", "shardIndex"]
+    key = ["id", "call_name", "parent_call_names", "ord"]
+    read = lambda members: C.flatten_calls(C.workflow_header(spark.createDataFrame([(json.dumps(doc),)], "doc string"), members=members))
+    some = read(wanted)
+    assert sorted(some.columns) == sorted([*key, *wanted])
+    assert sorted(some.select(*key, *wanted).collect()) == sorted(read(None).select(*key, *wanted).collect())
