@@ -71,8 +71,9 @@ def import_closure(
     Where a file's imports lead depends on the file alone, so they are resolved and looked up once; only those of
     a file imported by URL depend on the root and are looked up in the round that meets them. One round per
     import level joins the new files, each once per root, with the resolved lines, and checkpoints its result.
+    All joins are by sorting: a broadcast in every round would add up at the driver.
     """
-    known = files.select(F.col("path").alias("dst")).distinct().withColumn("present", F.lit(True))
+    known = files.select(F.col("path").alias("dst")).distinct().withColumn("present", F.lit(True)).hint("merge")
     written = edges.select("src", "target").distinct().withColumn("kind", _kind(F.col("target")))
     by_url = (uris.uri_scheme(F.col("src")) == "http") & (F.col("kind") == "relative")
     relative = lambda base: uris.normalise_path(F.concat_ws("/", base, "target"))
@@ -85,7 +86,7 @@ def import_closure(
     frontier = start.select("root", uris.path_dirname(F.col("root")).alias("root_dir"), F.col("root").alias("file"))
     levels = []
     for depth in range(1, max_depth + 2):
-        steps = frontier.join(lines, F.col("file") == F.col("src")).select("root", "root_dir", "target", "kind", "by_root", "dst", "present")
+        steps = frontier.join(lines.hint("merge"), F.col("file") == F.col("src")).select("root", "root_dir", "target", "kind", "by_root", "dst", "present")
         if from_urls:
             own = steps.where("by_root").withColumn("dst", relative(F.col("root_dir"))).drop("present")
             looked = own.join(known, "dst", "left").withColumn("present", F.coalesce("present", F.lit(False)))

@@ -117,6 +117,17 @@ def test_import_closure_golden(spark):
     assert O.import_violations(closure).count() == 0
 
 
+def test_import_closure_broadcasts_nothing(spark, monkeypatch):
+    plans, cut = [], O.cut_lineage
+    monkeypatch.setattr(O, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df))
+    files = {"/w/main.wdl": 'import "sub.wdl"', "/w/sub.wdl": 'import "https://e.org/u.wdl"', "https://e.org/u.wdl": 'import "sub.wdl"'}
+    rows = [(path, text + "\n") for path, text in files.items()]
+    df = spark.createDataFrame(rows, "path string, text string")
+    O.import_closure(O.import_edges(R.corpus_lines(df)), df.select("path")).collect()
+    joins = [line for plan in plans for line in plan.splitlines() if " Join " in line or line.startswith("Join ")]
+    assert joins and all("strategy=merge" in line for line in joins)
+
+
 def test_import_violations(spark):
     files = {
         "/w/a/main.wdl": 'import "/abs.wdl"\nimport "gone.wdl"\nimport "../out.wdl"\nimport "https://e.org/u.wdl"',
