@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import random
+from pathlib import Path
 
 import pytest
 
 from runlens.operators import closure, monitor, search
+from runlens.session import shared_dir
 from runlens.sources import readers, sinks
 
 LISTING = "id string, parentWorkflowId string, labels map<string,string>, submission string"
@@ -66,6 +69,30 @@ def test_embedding_puts_documents_together_from_the_leaves(spark):
     assert by["alone"].doc == docs["alone"]
 
 
+def test_embedding_writes_each_text_once_however_deep(spark):
+    noise, depth = random.Random(3), 10
+    docs = {f"n{i}": _naming(f"n{i}", [f"n{i + 1}"], note=noise.randbytes(60_000).hex()) for i in range(depth)}
+    written = lambda: sum(f.stat().st_size for f in Path(shared_dir(spark).removeprefix("file:")).rglob("part-*"))
+    before = written()
+    got = closure.embed_subworkflows(spark.createDataFrame(list(docs.items()), "id string, doc string")).collect()
+    assert [(r.id, r.levels, json.loads(r.doc)) for r in got] == [("n0", depth - 1, _embedded("n0", docs))]
+    assert written() - before < 2 * sum(map(len, docs.values()))
+
+
+def test_embedding_keeps_slots_between_held_ones_and_pieces_over_batches(spark):
+    names = [f"d{i}" if i % 3 == 1 or i in (5, 6, 59) else f"gone{i}" for i in range(60)]
+    docs = {"root": _naming("root", names, note="ü▁")} | {n: _naming(n, ["gone"]) for n in names if n.startswith("d")} | {"other": _naming("other", ["d1", "d1"])}
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(rows)
+    spark.conf.set(rows, "7")
+    try:
+        got = {r.id: r.doc for r in closure.embed_subworkflows(spark.createDataFrame([*docs.items(), ("empty", ""), ("nothing", None)], "id string, doc string")).collect()}
+    finally:
+        spark.conf.set(rows, was)
+    assert {i: json.loads(t) for i, t in got.items() if t} == {i: _embedded(i, docs) for i in ("root", "other")}
+    assert (got["empty"], got["nothing"], len(got)) == ("", None, 4)
+
+
 def test_embedding_of_nothing_and_of_a_cycle(spark):
     schema = "id string, doc string"
     assert closure.embed_subworkflows(spark.createDataFrame([], schema)).count() == 0
