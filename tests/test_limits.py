@@ -158,3 +158,16 @@ def test_expanded_rows_are_dealt_to_tasks_of_bounded_rows(spark, tmp_path):
         spark.range(1).where("id > 0").coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
     dealt = relations.spread(spark, str(tmp_path), "orders", rows=100).groupBy(F.spark_partition_id()).count()
     assert dealt.agg(F.max("count"), F.sum("count")).first()[:] == (100, 5000)
+
+
+def test_merged_leaves_are_dealt_to_tasks_of_bounded_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from runlens.operators import nested
+
+    monkeypatch.setattr(nested, "MERGED_ROWS", 100)
+    rows = spark.range(2000).select("id", F.explode(F.array(F.lit(0), F.lit(1))).alias("layer"))
+    layers = rows.withColumn("doc", F.parse_json(F.concat(F.lit('{"a":'), F.col("layer").cast("string"), F.lit(',"b":{"c":2}}'))))
+    merged = nested.merge_docs(layers, "id", "layer").select("*", F.spark_partition_id().alias("task"))
+    assert {r.doc for r in merged.select("doc").distinct().collect()} == {'{"a":1,"b":{"c":2}}'} and merged.count() == 2000
+    assert merged.groupBy("task").count().agg(F.max("count")).first()[0] <= 100
