@@ -171,3 +171,15 @@ def test_merged_leaves_are_dealt_to_tasks_of_bounded_rows(spark, monkeypatch):
     merged = nested.merge_docs(layers, "id", "layer").select("*", F.spark_partition_id().alias("task"))
     assert {r.doc for r in merged.select("doc").distinct().collect()} == {'{"a":1,"b":{"c":2}}'} and merged.count() == 2000
     assert merged.groupBy("task").count().agg(F.max("count")).first()[0] <= 100
+
+
+def test_directories_are_dealt_to_tasks_of_bounded_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from runlens.operators import files
+
+    monkeypatch.setattr(files, "COVERED_ROWS", 100)
+    dirs = spark.range(2000).select(F.col("id").cast("string").alias("doc"), F.explode(F.array(F.lit("/a/b"), F.lit("/a"))).alias("dir"))
+    least = files.drop_covered(dirs).select("*", F.spark_partition_id().alias("task"))
+    assert {r.dir for r in least.select("dir").distinct().collect()} == {"/a"} and least.count() == 2000
+    assert least.groupBy("task").count().agg(F.max("count")).first()[0] <= 100
