@@ -200,15 +200,22 @@ def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int
     return found.withColumn("cuts", viterbi_fold()).select(*keys, "word", _ids(F.col("cuts"), first_byte).alias("ids"))
 
 
-def _by_word(segments: dict[str, list[int]], cut: str, plain: Callable[[str], list[int]]) -> Callable[[str], list[int]]:
-    """Ids of a word from those of its segments, each word put together once; ``plain`` is for segments without an edge."""
+def _by_word(segments: dict[str, array], cut: str, plain: Callable[[str], list[int]]) -> Callable[[str], array]:
+    """Ids of a word from those of its segments, each word put together once; ``plain`` is for segments without an edge.
+
+    Ids are kept as machine integers: as lists of Python integers they took most of a task's memory. A word of one
+    segment shares its ids.
+    """
     split = re.compile(cut).split if cut else lambda w: [w]
-    made: dict[str, list[int]] = {}
+    made: dict[str, array] = {}
 
-    def ids(word: str) -> list[int]:
-        got = made.get(word)
+    def ids(word: str) -> array:
+        got = segments.get(word) or made.get(word)
         if got is None:
-            got = made[word] = [i for x in split(word) if x for i in (segments.get(x) or plain(x))]
+            got = made[word] = array("i")
+            for x in split(word):
+                if x:
+                    got.extend(segments.get(x) or plain(x))
         return got
 
     return ids
@@ -233,9 +240,10 @@ def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str
     schema = StructType([StructField("doc_id", dealt.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
 
     def attach(own: pa.Table, known: pa.Table) -> pa.Table:
-        segments: dict[str, list[int]] = {}
+        segments: dict[str, array] = {}
         for batch in known.to_batches(max_chunksize=4096):
-            segments.update(merging.batch(batch) if fold == "merge" else zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist(), strict=True))
+            found = merging.batch(batch) if fold == "merge" else zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist(), strict=True)
+            segments.update((word, array("i", x)) for word, x in found)
         ids, split = _by_word(segments, cut, merging.word), re.compile(f"{MARK}+[^{MARK}]*").findall
         values, ends = array("i"), [0]
         for chunk in own.column("text").chunks:

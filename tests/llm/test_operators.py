@@ -785,3 +785,14 @@ def test_hashing_windows_takes_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert runs == 1000 * (2000 - 49) and peak < 64 << 20
+
+
+def test_ids_of_words_are_kept_as_machine_integers():
+    from array import array
+
+    from runlens.llm import pieces
+
+    segments = {"ab": array("i", [5, 6]), "c": array("i", [7])}
+    ids = pieces._by_word(segments, "(?<=b)", lambda x: [ord(x)])
+    assert [list(ids(w)) for w in ("ab", "abc", "abd", "abc")] == [[5, 6], [5, 6, 7], [5, 6, 100], [5, 6, 7]]
+    assert all(isinstance(ids(w), array) for w in ("ab", "abc")) and ids("ab") is segments["ab"]
