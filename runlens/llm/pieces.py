@@ -11,7 +11,8 @@ edges are grouped by segment again. A fold over a segment's edges then gives its
 - ``viterbi``: the best sum of scores, for unigram models, by Spark's higher-order ``aggregate``;
 - ``merge``: the best adjacent merge, again and again, the leftmost of equals, for BPE models. A Viterbi
   path over BPE scores is another segmentation than SentencePiece's own, so BPE models need this one. It
-  needs a queue per segment and runs where the part's documents take up the ids.
+  runs where the part's documents take up the ids, on edges as they come from the join, in numpy for some
+  thousand segments at once; a long segment has a queue of its own.
 
 Characters without a piece become byte pieces. Documents are dealt to parts by a hash and shuffled once;
 distinct segments, edges and documents are all grouped under that partitioning. A part is sized by bytes
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
@@ -33,15 +35,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 MARK = "▁"
 MAX_PIECES = 1 << 18
 PART_BYTES = 8 << 20
-_WORD = f"(?={MARK})(?<!{MARK})"
+_WORD = f"(?=[ {MARK}])(?<![ {MARK}])"
+#: What every seam has on one side; few words have it, and looking for it is cheaper than looking for seams.
+_SIGN = r"[\x00-\x40\x5b-\x60\x7b-\x7f]"
 _LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
-#: Rows that decoding turns into Python values at a time.
-SLICE_ROWS = 1024
+#: Segments merged at once; one longer than LONG characters is merged alone.
+MERGED_AT_ONCE, LONG = 4096, 64
+#: Shares of a part's segments whose edges are taken up one after the other.
+SHARES = 8
 
 
 def piece_table(spark: SparkSession, model_file: str) -> DataFrame:
@@ -56,12 +62,9 @@ def piece_table(spark: SparkSession, model_file: str) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, piece_id int, score double")
 
 
-def normalised(text: Column) -> Column:
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(F.concat(F.lit(MARK), F.translate(text, " ", MARK)))
-
-
 def words(text: Column) -> Column:
-    return F.filter(F.split(normalised(text), _WORD), lambda w: w != "")
+    """Words of a text that has some, with blanks as they are; null for an empty one."""
+    return F.filter(F.split(F.when(text != "", F.concat(F.lit(" "), text)), _WORD), lambda w: w != "")
 
 
 def seams(known: Iterable[str]) -> str:
@@ -147,8 +150,13 @@ class Merging:
     def __init__(self, rows: list, first_byte: int):
         self.first_byte = first_byte
         self.of_character = {r.piece: r.piece_id for r in rows if len(r.piece) == 1}
+        self.piece = {r.piece_id: r.piece for r in rows}
         self.size = {r.piece_id: len(r.piece) for r in rows}
         self.score = {r.piece_id: r.score for r in rows}
+        self.ids = np.array(sorted(self.size), np.int64)
+        self.sizes = np.array([self.size[i] for i in self.ids.tolist()], np.int64)
+        _, rank = np.unique([self.score[i] for i in self.ids.tolist()], return_inverse=True)
+        self.rank = np.concatenate([[0], rank + 1]).astype(np.int32)  # by number of the piece from 1; 0 is none, higher is better
 
     def character(self, c: str) -> list[int]:
         known = self.of_character.get(c)
@@ -162,13 +170,96 @@ class Merging:
             out += [ids[a, b]] if b - a > 1 else self.character(word[a])
         return out
 
-    def batch(self, batch: pa.RecordBatch) -> Iterator[tuple[str, list[int]]]:
-        """Words of a batch (word, starts, ids) with their ids."""
-        starts, ids = batch.column("starts"), batch.column("ids")
-        bounds = starts.offsets.to_pylist()
-        places = list(zip(starts.flatten().to_pylist(), ids.flatten().to_pylist(), strict=True))
-        for word, a, b in zip(batch.column("word").to_pylist(), bounds, bounds[1:], strict=False):
-            yield word, self.word(word, places[a - bounds[0] : b - bounds[0]])
+    def words(self, words: list[str], word: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> Iterator[tuple[str, array]]:
+        """Words with their ids, from the longer pieces in them: number of the word, place and id, in any order."""
+        order = np.argsort(word, kind="stable")
+        starts, ids = starts[order], ids[order]
+        bounds = np.searchsorted(word[order], np.arange(len(words) + 1, dtype=word.dtype))
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            mine = slice(bounds[i], bounds[i + 1])
+            yield words[i], array("i", self.word(words[i], zip(starts[mine].tolist(), ids[mine].tolist(), strict=True)))
+        short = np.flatnonzero(lengths <= LONG)
+        for at in range(0, len(short), MERGED_AT_ONCE):
+            some = short[at : at + MERGED_AT_ONCE]
+            rows, ends = _joined(np.arange(len(ids)), bounds, some)
+            yield from self._at_once([words[i] for i in some.tolist()], lengths[some], np.repeat(np.arange(len(some)), np.diff(ends)), starts[rows], ids[rows])
+
+    def _at_once(self, words: list[str], lengths: np.ndarray, word: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> Iterator[tuple[str, array]]:
+        """One merge per word and round, the best pair's, until no word has a pair that is a piece."""
+        number = np.searchsorted(self.ids, ids)
+        longest = int(self.sizes[number].max(initial=1))
+        known = np.zeros((int(lengths.sum()), longest + 1), np.int32)  # piece by first character and length
+        known[(np.cumsum(lengths) - lengths)[word] + starts, self.sizes[number]] = number + 1
+        of = np.repeat(np.arange(len(words)), lengths)
+        begin, owner, size, done = np.arange(len(of)), of, np.ones(len(of), np.int64), []
+        while len(begin):
+            score = np.zeros(len(begin), np.int32)
+            pair = np.flatnonzero((owner[1:] == owner[:-1]) & (size[1:] + size[:-1] <= longest))
+            score[pair] = self.rank[known[begin[pair], size[pair] + size[pair + 1]]]
+            heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            counts = np.diff(np.append(heads, len(begin)))
+            best = np.repeat(np.maximum.reduceat(score, heads), counts)
+            going = best > 0
+            done.append((begin[~going], size[~going]))
+            begin, owner, size, score, best = (x[going] for x in (begin, owner, size, score, best))
+            hit = np.flatnonzero(score == best)
+            hit = hit[np.concatenate([[True], owner[hit][1:] != owner[hit][:-1]])] if len(hit) else hit
+            size[hit] += size[hit + 1]
+            begin, owner, size = (np.delete(x, hit + 1) for x in (begin, owner, size))
+        begin, size = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(begin)
+        begin, size = begin[order], size[order]
+        # pieces of one character, and the bytes of characters without a piece
+        alone = size == 1
+        codes, inverse = np.unique(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)[begin[alone]], return_inverse=True)
+        texts = [self.character(chr(c)) for c in codes.tolist()]
+        width = np.fromiter(map(len, texts), np.int64, len(texts))
+        flat = np.array([i for x in texts for i in x], np.int32)
+        counts = np.ones(len(begin), np.int64)
+        counts[alone] = width[inverse]
+        single = np.repeat(alone, counts)
+        values = np.empty(len(single), np.int32)
+        values[~single] = self.ids[known[begin[~alone], size[~alone]] - 1]
+        values[single], _ = _joined(flat, np.concatenate([[0], np.cumsum(width)]), inverse)
+        ends = np.cumsum(np.bincount(of[begin], counts, len(words)).astype(np.int64)).tolist()
+        for w, a, b in zip(words, [0, *ends], ends, strict=False):
+            yield w, array("i", values[a:b].tobytes())
+
+    def table(self, words: Iterable[str], known: pa.Table) -> Iterator[tuple[str, array]]:
+        """Words with their ids, from a row for each longer piece: ``crc`` of its word, ``place`` with its start and id.
+
+        Rows are taken up a share of the words at a time, so that what numpy holds is small beside the table.
+        """
+        shares: list[list[str]] = [[] for _ in range(SHARES)]
+        for w in words:
+            shares[zlib.crc32(w.encode()) % SHARES].append(w)
+        chunks = [(b.column("crc").to_numpy(), b.column("place").to_numpy()) for b in known.to_batches()]
+        for k, mine in enumerate(shares):
+            rows = [(crc[here], place[here]) for crc, place in chunks for here in [crc % SHARES == k]]
+            yield from self.placed(mine, *(np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*rows, strict=True) if rows else ((), ()))))
+
+    def placed(self, words: list[str], crc: np.ndarray, place: np.ndarray) -> Iterator[tuple[str, array]]:
+        """Words with their ids; a place has the start in its upper and the id in its lower 32 bits.
+
+        Where words share a checksum, a row goes to those that have the piece there.
+        """
+        own = np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words))
+        order = np.argsort(own, kind="stable").astype(np.int32)
+        own = own[order]
+        at = np.searchsorted(own, crc).astype(np.int32)
+        if len(at) and (int(at.max()) == len(own) or (own[at] != crc).any()):
+            raise ValueError("an edge of a word that is in no text")
+        starts, ids = (place >> 32).astype(np.int32), place.astype(np.int32)
+        word, alone = order[at], np.ones(len(at), bool)
+        shared, more = set(own[1:][own[1:] == own[:-1]].tolist()), []
+        if shared:
+            alone = ~np.isin(crc, list(shared))
+            for i in np.flatnonzero(~alone).tolist():
+                same = order[np.searchsorted(own, crc[i]) : np.searchsorted(own, crc[i], "right")].tolist()
+                more += [(w, starts[i], ids[i]) for w in same if words[w].startswith(self.piece[int(ids[i])], int(starts[i]))]
+            word, starts, ids = (np.concatenate([x[alone], np.array(y, np.int32)]) for x, y in zip((word, starts, ids), zip(*more, strict=True) if more else ([], [], []), strict=True))
+        return self.words(words, word, starts, ids)
 
 
 def viterbi_fold(unknown: float = -1e6) -> Column:
@@ -190,10 +281,11 @@ def viterbi_fold(unknown: float = -1e6) -> Column:
 
 
 def folded(distinct: DataFrame, pieces: DataFrame, keys: list[str], longest: int, fold: str, first_byte: int) -> DataFrame:
-    """``keys``, ``word``, and ``ids`` (Viterbi) or the places of longer pieces that ``Merging`` folds."""
+    """``keys``, ``word`` and ``ids`` (Viterbi), or the word's checksum and a row for the place of each longer piece, which ``Merging`` folds."""
     if fold == "merge":
-        found = edges(distinct, pieces, keys, longest, shortest=2).groupBy(*keys, "word").agg(F.collect_list(F.struct("s", "id")).alias("edges"))
-        return found.select(*keys, "word", F.col("edges.s").alias("starts"), F.col("edges.id").alias("ids"))
+        place = F.shiftleft(F.col("s").cast("long"), 32).bitwiseOR(F.col("id").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+        marked = distinct.withColumn("crc", F.crc32(F.col("word").cast("binary")))
+        return edges(marked, pieces, [*keys, "crc"], longest, shortest=2).select(*keys, "crc", place.alias("place"))
     if fold != "viterbi":
         raise ValueError(f"no fold {fold}")
     found = lattice(distinct, pieces, keys, longest)
@@ -221,6 +313,24 @@ def _by_word(segments: dict[str, array], cut: str, plain: Callable[[str], list[i
     return ids
 
 
+class _Numbers(dict):
+    """Words by the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _joined(flat: np.ndarray, bounds: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbered lists (those of ``flat`` between ``bounds``) one after the other, and where each begins and the last ends."""
+    counts = np.diff(bounds)[lists]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    small = np.int32 if max(len(flat), int(ends[-1])) < 1 << 31 else np.int64
+    at = np.repeat((bounds[:-1][lists] - ends[:-1]).astype(small), counts)
+    at += np.arange(ends[-1], dtype=small)
+    return flat[at], ends
+
+
 def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: str = "merge", first_byte: int = 3, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id`` and ``ids`` of every row."""
     known = pieces.select("piece", "piece_id", "score").take(MAX_PIECES + 1)
@@ -233,26 +343,37 @@ def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str
     dealt = docs.select(F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(parts)).cast("int").alias("part"), F.col(doc_id).alias("doc_id"), body.alias("text")).repartition(2 * parts, "part")
     # reading doc_id here makes both branches need the same columns, so they share one exchange of texts
     nothing = F.coalesce(F.repeat(F.col("doc_id").cast("string"), F.lit(0)), F.lit(""))
-    distinct = dealt.select("part", F.explode_outer(words(F.concat("text", nothing))).alias("word")).where("word IS NOT NULL").distinct()
+    distinct = dealt.select("part", F.explode(words(F.concat("text", nothing))).alias("word")).distinct()
+    distinct = distinct.withColumn("word", F.translate("word", " ", MARK))
     if cut:
-        distinct = distinct.select("part", F.explode(F.split("word", cut)).alias("word")).where("word <> ''").distinct()
+        # a pattern to split by is compiled for every row, one to extract by is not
+        split = F.regexp_extract_all("word", F.lit(f"(?s).+?(?:{cut}|\\z)"), F.lit(0))
+        distinct = distinct.select("part", F.explode(F.when(F.col("word").rlike(_SIGN), split).otherwise(F.array("word"))).alias("word"))
+    distinct = distinct.distinct()
     encoded = folded(distinct, pieces, ["part"], longest, fold, first_byte).withColumn("part", F.col("part").alias("part"))  # a name of its own for the cogroup
     schema = StructType([StructField("doc_id", dealt.schema["doc_id"].dataType), StructField("ids", ArrayType(IntegerType()))])
 
     def attach(own: pa.Table, known: pa.Table) -> pa.Table:
-        segments: dict[str, array] = {}
-        for batch in known.to_batches(max_chunksize=4096):
-            found = merging.batch(batch) if fold == "merge" else zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist(), strict=True)
-            segments.update((word, array("i", x)) for word, x in found)
-        ids, split = _by_word(segments, cut, merging.word), re.compile(f"{MARK}+[^{MARK}]*").findall
-        values, ends = array("i"), [0]
+        numbers, places, ends, split = _Numbers(), array("i"), [0], re.compile(f"{MARK}+[^{MARK}]*").findall
         for chunk in own.column("text").chunks:
             for t in chunk:
                 whole = t.as_py()
-                for w in split(MARK + whole.replace(" ", MARK)) if whole else ():
-                    values.extend(ids(w))
-                ends.append(len(values))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
+                if whole:
+                    places.extend(map(numbers.__getitem__, split(MARK + whole.replace(" ", MARK))))
+                ends.append(len(places))
+        if fold == "merge":
+            parts = re.compile(cut).split if cut else lambda w: [w]
+            segments = dict(merging.table({x for w in numbers for x in parts(w) if x}, known))
+        else:
+            segments = {word.as_py(): array("i", ids.as_py()) for word, ids in zip(known.column("word"), known.column("ids"), strict=True)}
+        ids = _by_word(segments, cut, merging.word)
+        flat, bounds = array("i"), [0]
+        for w in numbers:
+            flat.extend(ids(w))
+            bounds.append(len(flat))
+        del numbers, ids, segments
+        values, bounds = _joined(np.frombuffer(flat, np.int32), np.array(bounds), np.frombuffer(places, np.int32))
+        lists = pa.ListArray.from_arrays(pa.array(bounds[ends], pa.int32()), pa.array(values))
         return pa.table({"doc_id": own.column("doc_id"), "ids": lists})
 
     return dealt.groupBy("part").cogroup(encoded.groupBy("part")).applyInArrow(attach, schema)
@@ -261,17 +382,8 @@ def encode(docs: DataFrame, pieces: DataFrame, doc_id: str = "doc_id", text: str
 def decode(encoded: DataFrame, model_pieces: list[str], first_byte: int = 3, keep: list[str] | None = None) -> DataFrame:
     """``row`` (the kept columns) and ``text``: pieces and byte pieces joined, marks as blanks, without the one in front; null ids give an empty text."""
     raw = [bytes([i - first_byte]) if first_byte <= i < first_byte + 256 else p.encode() for i, p in enumerate(model_pieces)]
-    kept = StructType([encoded.schema[c] for c in (encoded.columns if keep is None else keep)])
-    narrow = encoded.select(F.struct(*[F.col(f"`{c}`") for c in kept.names]).alias("row"), F.coalesce("ids", F.array().cast("array<int>")).alias("in_ids"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                part = whole.slice(at, SLICE_ROWS)
-                lists = part.column("in_ids")
-                bounds = lists.offsets.to_pylist()
-                found = [raw[i] for i in lists.flatten().to_pylist()]
-                texts = [b"".join(found[a - bounds[0] : b - bounds[0]]).decode("utf-8", "replace").replace(MARK, " ")[1:] for a, b in zip(bounds, bounds[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
-
-    return narrow.mapInArrow(run, StructType([StructField("row", kept), StructField("text", StringType())]))
+    known = F.split(F.lit(",".join(b.hex() for b in raw)), ",")  # becomes one literal of the plan
+    joined = F.unhex(F.array_join(F.transform(F.coalesce("ids", F.array().cast("array<int>")), lambda i: F.element_at(known, i + 1)), ""))
+    text = F.replace(F.make_valid_utf8(joined.cast("string")), F.lit(MARK), F.lit(" "))
+    row = F.struct(*[F.col(f"`{c}`") for c in (encoded.columns if keep is None else keep)])
+    return encoded.select(row.alias("row"), F.substring(text, 2, 2**31 - 1).alias("text"))

@@ -796,3 +796,53 @@ def test_ids_of_words_are_kept_as_machine_integers():
     ids = pieces._by_word(segments, "(?<=b)", lambda x: [ord(x)])
     assert [list(ids(w)) for w in ("ab", "abc", "abd", "abc")] == [[5, 6], [5, 6, 7], [5, 6, 100], [5, 6, 7]]
     assert all(isinstance(ids(w), array) for w in ("ab", "abc")) and ids("ab") is segments["ab"]
+
+
+def test_words_merge_together_as_each_does_alone():
+    import random
+    import zlib
+
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import Row
+
+    from runlens.llm import pieces
+
+    draw = random.Random(7)
+    for shared in (False, True) * 20:
+        signs = "ab中😀c"[: draw.randint(2, 5)]
+        table = sorted({"".join(draw.choices(signs, k=draw.randint(1, 5))) for _ in range(20)})
+        rows = [Row(piece=p, piece_id=300 + 3 * i, score=float(draw.randint(-6, 0))) for i, p in enumerate(table)]
+        known, merging = {r.piece: r.piece_id for r in rows}, pieces.Merging(rows, 3)
+        words = sorted({"".join(draw.choices(signs, k=draw.choice([1, 2, 5, 9, 30, pieces.LONG + 30]))) for _ in range(30)})
+        edges = [(i, a, known[w[a : a + n]]) for i, w in enumerate(words) for a in range(len(w)) for n in range(2, 6) if a + n <= len(w) and w[a : a + n] in known]
+        draw.shuffle(edges)
+        one = {w: merging.word(w, [(a, x) for j, a, x in edges if j == i]) for i, w in enumerate(words)}
+        place = [(a << 32) | x for _, a, x in edges]
+        crc = [zlib.crc32(words[i].encode()) for i, _, _ in edges]
+        found = merging.table(words, pa.table({"crc": pa.array(crc, pa.int64()), "place": pa.array(place, pa.int64())}))
+        assert {w: list(x) for w, x in found} == one
+        if shared:  # all words share one checksum
+            real, zlib.crc32 = zlib.crc32, lambda data: 5
+            try:
+                found = dict(merging.placed(words, np.full(len(edges), 5, np.int64), np.array(place, np.int64)))
+            finally:
+                zlib.crc32 = real
+            assert {w: list(x) for w, x in found.items()} == one
+
+
+def test_pieces_send_no_word_per_edge(spark):
+    table = spark.createDataFrame([("▁a", 300, -1.0), ("ab", 301, -2.0), ("b", 302, -3.0)], "piece string, piece_id int, score double")
+    words = spark.createDataFrame([(0, "▁ab"), (0, "b")], "part int, word string")
+    got = pieces.folded(words, table, ["part"], 2, "merge", 3)
+    assert got.columns == ["part", "crc", "place"]
+    assert sorted((r.place >> 32, r.place & 0xFFFFFFFF) for r in got.collect()) == [(0, 300), (1, 301)]
+
+
+def test_decoding_runs_in_no_python_worker(spark):
+    encoded = spark.createDataFrame([(1, [1, 2, 198, 191, 300]), (2, None), (3, [1, 3 + 0xC3])], "doc_id int, ids array<int>")
+    names = ["<unk>", "▁", "a", *[f"<0x{i:02X}>" for i in range(256)], *["x"] * 41, "▁b"]
+    back = pieces.decode(encoded, names)
+    assert "Arrow" not in back._jdf.queryExecution().executedPlan().toString()
+    got = {r["row"]["doc_id"]: r["text"] for r in back.collect()}
+    assert got == {1: "aü b".replace("aü", "a" + bytes([195, 188]).decode()), 2: "", 3: "�"}
