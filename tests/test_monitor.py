@@ -370,3 +370,18 @@ def test_named_reduction(spark):
     sized, targets = _fit_tables(spark, [("1", "t", {"a": [1], "b": [5]}, {"m": 1}), ("2", "t", {"a": [7], "b": [2]}, {"m": 3})])
     fit = G.analyze(sized, targets, None, "spread", ("m",)).first()
     assert fit.x_name == "spread(a,b)" and fit.slope == pytest.approx(2.0)
+
+
+def test_a_fit_reads_its_inputs_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "call_id string, task_name string, var string, size long"
+    sized = spark.createDataFrame([(f"c{i}", f"t{i % 2}", "a", i) for i in range(20)], schema).mapInArrow(told, schema)
+    targets = spark.createDataFrame([(f"c{i}", f"t{i % 2}", "m", 2.0 * i + 1) for i in range(20)], "call_id string, task_name string, metric string, val double")
+    assert len(G.fit_input(sized, targets, None, ["m"]).collect()) == 20 and read.value == 20
+    assert len(G.x_cells(sized).collect()) == 20 and read.value == 40
