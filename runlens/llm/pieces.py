@@ -6,7 +6,7 @@ what follows up to the next mark, and words are independent. Words are cut once
 that no piece of the table spans, such as those between letters and full stops. The distinct segments of
 a part of the documents are exploded to their substrings of at most the longest piece's length,
 equi-joined to the piece table (a vocabulary of at most MAX_PIECES rows, so it is broadcast), and the
-edges are grouped by segment again. A fold over a segment's edges then gives its segmentation:
+edges come together by segment again. A fold over a segment's edges then gives its segmentation:
 
 - ``viterbi``: the best sum of scores, for unigram models, by Spark's higher-order ``aggregate``;
 - ``merge``: the best adjacent merge, again and again, the leftmost of equals, for BPE models. A Viterbi
