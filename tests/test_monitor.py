@@ -45,6 +45,21 @@ def test_sizes_come_in_document_order(spark):
     assert got == {"w": {"a": [3], "z": [2, 1, 3, 1, 2]}, "v": {"l": [3, 1]}} and list(got["w"]) == ["a", "z"]
 
 
+def test_inputs_are_walked_in_one_step(spark):
+    """Leaves in document order from one generator, however deep; of members with one name the last counts."""
+    deep = "[" * 300 + '"gs://f/1"' + "]" * 300
+    texts = ['{"z": {"b": "gs://f/2", "a": [1, true, null, 1.50, "\\ud83e\\udd80\\ud800"]}, "a": {}, "": "4"}', '{"a": "gs://f/1", "a": "gs://f/2"}', '{"d": ' + deep + "}", '["gs://f/1", {"x": -2e3}]', "7", None]
+    calls = spark.createDataFrame(list(enumerate(texts)), "i int, inputs string")
+    leaves = M.input_leaves(calls, ["i"])
+    got = [[(r.var, r.pos, r.value) for r in leaves.collect() if r.i == i] for i in range(len(texts))]
+    assert got[0] == [("z", [0, 0], "gs://f/2"), ("z", [0, 1, 0], "1"), ("z", [0, 1, 1], "true"), ("z", [0, 1, 3], "1.5"), ("z", [0, 1, 4], "\U0001f980?"), ("", [2], "4")]
+    assert got[1:] == [[("a", [0], "gs://f/2")], [("d", [0] * 301, "gs://f/1")], [("0", [0], "gs://f/1"), ("1", [1, 0], "-2000.0")], [(None, [], "7")], []]
+    plan = leaves._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate ") == 1 and "variant_explode" not in plan
+    with pytest.raises(Exception, match="NaN is no JSON value"):
+        M.input_leaves(spark.createDataFrame([('{"a": NaN}',)], "inputs string"), []).collect()
+
+
 def test_numbers_are_printed_like_python(spark):
     rng = random.Random(1)
     values = [0.0, -0.0, 1.0, -2.5, 30.0, 1e7, 37580963840.0, 1.5e15, 1e16, 1.25e16, 9999999999999998.0, 1e22, 1e100, 1e-3, 1e-4, 1.5e-4, 1e-5, -2.5e-7, 123456789.125, float("nan"), float("inf"), float("-inf")]
