@@ -175,6 +175,18 @@ def test_records(spark, tmp_path):
     assert M.with_monitor_log(_calls(spark), _long(spark)).count() == 2
 
 
+def test_records_keep_what_they_tell(spark, monkeypatch):
+    """What is written between the two passes over the calls has no texts that a record doesn't show."""
+    from runlens.plans import monitor as plan
+
+    written = []
+    monkeypatch.setattr(M, "stage", lambda df: written.append(set(df.columns)) or df)
+    monkeypatch.setattr(plan, "_calls", lambda *args, calls=plan._calls: written.append(set(args[2])) or calls(*args))
+    lines = plan.ragged_tsv(spark, "/root/testdata/sf0.001")
+    assert lines.count() > 0 and len(written) == 2
+    assert not {"stdout", "stderr", "callRoot", "executionEvents"} & set.union(*written)
+
+
 def _fit_tables(spark, calls):
     """``calls``: (call_id, task, {var: [sizes]}, {metric: value})."""
     sized = [(c, t, v, s) for c, t, vars_, _ in calls for v, sizes in vars_.items() for s in sizes]
