@@ -85,6 +85,20 @@ def test_localize_through_nested_lists(spark):
     assert [got[n].level for n in ("/l/three.csv", "gs://l/two.tsv", "gs://l/one.json")] == [0, 1, 2] and got["/w/in.json"].dst == "gs://cache/w/in.gcs.json"
 
 
+def test_rounds_from_list_to_list_join_names_alone(spark, monkeypatch):
+    rounds, cut = [], R.cut_lineage
+    monkeypatch.setattr(R, "cut_lineage", lambda df: rounds.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df))
+    docs = spark.createDataFrame([("/w/in/", '{"a": "/l/1.tsv", "a": "/l/2.tsv", "n": [1e400, "rel"]}'), ("/w/bad", "{")], "doc string, text string")
+    texts = [("/l/1.tsv", "/no"), ("/l/2.tsv", "/l/3.json\t/x,y\t/x,y\rgs://b"), ("/l/3.json", '["/l/2.tsv", {"k": "/l/4.csv"}, null]'), ("/l/4.csv", "s3://q\t/r,/l/none.csv\nhttp:/s"), ("/l/5", "/t")]
+    edges = R.input_edges(docs, spark.createDataFrame(texts, "path string, text string"))
+    want = {
+        ("/w/in/", True, "/l/2.tsv", True), ("/l/2.tsv", False, "/l/3.json", True), ("/l/2.tsv", False, "/x,y", False), ("/l/2.tsv", False, "gs://b", False), ("/l/3.json", False, "/l/2.tsv", True),
+        ("/l/3.json", False, "/l/4.csv", True), ("/l/4.csv", False, "s3://q\t/r", False), ("/l/4.csv", False, "/l/none.csv", True),
+    }
+    assert sorted(tuple(r) for r in edges.collect()) == sorted(want)
+    assert len(rounds) == 5 and not [plan for plan in rounds if "text#" in plan]
+
+
 def test_localize_names_lists_that_name_each_other(spark):
     docs = spark.createDataFrame([("/w/in.json", '{"a": "/l/top.tsv"}')], "doc string, text string")
     texts = [("/l/top.tsv", "/l/a.tsv"), ("/l/a.tsv", "/l/b.tsv\t/x"), ("/l/b.tsv", "/l/a.tsv\t/l/end.tsv"), ("/l/end.tsv", "/y")]
