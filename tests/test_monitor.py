@@ -45,6 +45,18 @@ def test_sizes_come_in_document_order(spark):
     assert got == {"w": {"a": [3], "z": [2, 1, 3, 1, 2]}, "v": {"l": [3, 1]}} and list(got["w"]) == ["a", "z"]
 
 
+def test_sizes_are_grouped_within_one_exchange(spark):
+    sized = spark.createDataFrame([("w", [i % 3], v, [i], i) for i in range(30) for v in ("b", "a")], "id string, ord array<int>, var string, pos array<int>, size long")
+    grouped = M.input_sizes(sized.repartition(4), ["id", "ord"])
+    assert {r.ord[0]: r.input_file_sizes for r in grouped.collect()} == {k: {v: [*range(k, 30, 3)] for v in ("a", "b")} for k in range(3)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = M.input_sizes(sized, ["id", "ord"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_inputs_are_walked_in_one_step(spark):
     """Leaves in document order from one generator, however deep; of members with one name the last counts."""
     deep = "[" * 300 + '"gs://f/1"' + "]" * 300
